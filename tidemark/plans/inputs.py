@@ -180,3 +180,44 @@ VIEWS = {
     "del": deliveries,
     "lines": script_lines,
 }
+
+
+def closing_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last staging report of each month. Running counts never fall
+    within a year, so the closing value is the largest of the month."""
+    return (
+        staging(spark, sf_dir)
+        .groupBy("model_nm", F.trunc("sales_through_dt", "month").alias("month_start"))
+        .agg(*[F.max(m).alias(m) for m in MONTHS], F.max("rpt_dt").alias("rpt_dt"))
+        .drop("month_start")
+    )
+
+
+def objectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly objective counts per supplier, as text fields. Source 99 has
+    no valid month, so its dates do not parse."""
+    code = F.element_at(F.array(*[F.lit(c) for c in ("11", "12", "13", "48", "99")]), (F.col("l_suppkey") % 5 + 1).cast("int"))
+    month = F.trunc("l_shipdate", "month")
+    return (
+        table(spark, sf_dir, "lineitem")
+        .groupBy(F.col("l_suppkey").alias("dealer"), code.alias("code"), month.alias("month_start"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(
+            "dealer",
+            "code",
+            F.concat(F.lit("B"), F.lpad((F.col("dealer") % 97).cast("string"), 2, "0")).alias("brand"),
+            "month_start",
+            F.concat(
+                F.when(F.col("code") == "99", "13").otherwise(F.date_format("month_start", "MM")),
+                F.date_format("month_start", "ddyyyy"),
+            ).alias("day_text"),
+            "n",
+        )
+    )
+
+
+def write_by_name(df: DataFrame, path: str, fmt: str = "text", **options: str) -> str:
+    """Write rows to one folder per value of column ``f`` and return a glob
+    over those folders."""
+    df.repartition("f").write.partitionBy("f").options(**options).format(fmt).save(path)
+    return f"{path}/f=*"

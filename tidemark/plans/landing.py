@@ -45,4 +45,4 @@ def stage_out_of_service(spark: SparkSession, path: str | list[str]) -> DataFram
 def ingest_for_date(spark: SparkSession, folder: str, as_of: dt.date) -> DataFrame:
     """All state supply files of one date, with file path and state."""
     rows = read_dated(spark, folder, "*_grocery_supply_{yyyyMMdd}*", as_of, SUPPLY, CsvSpec(header=True))
-    return with_lineage(rows, {"state": from_path(r".*/([^/]+)_grocery_supply_\d{8}")})
+    return with_lineage(rows, {"state": from_path(r".*/(?:[^/=]+=)?([^/]+)_grocery_supply_\d{8}")})

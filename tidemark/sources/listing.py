@@ -14,13 +14,14 @@ from tidemark.sources.readers import dated_name
 ISO_DAY = r"(\d{4}-\d{2}-\d{2})"
 
 
-def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Every file below ``folder``; only names and sizes are read."""
+def list_files(spark: SparkSession, folder: str, name_pattern: str = r"([^/]+)$") -> DataFrame:
+    """Every file below ``folder``; only names and sizes are read. The name
+    is the first group of ``name_pattern`` in the path."""
     found = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
         .select("path", "length", F.col("modificationTime").alias("modified"))
     )
-    return found.withColumn("name", F.regexp_extract("path", r"([^/]+)$", 1))
+    return found.withColumn("name", F.regexp_extract("path", name_pattern, 1))
 
 
 def valid_files(files: DataFrame, pattern: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Registered queries and the SQL that checks them."""
 
-from tidemark.suite import courtesy, sales  # noqa: F401
+from tidemark.suite import courtesy, landing, quality, sales  # noqa: F401
 from tidemark.suite.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
