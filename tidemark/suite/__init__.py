@@ -1,6 +1,16 @@
 """Registered queries and the SQL that checks them."""
 
-from tidemark.suite import courtesy, landing, quality, sales  # noqa: F401
+from tidemark.suite import (  # noqa: F401
+    courtesy,
+    dialogue,
+    helpers,
+    landing,
+    models,
+    quality,
+    reports,
+    sales,
+    streams,
+)
 from tidemark.suite.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
