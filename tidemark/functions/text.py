@@ -7,9 +7,12 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters str.split() / str.strip() treat as white space,
-# and the ones str.splitlines() treats as line ends. The notation is valid in
-# Java regular expressions and in RE2.
+# The characters Python's split() and strip() treat as white
+# space, as code points and as a regular-expression class, and the ones
+# splitlines() treats as line ends. The notation suits Java and RE2.
+SPACE_CHARS = "".join(
+    map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
 SPACE = r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 LINE_END = r"\r\n|[\x0a-\x0d\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 
@@ -27,7 +30,7 @@ def word_count(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(text, F.lit(SPACE_CHARS))
 
 
 def drop_brackets(text: Column, bracket: str = "[]") -> Column:
@@ -44,12 +47,25 @@ def drop_scene_headings(text: Column) -> Column:
 
 def zero_pad(field: Column, width: int) -> Column:
     """Pad a whole number with zeros to ``width``; the sign counts in the
-    width, longer numbers and other text stay as they are."""
-    digits = F.regexp_replace(F.regexp_replace(field, r"_", ""), r"^[+-]?0*(?=\d)", "")
-    sign = F.when(field.startswith("-") & (digits != "0"), F.lit("-")).otherwise(F.lit(""))
-    room = F.lit(width) - F.length(sign)
-    padded = F.when(F.length(digits) < room, F.lpad(digits, room, F.lit("0"))).otherwise(digits)
-    return F.when(field.rlike(r"^[+-]?\d+(_\d+)*$"), F.concat(sign, padded)).otherwise(field)
+    width, longer numbers and other text stay as they are.
+
+    Plain digits that fit are padded as they are; signs, leading zeros beyond
+    the width and ``_`` between digits take the longer way.
+    """
+    digits = F.regexp_replace(F.replace(field, F.lit("_"), F.lit("")), r"^[+-]?0*(?=\d)", "")
+    sign = F.when(field.startswith("-") & ~field.rlike(r"^-[0_]+$"), F.lit("-")).otherwise(F.lit(""))
+    room = F.greatest(F.lit(width) - F.length(sign), F.length(digits))
+    return (
+        F.when((F.length(field) <= width) & field.rlike(r"^\d+$"), F.lpad(field, width, "0"))
+        .when(field.rlike(r"^[+-]?\d+(_\d+)*$"), F.concat(sign, F.lpad(digits, room, F.lit("0"))))
+        .otherwise(field)
+    )
+
+
+def whole_number(text: Column, kind: str) -> Column:
+    """Text to an integer type, NULL if it is none. The pattern keeps plain
+    text away from the cast, which is slow on what it cannot read."""
+    return F.when(text.rlike(r"^\s*[+-]?\d{1,19}\s*$"), text.try_cast(kind))
 
 
 def split_fields(record: Column, delimiter: str) -> Column:

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contracts import TableContract
-from tidemark.functions.text import pad_record, split_fields, strip
+from tidemark.functions.text import split_fields, strip, whole_number, zero_pad
 from tidemark.operators.numbering import number_rows
+from tidemark.operators.shape import WHOLE_TYPES
 
 
 def dq_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -111,6 +112,7 @@ def contract_violations(df: DataFrame, contract: TableContract) -> DataFrame:
     """One row per breach: (column, kind, rows). Missing and extra columns
     come from the schemas, bad casts and over-long text from the data."""
     have = {c.lower(): c for c in df.columns}
+    types = dict(df.dtypes)
     checks: list[tuple[str, str, Column]] = []
     for f in contract.fields:
         name = have.get(f.name.lower())
@@ -118,7 +120,9 @@ def contract_violations(df: DataFrame, contract: TableContract) -> DataFrame:
             checks.append((f.name, "missing", F.lit(True)))
             continue
         cell = F.col(name)
-        checks.append((f.name, "bad_type", cell.isNotNull() & cell.try_cast(f.type).isNull()))
+        whole = types[name] == "string" and f.type in WHOLE_TYPES
+        typed = whole_number(cell, f.type) if whole else cell.try_cast(f.type)
+        checks.append((f.name, "bad_type", cell.isNotNull() & typed.isNull()))
         if f.max_length:
             checks.append((f.name, "too_long", F.length(cell.cast("string")) > f.max_length))
         if not f.nullable:
@@ -138,25 +142,20 @@ def contract_violations(df: DataFrame, contract: TableContract) -> DataFrame:
 def pad_checksum(df: DataFrame, by: str, column: str, width: int, delimiter: str) -> DataFrame:
     """Column sums of the numeric fields before and after padding, per file:
     (by, position, sum_before, sum_after, passed)."""
-    digits = r"^\d+$"
 
     def numeric(x: Column) -> Column:
-        return F.when(x.rlike(digits), x.try_cast("decimal(38,0)")).otherwise(F.lit(0).cast("decimal(38,0)"))
-
-    def tail(record: Column) -> Column:
-        fields = split_fields(record, delimiter)
-        return F.transform(F.slice(fields, F.lit(2), F.size(fields)), strip)
+        return F.when(x.rlike(r"^\d+$"), x.try_cast("decimal(38,0)")).otherwise(F.lit(0).cast("decimal(38,0)"))
 
-    lines = df.filter(strip(F.col(column)) != "")
-    pairs = F.arrays_zip(
-        tail(strip(F.col(column))).alias("before"), tail(pad_record(F.col(column), width, delimiter)).alias("after")
-    )
+    fields = split_fields(strip(F.col(column)), delimiter)
     sums = (
-        lines.select(by, F.posexplode(pairs).alias("position", "_p"))
+        df.filter(strip(F.col(column)) != "")
+        .select(by, F.posexplode(F.slice(fields, F.lit(2), F.size(fields))).alias("position", "_raw"))
+        .select(by, "position", strip(F.col("_raw")).alias("_before"))
+        .withColumn("_after", zero_pad(F.col("_before"), width))
         .groupBy(by, "position")
         .agg(
-            F.sum(numeric(F.col("_p.before"))).alias("sum_before"),
-            F.sum(numeric(F.col("_p.after"))).alias("sum_after"),
+            F.sum(numeric(F.col("_before"))).alias("sum_before"),
+            F.sum(numeric(F.col("_after"))).alias("sum_after"),
         )
     )
     return sums.withColumn("passed", F.col("sum_before") == F.col("sum_after"))

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import parse_date
 from tidemark.functions.months import MONTHS
-from tidemark.functions.text import pad_record, strip
+from tidemark.functions.text import pad_record, strip, whole_number
+
+WHOLE_TYPES = {"tinyint", "smallint", "int", "bigint"}
 
 
 def _names(names: str) -> list[str]:
@@ -61,8 +63,13 @@ def cast_columns(df: DataFrame, types: dict[str, str], on_error: str = "null") -
         if kind is None:
             return F.col(name)
         cell = F.col(name)
-        return (cell.cast(kind) if on_error == "fail" else cell.try_cast(kind)).alias(name)
+        if on_error == "fail":
+            return cell.cast(kind).alias(name)
+        if source[name] == "string" and kind in WHOLE_TYPES:
+            return whole_number(cell, kind).alias(name)
+        return cell.try_cast(kind).alias(name)
 
+    source = dict(df.dtypes)
     return df.select(*[one(c) for c in df.columns])
 
 

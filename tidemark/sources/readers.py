@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.contracts import CsvSpec, Layout
 from tidemark.functions.dates import parse_date
-from tidemark.functions.text import DELIMITERS
+from tidemark.functions.text import DELIMITERS, whole_number
 
 # Python date directives used in name templates, as regular
 # expressions and as Spark date patterns.
@@ -70,6 +70,8 @@ def slice_record(layout: Layout, value: str = "value") -> list[Column]:
             cell = parse_date(raw, s.fmt or "yyyyMMdd")
         elif s.type == "string":
             cell = raw
+        elif s.type in ("int", "bigint"):
+            cell = whole_number(raw, s.type)
         else:
             cell = F.trim(raw).try_cast(s.type)
         out.append(cell.alias(s.name))

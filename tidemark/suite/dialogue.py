@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import LINE_END, SPACE
+from tidemark.functions.text import LINE_END, SPACE, SPACE_CHARS
 from tidemark.operators import scripts
 from tidemark.plans import inputs
 from tidemark.suite.base import query
@@ -20,7 +20,7 @@ def _spoken(spark, sf_dir, **kwargs):
 
 
 def _trim(expr: str) -> str:
-    return f"regexp_replace({expr}, '^[{SPACE}]+|[{SPACE}]+$', '', 'g')"
+    return f"trim({expr}, '{SPACE_CHARS}')"
 
 
 def _count(expr: str) -> str:

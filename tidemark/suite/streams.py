@@ -1,4 +1,7 @@
-"""Streaming queries over the events, written to files in time order."""
+"""Streaming queries over the events, which land slice by slice in time order.
+
+Each job runs once per landed slice and goes on from its checkpoint.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +13,7 @@ from tidemark.sinks.writers import existing
 from tidemark.streaming import jobs
 from tidemark.suite.base import query
 
-FILES = 4
+SLICES = 3
 _EVENTS = "select event_id, ts, user_id, event_type, value from events"
 
 
@@ -20,20 +23,18 @@ def _events(spark, sf_dir):
     )
 
 
-def _landed(spark, df, order: str) -> str:
-    """Write rows to files that arrive one after the other in ``order``."""
-    path = scratch_dir(spark, "arrivals")
+def _run(spark, df, order: str, start) -> str:
+    """Land ``df`` in time slices, run ``start(stream, out, checkpoint)`` after
+    each, and return the output folder."""
+    landing, out, mark = (scratch_dir(spark, label) for label in ("arrivals", "out", "mark"))
     at = F.unix_micros(order)
-    inner = [i / FILES for i in range(1, FILES)]
+    inner = [i / SLICES for i in range(1, SLICES)]
     edges = [None, *df.select(at.cast("double").alias("t")).approxQuantile("t", inner, 0.01), None]
     for lo, hi in zip(edges, edges[1:]):
         part = df if lo is None else df.filter(at >= lo)
-        (part if hi is None else part.filter(at < hi)).write.mode("append").parquet(path)
-    return path
-
-
-def _stream(spark, df, order="ts"):
-    return jobs.file_stream(spark, _landed(spark, df, order), df.schema, files_per_batch=1)
+        (part if hi is None else part.filter(at < hi)).write.mode("append").parquet(landing)
+        start(jobs.file_stream(spark, landing, df.schema), out, mark).awaitTermination()
+    return out
 
 
 def _plain(df):
@@ -51,28 +52,31 @@ def _redelivered(events):
 @query("stream_ingest", _EVENTS)
 def stream_ingest(spark, sf_dir):
     events = _events(spark, sf_dir)
-    out, mark = scratch_dir(spark, "out"), scratch_dir(spark, "mark")
-    jobs.ingest_stream(_stream(spark, events), out, mark).awaitTermination()
+    out = _run(spark, events, "ts", jobs.ingest_stream)
     return _plain(existing(spark, out, events.schema))
 
 
 @query("stream_incremental_insert", _EVENTS)
 def stream_incremental_insert(spark, sf_dir):
-    arrivals = _redelivered(_events(spark, sf_dir))
-    stream = _stream(spark, arrivals, "arrival").drop("arrival")
-    out, mark = scratch_dir(spark, "out"), scratch_dir(spark, "mark")
-    jobs.incremental_insert_stream(stream, out, mark, ["event_id"]).awaitTermination()
-    return _plain(existing(spark, out, stream.schema))
+    events = _events(spark, sf_dir)
+    out = _run(
+        spark,
+        _redelivered(events),
+        "arrival",
+        lambda stream, out, mark: jobs.incremental_insert_stream(stream.drop("arrival"), out, mark, ["event_id"]),
+    )
+    return _plain(existing(spark, out, events.schema))
 
 
 @query("stream_first_seen", _EVENTS)
 def stream_first_seen(spark, sf_dir):
-    arrivals = _redelivered(_events(spark, sf_dir))
-    stream = _stream(spark, arrivals, "arrival").drop("arrival")
-    out, mark = scratch_dir(spark, "out"), scratch_dir(spark, "mark")
-    firsts = jobs.first_seen(stream, ["event_id"], "ts", "2 days")
-    jobs.ingest_stream(firsts, out, mark).awaitTermination()
-    return _plain(existing(spark, out, firsts.schema))
+    events = _events(spark, sf_dir)
+
+    def start(stream, out, mark):
+        return jobs.ingest_stream(jobs.first_seen(stream.drop("arrival"), ["event_id"], "ts", "2 days"), out, mark)
+
+    out = _run(spark, _redelivered(events), "arrival", start)
+    return _plain(existing(spark, out, events.schema))
 
 
 @query(
@@ -80,7 +84,10 @@ def stream_first_seen(spark, sf_dir):
     "select cast(ts as date) as day, event_type, count(*) as n from events group by 1, 2",
 )
 def stream_daily_counts(spark, sf_dir):
-    stream = _stream(spark, _events(spark, sf_dir))
-    out, mark = scratch_dir(spark, "out"), scratch_dir(spark, "mark")
-    jobs.daily_counts_stream(stream, out, mark, "ts", "event_type", "1 day").awaitTermination()
+    out = _run(
+        spark,
+        _events(spark, sf_dir),
+        "ts",
+        lambda stream, out, mark: jobs.daily_counts_stream(stream, out, mark, "ts", "event_type", "1 day"),
+    )
     return jobs.latest_counts(spark, out, "event_type")
