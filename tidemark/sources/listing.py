@@ -15,7 +15,7 @@ ISO_DAY = r"(\d{4}-\d{2}-\d{2})"
 
 
 def list_files(spark: SparkSession, folder: str, name_pattern: str = r"([^/]+)$") -> DataFrame:
-    """Every file below ``folder``; only names and sizes are read. The name
+    """Every non-empty file below ``folder``; only names and sizes are read. The name
     is the first group of ``name_pattern`` in the path."""
     found = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
