@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.numbering import number_rows
+from tidemark.session import settle
 
 CELL = r"([A-Z]+)(\d+)"
 RANGE = rf"{CELL}:{CELL}"
@@ -105,7 +106,7 @@ def nest_range_config(config: DataFrame) -> DataFrame:
     )
 
 
-def _bounds(config: DataFrame, cells: DataFrame) -> DataFrame:
+def _bounds(config: DataFrame, cells: DataFrame, pages: DataFrame) -> DataFrame:
     """Config rows with first/last data row and column, and header row, per
     report. Marker ranges run between the first start value in the control
     column and the first stop value below it."""
@@ -124,7 +125,6 @@ def _bounds(config: DataFrame, cells: DataFrame) -> DataFrame:
         ends("header_range", 1).alias("head_from"),
         ends("header_range", 2).alias("head_to"),
     )
-    pages = cells.select("report", "sheet").distinct()
     fixed = fixed.join(pages, "sheet").select("report", *fixed.columns)
 
     marks = config.filter("use_markers").select(
@@ -135,9 +135,13 @@ def _bounds(config: DataFrame, cells: DataFrame) -> DataFrame:
         column_number(F.col("control_column")).alias("col"),
         column_number(F.col("end_column")).alias("col_to"),
     )
-    # Each cell meets only the ranges that name its sheet, column and value.
-    hits = cells.join(marks, ["sheet", "col"]).filter(
-        (F.col("value") == F.col("start_value")) | (F.col("value") == F.col("stop_value"))
+    # Each cell meets only the ranges that name its sheet, column and value;
+    # the few marker cells are stored, as starts and stops both read them.
+    hits = settle(
+        cells.join(marks, ["sheet", "col"]).filter(
+            (F.col("value") == F.col("start_value")) | (F.col("value") == F.col("stop_value"))
+        ),
+        "markers",
     )
     group = ["report", "sheet", "frame", "col", "col_to"]
     starts = hits.filter("value = start_value").groupBy(*group).agg(F.min("row").alias("head_row"))
@@ -171,10 +175,14 @@ def extract_ranges(
     Returns (long, failures): long rows are (report, sheet, frame, row_no,
     col_no, header, value) with numbers inside the range; failures are
     (report, sheet, frame, error). Cells missing from a range are no rows.
+
+    The pages and the range bounds, one row per page and range, are stored
+    first, so the cells are read once for pages, markers, headers and data.
     """
     if sheets != "All":
         config = config.filter(F.col("sheet").isin(list(sheets)))
-    bounds = _bounds(config, cells)
+    pages = settle(cells.select("report", "sheet").distinct(), "pages")
+    bounds = settle(_bounds(config, cells, pages), "bounds")
     width, head_width = (
         F.col(f"{b}to") - F.col(f"{b}from") + 1 for b in ("col_", "head_")
     )
@@ -196,13 +204,13 @@ def extract_ranges(
     judged = bounds.withColumn("error", error)
     absent = (
         config.select("sheet", "frame")
-        .join(cells.select("sheet").distinct(), "sheet", "left_anti")
+        .join(pages.select("sheet"), "sheet", "left_anti")
         .select(F.lit(None).cast("string").alias("report"), "sheet", "frame", F.lit("sheet not found").alias("error"))
     )
     unmarked = (
         config.filter("use_markers")
         .select("sheet", "frame")
-        .join(cells.select("report", "sheet").distinct(), "sheet")
+        .join(pages, "sheet")
         .join(bounds.select("report", "sheet", "frame"), ["report", "sheet", "frame"], "left_anti")
         .select("report", "sheet", "frame", F.lit("start value not found").alias("error"))
     )

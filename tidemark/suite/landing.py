@@ -319,7 +319,7 @@ def arrivals(spark, sf_dir):
       ('outmile', 'bad_type', (select count(*) from oos where outtype = 'R')),
       ('daysinservice', 'null', (select count(*) from oos where outtype = 'N')),
       ('dealer', 'missing', (select count(*) from oos)),
-      ('loangreaterthan60', 'unexpected', (select count(*) from oos))) v("column", kind, rows)""",
+      ('loangreaterthan60', 'unexpected', (select count(*) from oos))) v("column", kind, rows) where rows > 0""",
 )
 def violations(spark, sf_dir):
     contract = TableContract.of(
