@@ -14,6 +14,7 @@ SPACE_CHARS = "".join(
     map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 )
 SPACE = r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+LINE_END_CHARS = "\x0b\x0c\x0d\x1c\x1d\x1e\x85\u2028\u2029"
 LINE_END = r"\r\n|[\x0a-\x0d\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 
 # Note delimiters and scene-heading words.
@@ -25,8 +26,11 @@ DELIMITERS = {"comma": ",", "tilde": "~", "dash": "-", "space": " "}
 
 
 def word_count(text: Column) -> Column:
-    """Number of white-space separated words."""
-    return F.regexp_count(text, F.lit(rf"[^{SPACE}]+"))
+    """Number of white-space separated words. Mapping characters and splitting
+    on one of them is several times faster than a class of them in a regular
+    expression."""
+    spaced = F.translate(text, SPACE_CHARS, " " * len(SPACE_CHARS))
+    return F.size(F.array_remove(F.split(spaced, " "), ""))
 
 
 def strip(text: Column) -> Column:
@@ -38,11 +42,19 @@ def drop_brackets(text: Column, bracket: str = "[]") -> Column:
     return F.regexp_replace(text, BRACKETS[bracket], "")
 
 
+def split_lines(text: Column) -> Column:
+    """Lines as Python's splitlines() gives them: no empty last line."""
+    marked = F.translate(
+        F.replace(text, F.lit("\r\n"), F.lit("\n")), LINE_END_CHARS, "\n" * len(LINE_END_CHARS)
+    )
+    whole = F.when(marked.endswith("\n"), F.left(marked, F.length(marked) - 1)).otherwise(marked)
+    return F.split(whole, "\n")
+
+
 def drop_scene_headings(text: Column) -> Column:
     """Remove lines that begin with EXT or INT in any case; there is no word
     boundary, so "Interesting" goes as well."""
-    lines = F.split(F.regexp_replace(text, rf"({LINE_END})\z", ""), LINE_END)
-    return F.array_join(F.filter(lines, lambda x: ~x.rlike(SCENE_HEADING)), "\n")
+    return F.array_join(F.filter(split_lines(text), lambda x: ~x.rlike(SCENE_HEADING)), "\n")
 
 
 def zero_pad(field: Column, width: int) -> Column:

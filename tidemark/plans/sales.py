@@ -36,6 +36,13 @@ def month_totals(stg: DataFrame, by: list[str]) -> DataFrame:
     return stg.groupBy(*by).agg(*[F.sum(m).alias(m) for m in MONTHS])
 
 
+def _daily_totals(stg: DataFrame) -> DataFrame:
+    """Month sums per report and sales date. Rows without either date are no
+    report; saying so here keeps every use of the sums one shared shuffle."""
+    dated = stg.filter(F.col("rpt_dt").isNotNull() & F.col("sales_through_dt").isNotNull())
+    return month_totals(dated, ["rpt_dt", "sales_through_dt"])
+
+
 def _sales_dates(
     cal: DataFrame, as_of: dt.date, window: str, since: dt.date | None, country: str
 ) -> DataFrame:
@@ -77,7 +84,7 @@ def daily_sales(
     on a computed date.
     """
     dates = _sales_dates(cal, as_of, window, since, country)
-    totals = month_totals(stg, ["rpt_dt", "sales_through_dt"])
+    totals = _daily_totals(stg)
     now = totals.join(dates, F.col("sales_through_dt") == F.col("sales_thru_dt")).select(
         "rpt_dt",
         "sales_thru_dt",
@@ -124,7 +131,7 @@ def mtd_all_months(
 ) -> DataFrame:
     """Totals of every month up to the report month, one row per month."""
     dates = _sales_dates(cal, as_of, window, since, country)
-    totals = month_totals(stg, ["rpt_dt", "sales_through_dt"])
+    totals = _daily_totals(stg)
     joined = totals.join(dates, F.col("sales_through_dt") == F.col("sales_thru_dt"))
     keys = ["rpt_dt", "sales_thru_dt", "rpt_mth_nbr", "rpt_mth_abbr_txt"]
     return unpivot_months(joined, keys, "mtd_sales").filter("month_no <= rpt_mth_nbr").select(
