@@ -112,10 +112,12 @@ def test_hot_keys_stay_within_the_broadcast_bound(spark):
     assert hot_keys(df, ["k"], min_rows=1).count() <= 1000
 
 
-def test_event_sequence_spans_slots(spark):
-    df = spark.createDataFrame([("v", D(2000 + i, 1, 1)) for i in range(6)], "veh_id_nbr string, file_dt date")
-    out = courtesy.event_sequence(df, slot_days=500).orderBy("file_dt").collect()
-    assert [r.seq_asc for r in out] == [1, 2, 3, 4, 5, 6] and [r.seq_desc for r in out] == [6, 5, 4, 3, 2, 1]
+def test_event_sequence_of_a_hot_vehicle(spark):
+    data = [("v", D(2000 + i, 1, 1)) for i in range(40)] + [("u", D(2001, 1, 1)), ("w", D(1999, 1, 1))]
+    df = spark.createDataFrame(data, "veh_id_nbr string, file_dt date")
+    out = courtesy.event_sequence(df).orderBy("veh_id_nbr", "file_dt").collect()
+    assert [r.seq_asc for r in out] == [1, *range(1, 41), 1]
+    assert [r.seq_desc for r in out] == [1, *range(40, 0, -1), 1]
 
 
 def test_merge_first_nonnull(spark):

@@ -67,10 +67,7 @@ def not_in(df: DataFrame, other: DataFrame, keys: list[str], strict_null: bool =
     plain = df.filter(whole).join(listed.filter(whole), keys, "left_anti")
     if not strict_null:
         return plain
-    flag = F.lit(1).alias("_one")
-    # limit(1): one row at most, so both guards broadcast safely.
-    has_null = F.broadcast(listed.filter(~whole).limit(1).select(flag))
-    any_row = F.broadcast(listed.limit(1).select(flag))
-    kept = plain.withColumn("_one", F.lit(1)).join(has_null, "_one", "left_anti")
-    unlisted = df.filter(~whole).withColumn("_one", F.lit(1)).join(any_row, "_one", "left_anti")
-    return kept.unionByName(unlisted).select(*df.columns)
+    # Both guards are scalar subqueries over limit(1): they stop at one row.
+    nulls = listed.filter(~whole).limit(1).agg(F.count(F.lit(1))).scalar()
+    any_row = listed.limit(1).agg(F.count(F.lit(1))).scalar()
+    return plain.filter(nulls == 0).unionByName(df.filter(~whole & (any_row == 0)))

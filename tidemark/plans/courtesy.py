@@ -11,13 +11,14 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contracts import COURTESY_TARGET
 from tidemark.functions.dates import as_date
 from tidemark.operators.dedupe import dedupe, first_seen_on
 from tidemark.operators.joins import hot_keys, skew_join
+from tidemark.operators.numbering import number_rows
 from tidemark.operators.shape import audit_columns, label_codes
 
 # Selling-source codes and labels, KPI types, program start.
@@ -130,7 +131,8 @@ def ctp_incremental(
         deliveries, first_year=first_year, until=as_of - dt.timedelta(days=1)
     ).withColumnRenamed("veh_id_nbr", "vin")
     fresh = first_seen_on(oos, NATURAL_KEY, "todaydate", as_date(as_of))
-    credited = skew_join(fresh, dealers, ["vin"], hot_keys(fresh, ["vin"]))
+    hot = hot_keys(oos.filter(F.col("todaydate") == as_date(as_of)), ["vin"])
+    credited = skew_join(fresh, dealers, ["vin"], hot)
     return _credited(credited, "last_dealer").distinct()
 
 
@@ -153,24 +155,18 @@ def ctp_combined(
     )
 
 
-def event_sequence(events: DataFrame, slot_days: int = 366) -> DataFrame:
+def event_sequence(events: DataFrame) -> DataFrame:
     """Number the events of each vehicle by file date: ``seq_asc`` and
-    ``seq_desc``. Counts per year are summed first, so the events of one
-    vehicle are numbered year by year in separate tasks."""
-    order = ["file_dt", *[c for c in events.columns if c not in ("veh_id_nbr", "file_dt")]]
-    slotted = events.withColumn("_slot", F.floor(F.datediff("file_dt", F.lit(dt.date(1970, 1, 1))) / slot_days))
-    sizes = slotted.groupBy("veh_id_nbr", "_slot").agg(F.count(F.lit(1)).alias("_n"))
-    per_vehicle = Window.partitionBy("veh_id_nbr").orderBy("_slot")
-    starts = sizes.select(
-        "veh_id_nbr",
-        "_slot",
-        (F.sum("_n").over(per_vehicle) - F.col("_n")).alias("_before"),
-        F.sum("_n").over(Window.partitionBy("veh_id_nbr")).alias("_all"),
-    )
-    inside = Window.partitionBy("veh_id_nbr", "_slot").orderBy(*order)
-    numbered = slotted.join(starts, ["veh_id_nbr", "_slot"]).withColumn(
-        "seq_asc", F.row_number().over(inside) + F.col("_before")
-    )
-    return numbered.withColumn("seq_desc", F.col("_all") - F.col("seq_asc") + 1).select(
-        *events.columns, "seq_asc", "seq_desc"
+    ``seq_desc``, ties by the other columns.
+
+    All events are numbered once in vehicle and date order, over many tasks;
+    the vehicle's own numbers follow from its first and last position, so a
+    vehicle with a large part of all events is no special case.
+    """
+    numbered = number_rows(events, [F.col("veh_id_nbr"), F.col("file_dt")], "_n")
+    ends = numbered.groupBy("veh_id_nbr").agg(F.min("_n").alias("_lo"), F.max("_n").alias("_hi"))
+    return numbered.join(ends, "veh_id_nbr").select(
+        *events.columns,
+        (F.col("_n") - F.col("_lo") + 1).alias("seq_asc"),
+        (F.col("_hi") - F.col("_n") + 1).alias("seq_desc"),
     )

@@ -81,9 +81,17 @@ def unseen(staging: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     return dedupe(fresh, keys, order, keep="first")
 
 
-def append_new(staging: DataFrame, path: str, keys: list[str]) -> None:
-    """Insert only unseen keys. A second run with the same rows adds nothing."""
+def append_new(staging: DataFrame, path: str, keys: list[str], within: str | None = None) -> None:
+    """Insert only unseen keys. A second run with the same rows adds nothing.
+
+    ``within`` names a column, such as an event time, that repeats of a key
+    share: the target is then read only between its lowest and highest staged
+    value, which skips the row groups and partitions outside.
+    """
     target = existing(staging.sparkSession, path, staging.schema)
+    if within:
+        lo, hi = (staging.agg(f(within)).scalar() for f in (F.min, F.max))
+        target = target.filter(F.col(within).between(lo, hi) | F.col(within).isNull())
     unseen(staging, target, keys).write.mode("append").parquet(path)
 
 

@@ -35,11 +35,13 @@ def ingest_stream(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuer
     )
 
 
-def incremental_insert_stream(stream: DataFrame, out: str, checkpoint: str, keys: list[str]) -> StreamingQuery:
+def incremental_insert_stream(
+    stream: DataFrame, out: str, checkpoint: str, keys: list[str], within: str | None = None
+) -> StreamingQuery:
     """Insert unseen keys per batch. A replayed batch adds nothing, since its
-    keys are stored already."""
+    keys are stored already. ``within`` limits what is read of the target."""
     return (
-        stream.writeStream.foreachBatch(lambda batch, _: append_new(batch, out, keys))
+        stream.writeStream.foreachBatch(lambda batch, _: append_new(batch, out, keys, within))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -63,7 +63,9 @@ def stream_incremental_insert(spark, sf_dir):
         spark,
         _redelivered(events),
         "arrival",
-        lambda stream, out, mark: jobs.incremental_insert_stream(stream.drop("arrival"), out, mark, ["event_id"]),
+        lambda stream, out, mark: jobs.incremental_insert_stream(
+            stream.drop("arrival"), out, mark, ["event_id"], within="ts"
+        ),
     )
     return _plain(existing(spark, out, events.schema))
 
