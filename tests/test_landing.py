@@ -127,6 +127,8 @@ def test_tables_and_partitioned_csv(spark):
     pruned = spark.table(name).filter("state = 'x'")
     assert "PartitionFilters: [isnotnull(state" in pruned._jdf.queryExecution().executedPlan().toString()
     spark.sql(f"drop table {name}")
+    assert writers.ensure_table(spark, name, df.schema) and spark.table(name).isEmpty()
+    spark.sql(f"drop table {name}")
     out = scratch_dir(spark)
     writers.write_partitioned_csv(df, "state", out)
     assert rows(spark.read.option("header", "true").csv(f"{out}/state=y")) == [("2",)]
@@ -245,6 +247,14 @@ def test_forests_learn_in_sample(sample, model, y):
         assert stats.regression_metrics(result.predictions).first().r2 > 0.7
 
 
+def test_forest_on_text_classes(sample):
+    named = sample.withColumn("word", F.when(F.col("hit") == 1, "yes").otherwise("no"))
+    result = models.fit(named, models.ModelSpec("rf_classification", "word", (("a", "continuous"), ("b", "continuous")), n_estimators=5))
+    assert result.labels == ["no", "yes"]
+    report = stats.classification_report(result.predictions, "y", "y_hat")
+    assert {r.label for r in report.collect()} >= {"no", "yes", "accuracy"}
+
+
 def test_model_specs_are_checked(sample):
     bad = models.ModelSpec("lasso", "y", (("y", "continuous"), ("g", "categorical"), ("g", "continuous")), alpha=0)
     assert len(models.spec_problems(bad)) == 3
@@ -282,5 +292,5 @@ def test_stream_insert_is_idempotent(spark):
     df.write.parquet(landing)
     for _ in range(2):  # a new checkpoint replays every file
         stream = jobs.file_stream(spark, landing, df.schema)
-        jobs.incremental_insert_stream(stream, out, scratch_dir(spark), ["id"]).awaitTermination()
+        jobs.incremental_insert_stream(stream, out, scratch_dir(spark), ["id"], within="id").awaitTermination()
     assert rows(writers.existing(spark, out, df.schema)) == [(1, "a"), (2, "c")]

@@ -50,6 +50,7 @@ class Fit:
     summary: DataFrame
     predictions: DataFrame
     features: list[str] = field(default_factory=list)
+    labels: list[str] = field(default_factory=list)
 
 
 def spec_problems(spec: ModelSpec) -> list[str]:
@@ -120,8 +121,12 @@ def validate_variables(df: DataFrame, spec: ModelSpec) -> DataFrame:
     return counts.select("variable", "missing", "unique_values", F.inline(chain))
 
 
-def prepare(df: DataFrame, spec: ModelSpec) -> tuple[DataFrame, list[str]]:
-    """Date filter, encoding, rows with any NULL dropped, feature vector."""
+def prepare(df: DataFrame, spec: ModelSpec) -> tuple[DataFrame, list[str], list[str]]:
+    """Date filter, encoding, rows with any NULL dropped, feature vector.
+
+    Returns the data, the feature names and, for a text class, its sorted
+    labels (the class number is the position of the label).
+    """
     problems = spec_problems(spec)
     if problems:
         raise ValueError("; ".join(problems))
@@ -130,11 +135,16 @@ def prepare(df: DataFrame, spec: ModelSpec) -> tuple[DataFrame, list[str]]:
     levels = category_levels(df, spec.categorical)
     encoded, made = encode_features(df, levels, always_one_hot=spec.model == "rf_classification")
     features = [*spec.continuous, *made]
+    labels: list[str] = []
+    label = F.col(spec.y)
+    if spec.model == "rf_classification" and dict(df.dtypes)[spec.y] == "string":
+        labels = category_levels(df, [spec.y])[spec.y]
+        label = F.when(label.isNotNull(), F.array_position(F.array(*[F.lit(v) for v in labels]), label) - 1)
     rows = encoded.select(
-        F.col(spec.y).cast("double").alias("label"), *[F.col(f"`{c}`").cast("double").alias(c) for c in features]
+        label.cast("double").alias("label"), *[F.col(f"`{c}`").cast("double").alias(c) for c in features]
     ).dropna()
     assembler = VectorAssembler(inputCols=features, outputCol="features")
-    return assembler.transform(rows), features
+    return assembler.transform(rows), features, labels
 
 
 def _table(df: DataFrame, rows: list[tuple], ddl: str) -> DataFrame:
@@ -225,11 +235,18 @@ def _score(model, data: DataFrame) -> DataFrame:
 
 def fit(df: DataFrame, spec: ModelSpec) -> Fit:
     """Fit the model: coefficients (or importances), summary, predictions."""
-    data, features = prepare(df, spec)
+    data, features, labels = prepare(df, spec)
     if spec.model == "linear":
         return _linear(data, features)
     if spec.model in ("logistic", "probit"):
         return _glm(data, features, "logit" if spec.model == "logistic" else "probit")
     if spec.model == "lasso":
         return _lasso(data, features, float(spec.alpha))
-    return _forest(data, features, spec.n_estimators, spec.model == "rf_classification")
+    result = _forest(data, features, spec.n_estimators, spec.model == "rf_classification")
+    if labels:
+        names = F.array(*[F.lit(v) for v in labels])
+        result.predictions = result.predictions.withColumns(
+            {c: F.element_at(names, F.col(c).cast("int") + 1) for c in ("y", "y_hat")}
+        )
+        result.labels = labels
+    return result

@@ -218,6 +218,7 @@ def objectives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_by_name(df: DataFrame, path: str, fmt: str = "text", **options: str) -> str:
     """Write rows to one folder per value of column ``f`` and return a glob
-    over those folders."""
-    df.repartition("f").write.partitionBy("f").options(**options).format(fmt).save(path)
+    over those folders. Rebalancing gathers the rows of a folder but lets AQE
+    split one that is too large for a task."""
+    df.hint("rebalance", "f").write.partitionBy("f").options(**options).format(fmt).save(path)
     return f"{path}/f=*"
