@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL: str | None = None
+_MADE: list[str] = []
+
 
 def get_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """Build a session with the settings the operators rely on.
@@ -29,16 +34,40 @@ def get_session(app: str = "tidemark", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
+def _local_root() -> str:
+    """One temporary folder per test process, removed when it ends."""
+    global _LOCAL
+    if _LOCAL is None:
+        _LOCAL = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, _LOCAL, ignore_errors=True)
+    return _LOCAL
+
+
 def scratch_dir(spark: SparkSession, label: str = "work") -> str:
-    """A new, unique folder every executor can reach.
+    """A new, unique folder every executor can reach, under the cluster's
+    ``spark.checkpoint.dir``.
 
-    It lies under the cluster's ``spark.checkpoint.dir``. Only a session
-    without that setting (a test) falls back to a local temporary folder.
+    Only where driver and executors are one local process (tests, benches) may
+    the setting be missing; elsewhere that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = os.path.join(tempfile.gettempdir(), "tidemark")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = _local_root()
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every stored copy this process has made; call it when all
+    results are written."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _MADE:
+        path = hadoop(_MADE.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:
