@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality_rules, sharding, url_filter
+from tidemark.llm import minhash, quality_rules, sharding, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -107,3 +107,9 @@ select page_id, host, path, rule, coalesce(v, 'allow') as verdict from f where k
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), "url", URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op8_bbit_minhash")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", 85)
+    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"), "kept")
