@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import minhash, quality_rules, sharding, suffixes, url_filter
+from tidemark.llm import decontaminate, minhash, quality_rules, sharding, suffixes, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -118,3 +118,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_sparse_suffixes")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeated_passages(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query("op2_cgk_decontamination")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
