@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, minhash, quality_rules, sharding, suffixes, url_filter
+from tidemark.llm import decontaminate, minhash, quality_rules, sharding, suffixes, templates, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -123,3 +123,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_cgk_decontamination")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_line_templates")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = templates.drop_templates(table(spark, sf_dir, "documents"), "text")
+    return cleaned.select("doc_id", "text", "n_lines", "n_dropped")
