@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, minhash, quality_rules, sharding, suffixes, templates, url_filter
+from tidemark.llm import decontaminate, minhash, packing, quality_rules, sharding, suffixes, templates, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -129,3 +129,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = templates.drop_templates(table(spark, sf_dir, "documents"), "text")
     return cleaned.select("doc_id", "text", "n_lines", "n_dropped")
+
+
+@query("op5_residual_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
