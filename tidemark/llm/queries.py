@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, minhash, packing, quality_rules, sharding, suffixes, templates, toxicity, url_filter
+from tidemark.llm import decontaminate, minhash, packing, quality_rules, sharding, suffixes, templates, toxicity, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -148,3 +148,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query("op6_warc_index")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
