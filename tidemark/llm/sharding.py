@@ -12,6 +12,8 @@ the names used here, are ignored by ``shard_rows``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,14 +35,15 @@ def slot_weights(df: DataFrame, size: str, rows: Column, n_slots: int = N_SLOTS)
     return slots.join(sums, "virtual_slot", "left").fillna(0, ["bytes", "rows"])
 
 
-def _fold(slots: DataFrame, loads: Column, target: Column) -> DataFrame:
+def _fold(slots: DataFrame, loads: Column, mean: Column, target: Callable[[Column, Column], Column]) -> DataFrame:
     """Walk the slots from large to small, keeping the load of each shard.
 
     ``slots`` has ``n_slots`` rows (virtual_slot, bytes, shard), so one array
-    holds them all. ``target(state, slot)`` names the shard that takes a slot.
+    holds them all. ``target(state, slot)`` names the shard that takes a slot;
+    it may use the column ``mean``.
     """
     heavy = F.reverse(F.sort_array(F.collect_list(F.struct("bytes", F.negative("virtual_slot").alias("key"), "shard"))))
-    row = slots.agg(heavy.alias("heavy"))
+    row = slots.agg(heavy.alias("heavy")).withColumns({"mean": mean, "loads": loads})
 
     def place(state: Column, x: Column) -> Column:
         to = target(state, x)
@@ -57,7 +60,7 @@ def _fold(slots: DataFrame, loads: Column, target: Column) -> DataFrame:
         )
         return F.struct(moved.alias("loads"), F.concat(state["placed"], F.array(to)).alias("placed")).cast(_STATE)
 
-    start = F.struct(loads.alias("loads"), F.array().cast("array<int>").alias("placed")).cast(_STATE)
+    start = F.struct("loads", F.array().cast("array<int>").alias("placed")).cast(_STATE)
     done = row.select("heavy", F.aggregate("heavy", start, place)["placed"].alias("placed"))
     return done.select(F.inline(F.arrays_zip("heavy", "placed"))).select(
         F.negative("heavy.key").cast("int").alias("virtual_slot"), F.col("placed").alias("shard")
@@ -68,7 +71,7 @@ def build_map(weights: DataFrame, shards: int) -> DataFrame:
     """Version 1 of the map: the largest slot first, each to the lightest shard."""
     loads = F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: F.struct(F.lit(0).cast("bigint").alias("load"), s.alias("shard")))
     slots = weights.select("virtual_slot", "bytes", F.lit(-1).alias("shard"))
-    placed = _fold(slots, loads, lambda state, x: F.array_min(state["loads"])["shard"])
+    placed = _fold(slots, loads, F.lit(0.0), lambda state, x: F.array_min(state["loads"])["shard"])
     return placed.withColumn("version", F.lit(1))
 
 
@@ -91,10 +94,10 @@ def rebalance(current: DataFrame, weights: DataFrame, shards: int) -> DataFrame:
     def target(state: Column, x: Column) -> Column:
         light = F.array_min(state["loads"])
         own = F.filter(state["loads"], lambda s: s["shard"] == x["shard"])[0]["load"]
-        return F.when((own > mean) & (light["load"] + x["bytes"] < own), light["shard"]).otherwise(x["shard"])
+        return F.when((own > F.col("mean")) & (light["load"] + x["bytes"] < own), light["shard"]).otherwise(x["shard"])
 
     version = current.agg(F.max("version") + 1).scalar()
-    return _fold(slots.select("virtual_slot", "bytes", "shard"), loads, target).withColumn("version", version.cast("int"))
+    return _fold(slots.select("virtual_slot", "bytes", "shard"), loads, mean, target).withColumn("version", version.cast("int"))
 
 
 def write_map(slot_map: DataFrame, path: str) -> None:

@@ -140,9 +140,27 @@ def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(same.all(axis=1), a.shape[1], (~same).argmax(axis=1))
 
 
+def _by_left(rows: pa.Table) -> np.ndarray:
+    """Order by half, then the words before (nearest first), then those after."""
+    half = rows.column("half").to_numpy().astype(">i8")
+    width = 8 + 4 * WIDTH
+    joined = np.empty((len(half), width), np.uint8)
+    joined[:, :8] = half.view(np.uint8).reshape(-1, 8)
+    joined[:, 8 : 8 + 4 * LEFT] = _matrix(rows.column("before"), LEFT).view(np.uint8).reshape(-1, 4 * LEFT)
+    joined[:, 8 + 4 * LEFT :] = _matrix(rows.column("after"), RIGHT).view(np.uint8).reshape(-1, 4 * RIGHT)
+    return np.lexsort([rows.column("at").to_numpy(), rows.column("tid").to_numpy(), np.unique(joined.view(f"S{width}").reshape(-1), return_inverse=True)[1]])
+
+
 def _extend(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Matches of sorted suffixes with the nearest ones of other texts before
-    and after them: place, begin and end, in words."""
+    """tid, begin and end of the matches of sorted suffixes. The neighbours with
+    the longest match behind them come from the order given, those with the
+    longest match before them from the same suffixes ordered by what precedes."""
+    found = [_matches(rows), _matches(rows.take(pa.array(_by_left(rows))))]
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _matches(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Matches with the nearest suffixes of other texts before and after."""
     tid, at = rows.column("tid").to_numpy(), rows.column("at").to_numpy()
     after, before = _matrix(rows.column("after"), RIGHT), _matrix(rows.column("before"), LEFT)
     n = len(tid)
@@ -154,7 +172,7 @@ def _extend(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         ok = np.flatnonzero(other >= 0)
         right, left = _common(after[ok], after[other[ok]]), _common(before[ok], before[other[ok]])
         enough = right + left >= MIN_WORDS
-        hits.append((ok[enough], at[ok][enough] - left[enough], at[ok][enough] + right[enough]))
+        hits.append((tid[ok][enough], at[ok][enough] - left[enough], at[ok][enough] + right[enough]))
     return tuple(np.concatenate(x) for x in zip(*hits))
 
 
@@ -171,22 +189,18 @@ def match_spans(records: DataFrame) -> DataFrame:
             return
         rows = pa.Table.from_batches(held).combine_chunks().select(_COLUMNS)
         tid, n = rows.column("tid").to_numpy(), rows.num_rows
-        place, begin, end = _extend(rows)
+        hit, begin, end = _extend(rows)
         other = np.flatnonzero(tid != tid[0])
         head = other[0] + 1 if len(other) else n  # the first run and one row behind it
         other = np.flatnonzero(tid != tid[-1])
         tail = other[-1] if len(other) else 0
         part = TaskContext.get().partitionId()
-        for side, pick, b, e in (
-            ("", place, begin, end),
-            ("head", np.arange(head), None, None),
-            ("tail", np.arange(tail, n), None, None),
-        ):
-            some = rows.take(pa.array(pick))
-            none = pa.nulls(len(pick), pa.int64())
-            yield from some.append_column("begin", none if b is None else pa.array(b)).append_column(
-                "end", none if e is None else pa.array(e)
-            ).append_column("range", pa.array(np.full(len(pick), part, np.int32))).append_column("side", pa.array([side] * len(pick), pa.string())).to_batches()
+        for side, some in (("", None), ("head", rows.slice(0, head)), ("tail", rows.slice(tail))):
+            count = len(hit) if some is None else some.num_rows
+            number, text = pa.nulls(count, pa.int64()), pa.nulls(count, pa.binary())
+            columns = [pa.array(hit), number, number, text, text, pa.array(begin), pa.array(end)] if some is None else [*some.columns, number, number]
+            columns += [pa.array(np.full(count, part, np.int32)), pa.array([side] * count, pa.string())]
+            yield from pa.table(columns, names=[*_COLUMNS, "begin", "end", "range", "side"]).to_batches()
 
     # ranges come in order of their number, whatever becomes of empty ones
     scanned = settle(records.repartitionByRange(ranges, *order).sortWithinPartitions(*order).mapInArrow(scan, schema), "scanned")
@@ -202,8 +216,8 @@ def match_spans(records: DataFrame) -> DataFrame:
         first = _matrix(rows.column("after"), RIGHT), _matrix(rows.column("before"), LEFT)
         order = np.lexsort([rows.column("at").to_numpy(), rows.column("tid").to_numpy(), *first[1].T[::-1], *first[0].T[::-1], rows.column("half").to_numpy()])
         rows = rows.take(pa.array(order))
-        place, begin, end = _extend(rows)
-        return pa.table([pa.array(rows.column("tid").to_numpy()[place]), pa.array(begin), pa.array(end)], names=["tid", "begin", "end"])
+        tid, begin, end = _extend(rows)
+        return pa.table([pa.array(tid), pa.array(begin), pa.array(end)], names=["tid", "begin", "end"])
 
     return inner.unionByName(edges.groupBy("edge").applyInArrow(across, "tid long, begin long, end long"))
 

@@ -17,7 +17,7 @@ choose from.
 Defined results: NULL texts stay NULL and empty ones empty; lines without a
 word are never dropped; repeated rows count as documents and are treated alike;
 an empty table gives an empty result; columns other than the text (and
-``n_chars``, kept in step with it) stay as they are, NULL keys included.
+the counts added) stay as they are, NULL keys included.
 """
 
 from __future__ import annotations
@@ -115,17 +115,17 @@ def recurring_lines(df: DataFrame, text: str, min_docs: int = MIN_DOCS) -> DataF
 
 
 def drop_templates(df: DataFrame, text: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
-    """``df`` without recurring lines, plus n_lines and n_dropped."""
-    found = recurring_lines(df, text, min_docs).withColumnRenamed("tid", "_tid")
-    joined = df.withColumn("_tid", _tid(F.col(text))).join(found, "_tid", "left").drop("_tid")
+    """``df`` without recurring lines, plus n_lines and n_dropped (which replace
+    columns of that name; names that begin with two underscores are reserved)."""
+    found = recurring_lines(df, text, min_docs).select(F.col("tid").alias("__tid"), F.col("drop").alias("__drop"))
+    joined = df.withColumn("__tid", _tid(F.col(text))).join(found, "__tid", "left")
     lines = F.split(F.col(text), "\n")
-    kept = F.filter(lines, lambda x, i: ~F.array_contains("drop", i))
-    body = F.when(F.col("drop").isNotNull(), F.array_join(kept, "\n"))
-    out = joined.withColumn("_body", body)
-    out = out.withColumn("_cut", F.coalesce(2 * F.length("_body") >= F.length(text), F.lit(False)))
+    kept = F.filter(lines, lambda x, i: ~F.array_contains("__drop", i))
+    out = joined.withColumn("__body", F.when(F.col("__drop").isNotNull(), F.array_join(kept, "\n")))
+    out = out.withColumn("__cut", F.coalesce(2 * F.length("__body") >= F.length(text), F.lit(False)))
     added = {
         "n_lines": F.coalesce(F.size(lines), F.lit(0)),
-        "n_dropped": F.when(F.col("_cut"), F.size("drop")).otherwise(0),
-        text: F.when(F.col("_cut"), F.col("_body")).otherwise(F.col(text)),
+        "n_dropped": F.when(F.col("__cut"), F.size("__drop")).otherwise(0),
+        text: F.when(F.col("__cut"), F.col("__body")).otherwise(F.col(text)),
     }
-    return out.withColumns(added).drop("drop", "_body", "_cut")
+    return out.withColumns(added).drop("__tid", "__drop", "__body", "__cut")
