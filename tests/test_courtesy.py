@@ -9,7 +9,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedupe import dedupe, first_seen_on, merge_first_nonnull
-from tidemark.operators.joins import hot_keys, not_in, skew_join
+from tidemark.operators import numbering
+from tidemark.operators.joins import not_in
 from tidemark.plans import courtesy
 
 D = dt.date
@@ -98,18 +99,43 @@ def test_not_in_modes(spark):
     assert rows(not_in(probe, listed.limit(0), ["k"], strict_null=True)) == [(None,), (1,), (2,)]
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_skew_join_equals_plain_join(spark, how):
-    left = spark.range(3000).selectExpr("if(id % 3 = 0, 0, id % 50) as k", "id as v")
-    right = spark.range(40).selectExpr("id as k", "id * 10 as w")
-    hot = hot_keys(left, ["k"], min_rows=500)
-    assert [r.k for r in hot.collect()] == [0]
-    assert rows(skew_join(left, right, ["k"], hot, how)) == rows(left.join(right, "k", how))
-
-
-def test_hot_keys_stay_within_the_broadcast_bound(spark):
-    df = spark.range(20000).selectExpr("id % 10 as k")
-    assert hot_keys(df, ["k"], min_rows=1).count() <= 1000
+def test_a_heavy_vehicle_is_split_by_the_join(spark):
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k) for k in low}
+    try:
+        for k, v in low.items():
+            spark.conf.set(k, v)
+        left = spark.range(0, 20000, 1, 8).selectExpr("if(id % 3 = 0, 0, id % 400) as k", "uuid() as v")
+        right = spark.range(400).selectExpr("id as k", "id * 10 as w")
+        joined = left.join(right, "k").groupBy("k").agg(F.max("v"), F.max("w"))
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("parts", ["2", "7"])
+def test_number_rows_sizes_its_ranges_by_count(spark, parts, monkeypatch):
+    monkeypatch.setattr(numbering, "RANGE_ROWS", 100)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    seen = {}
+    keep = numbering.settle
+    monkeypatch.setattr(numbering, "settle", lambda df, label: seen.setdefault(label, keep(df, label)))
+    try:
+        df = spark.range(1000).selectExpr("pmod(hash(id), 5000) as k", "id")
+        got = numbering.number_rows(df, [F.col("k")], "n").orderBy("n").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert [r.n for r in got] == list(range(1, 1001)) and [r.k for r in got] == sorted(r.k for r in got)
+    assert seen["ranges"].groupBy("_part").count().agg(F.max("count")).first()[0] < 250
 
 
 def test_event_sequence_of_a_hot_vehicle(spark):

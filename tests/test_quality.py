@@ -52,6 +52,37 @@ def test_checksum_fails_for_plus_signs(spark):
     assert rows(quality.passing_files(sums, "file")) == [("g",)]
 
 
+def test_checksum_is_exact_for_any_number_of_digits(spark):
+    big, more = "9" * 40, "1" + "0" * 9
+    df = spark.createDataFrame([("f", f"a~{big}~{more}"), ("f", f"b~{big}~{more}"), ("f", "c~007~"), ("f", "d~x~-3")], "file string, r string")
+    got = {r.position: (r.sum_before, r.sum_after, r.passed) for r in quality.pad_checksum(df, "file", "r", 6, "~").collect()}
+    total = str(2 * int(big) + 7)
+    assert got == {0: (total, total, True), 1: (str(2 * int(more)), str(2 * int(more)), True)}
+
+
+def test_only_passing_files_are_written(spark, tmp_path):
+    df = spark.createDataFrame([("f", "a~+5"), ("g", "a~5"), ("g", "b~007~x")], "file string, r string")
+    sums = quality.pad_checksum(df, "file", "r", 6, "~")
+    quality.write_passing_files(df, sums, "file", str(tmp_path / "out"))
+    assert rows(spark.read.text(str(tmp_path / "out"))) == [("a~5", "g"), ("b~007~x", "g")]
+
+
+def test_whole_numbers_of_any_length(spark):
+    df = spark.createDataFrame([("0" * 30 + "42",), ("9" * 30,), ("+7",), ("1 2",)], "n string")
+    assert [r.n for r in cast_columns(df, {"n": "bigint"}).collect()] == [42, None, 7, None]
+
+
+def test_comparison_of_repeated_keys_and_columns(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "y"), (2, "x"), (2, "x"), (None, "n"), (3, None)], "k int, v string")
+    same = compare_datasets(a, a.orderBy(F.desc("v")), ["k"])
+    assert same.count() == 0
+    b = spark.createDataFrame([(1, "x", 0), (1, "z", 0), (2, "x", 0), (2, "x", 0), (None, "n", 0), (3, "", 0)], "k int, v string, w int")
+    got = rows(compare_datasets(a, b, ["k"]))
+    assert got == [(None, "w", None, None, "missing_column_left"), (1, None, "2", "2", "duplicate_key"), (3, "v", None, "", "value")]
+    plan = compare_datasets(a, b.select("k", "v"), ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_casts_give_null_for_bad_text(spark):
     df = spark.createDataFrame([("abc", "13312023"), ("", "12312023"), (" 12 ", None), ("99999999999", "")], "n string, d string")
     out = parse_dates(cast_columns(df, {"N": "int"}), {"d": "MMddyyyy"})

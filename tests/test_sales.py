@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import pathlib
 from functools import reduce
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -12,9 +14,11 @@ from tidemark.functions.dates import as_date, previous_report
 from tidemark.functions.months import MONTHS, pick_report_month
 from tidemark.operators.carry import asof_join, asof_latest, date_spine, locf, previous
 from tidemark.operators.shape import unpivot_months
-from tidemark.plans import sales
+from tidemark import session
+from tidemark.plans import inputs, sales
 
 D = dt.date
+SF_DIR = "/root/testdata/sf0.001"
 
 
 def staging(spark, days):
@@ -152,3 +156,38 @@ def test_staging_is_summed_before_any_join(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert "ReadSchema: struct<l_suppkey:bigint,l_shipdate:timestamp_ntz>" in plan
+
+
+def test_daily_increment_bounds_both_staging_scans(spark, tmp_path):
+    inputs.staging(spark, SF_DIR).write.parquet(str(tmp_path / "stg"))
+    stg = spark.read.parquet(str(tmp_path / "stg"))
+    day = D(1998, 1, 14)
+    out = sales.daily_sales(stg, inputs.calendar(spark, SF_DIR), day, "increment", day)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    scans = [x for x in plan.split("\n") if "FileScan parquet" in x and "sales_through_dt" in x]
+    assert len(scans) == 2 and all("sales_through_dt#" in x.split("DataFilters")[1].split("Format")[0] and ">=" in x for x in scans)
+
+
+def test_a_cluster_session_needs_a_shared_folder(monkeypatch):
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        session.scratch_dir(Session())
+
+
+def test_stored_copies_can_be_released(spark):
+    path = session.scratch_dir(spark, "x")
+    spark.range(3).write.parquet(path)
+    made = list(session._MADE)
+    session._MADE[:] = [path]
+    session.release(spark)
+    session._MADE[:] = [p for p in made if p != path]
+    assert not pathlib.Path(path).exists()

@@ -77,7 +77,7 @@ def zero_pad(field: Column, width: int) -> Column:
 def whole_number(text: Column, kind: str) -> Column:
     """Text to an integer type, NULL if it is none. The pattern keeps plain
     text away from the cast, which is slow on what it cannot read."""
-    return F.when(text.rlike(r"^\s*[+-]?\d{1,19}\s*$"), text.try_cast(kind))
+    return F.when(text.rlike(r"^\s*[+-]?\d+\s*$"), text.try_cast(kind))
 
 
 def split_fields(record: Column, delimiter: str) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import as_date
 from tidemark.operators.joins import same_keys
+from tidemark.session import settle
 
 
 def _enter(df: DataFrame, carried: DataFrame, by: list[str]) -> DataFrame:
@@ -87,7 +88,8 @@ def asof_join(
         .groupBy(*by, "_t")
         .agg(F.max("_v").alias("_v"))
     )
-    filled = locf(times, by, "_t", ["_v"], slot(F.col("_t")))
+    # the slots' summaries and the fill both read these rows
+    filled = locf(settle(times, "times"), by, "_t", ["_v"], slot(F.col("_t")))
     looked = left.withColumn("_t", F.col(left_t)).join(filled, [*by, "_t"], "left")
     return looked.select(*[left_col for left_col in left.columns], F.col("_v").alias(out))
 

@@ -2,54 +2,65 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import same_keys
-
-
-def _one_per_key(df: DataFrame, keys: list[str], cols: list[str], side: str) -> DataFrame:
-    return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias(f"_n_{side}"),
-        *[F.min(F.col(c).cast("string")).alias(f"_{side}_{c}") for c in cols],
-    )
-
 
 def compare_datasets(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Cell-level differences: (keys..., column, left, right, kind).
+    """Differences: (keys..., column, left, right, kind).
 
-    ``kind`` is ``missing_left``, ``missing_right``, ``value`` or
-    ``duplicate_key``. A key met more than once on either side is reported
-    with both counts and not compared cell by cell, so no group is ever
-    multiplied out. Each side shrinks to one row per key before the join, and
-    both aggregates already have the join's partitioning. NULL keys match.
+    ``kind`` is ``missing_left``, ``missing_right``, ``value``,
+    ``duplicate_key``, ``missing_column_left`` or ``missing_column_right``. Both
+    sides go through one aggregate per key, without a join; NULL keys match. A
+    key met more than once is compared as a whole, by row counts and sums of
+    row hashes: equal sets of rows are no difference, others are reported with
+    both counts. No group is ever multiplied out or gathered.
     """
     cols = [c for c in left.columns if c in right.columns and c not in keys]
-    a = _one_per_key(left, keys, cols, "l")
-    b = _one_per_key(right, keys, cols, "r")
-    b = b.withColumnsRenamed({k: f"_k_{k}" for k in keys})
-    merged = a.join(b, same_keys(keys, "_k_"), "full_outer").withColumns(
-        {k: F.coalesce(k, f"_k_{k}") for k in keys}
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        cells = [F.col(c).cast("string").alias(f"_v{i}") for i, c in enumerate(cols)]
+        return df.select(*keys, F.lit(name).alias("_side"), *cells)
+
+    values = [f"_v{i}" for i in range(len(cols))]
+    both = side(left, "l").unionByName(side(right, "r"))
+
+    def of(name: str, x: Column) -> Column:
+        return F.when(F.col("_side") == name, x)
+
+    # NULLs count: an absent value has a hash of its own
+    row = F.xxhash64(F.lit(len(values)), *[F.coalesce(F.concat(F.lit("="), v), F.lit("")) for v in values])
+    merged = both.groupBy(*keys).agg(
+        *[F.count(of(s, F.lit(1))).alias(f"_n_{s}") for s in "lr"],
+        *[F.coalesce(F.sum(of(s, row.cast("decimal(20,0)"))), F.lit(0)).alias(f"_h_{s}") for s in "lr"],
+        *[F.min(of(s, F.col(v))).alias(f"_{s}{v}") for s in "lr" for v in values],
     )
-    n_l, n_r = F.coalesce(F.col("_n_l"), F.lit(0)), F.coalesce(F.col("_n_r"), F.lit(0))
+    n_l, n_r = F.col("_n_l"), F.col("_n_r")
     none = F.lit(None).cast("string")
 
-    def cell(column, lv, rv, kind):
-        return F.struct(column.alias("column"), lv.alias("left"), rv.alias("right"), kind.alias("kind"))
+    def cell(column: Column, lv: Column, rv: Column, kind: str) -> Column:
+        return F.struct(column.alias("column"), lv.alias("left"), rv.alias("right"), F.lit(kind).alias("kind"))
 
-    whole_row = F.when(
-        (n_l > 1) | (n_r > 1), cell(none, n_l.cast("string"), n_r.cast("string"), F.lit("duplicate_key"))
-    ).when(n_r == 0, cell(none, none, none, F.lit("missing_right"))).when(
-        n_l == 0, cell(none, none, none, F.lit("missing_left"))
+    repeated = (n_l > 1) | (n_r > 1)
+    equal = (n_l == n_r) & (F.col("_h_l") == F.col("_h_r"))
+    whole = (
+        F.when(repeated & ~equal, cell(none, n_l.cast("string"), n_r.cast("string"), "duplicate_key"))
+        .when(n_r == 0, cell(none, none, none, "missing_right"))
+        .when(n_l == 0, cell(none, none, none, "missing_left"))
     )
+    single = (n_l == 1) & (n_r == 1)
     cells = [
-        F.when(
-            (n_l == 1) & (n_r == 1) & ~F.col(f"_l_{c}").eqNullSafe(F.col(f"_r_{c}")),
-            cell(F.lit(c), F.col(f"_l_{c}"), F.col(f"_r_{c}"), F.lit("value")),
-        )
-        for c in cols
+        F.when(single & ~F.col(f"_l{v}").eqNullSafe(F.col(f"_r{v}")), cell(F.lit(c), F.col(f"_l{v}"), F.col(f"_r{v}"), "value"))
+        for c, v in zip(cols, values)
     ]
-    return merged.select(*keys, F.inline(F.array_compact(F.array(whole_row, *cells))))
+    found = merged.select(*keys, F.inline(F.array_compact(F.array(whole, *cells))))
+    absent = [(c, "missing_column_right") for c in left.columns if c not in right.columns]
+    absent += [(c, "missing_column_left") for c in right.columns if c not in left.columns]
+    if not absent:
+        return found
+    rows = left.sparkSession.createDataFrame(absent, "column string, kind string")
+    typed = [F.lit(None).cast(found.schema[k].dataType).alias(k) for k in keys]
+    return found.unionByName(rows.select(*typed, "column", none.alias("left"), none.alias("right"), "kind"))
 
 
 def compare_summary(diff: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Joins with a stated treatment of NULL keys and of hot keys."""
+"""Joins with a stated treatment of NULL keys."""
 
 from __future__ import annotations
 
@@ -7,53 +7,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-HOT_SHARE = 0.001
-
-
 def same_keys(keys: list[str], prefix: str) -> Column:
     """Null-safe equality of each key with its ``prefix``-renamed twin. The
     renaming keeps both sides apart when they come from one DataFrame."""
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
 
 
-def hot_keys(df: DataFrame, on: list[str], min_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with over ``HOT_SHARE`` of all rows and at least ``min_rows``.
-
-    There are never more than ``1 / HOT_SHARE`` of them, whatever the data
-    size, so the result is safe to broadcast. Only the key columns are read.
-    """
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return (
-        df.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > F.greatest(total * F.lit(HOT_SHARE), F.lit(float(min_rows))))
-        .select(*on, F.lit(True).alias("_hot"))
-    )
-
-
-def skew_join(
-    left: DataFrame, right: DataFrame, on: list[str], hot: DataFrame, how: str = "inner", salts: int = 64
-) -> DataFrame:
-    """Equi join for a left side that may hold most of its rows under a few
-    keys and a right side with few rows per key.
-
-    ``hot`` comes from ``hot_keys``, counted on a cheap ancestor of ``left``.
-    Left rows of a hot key spread over ``salts`` tasks and only the matching
-    right rows are repeated. The salt is a hash of the row, so a retried task
-    gives the same rows.
-    """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"skew_join does not support {how!r}")
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
-    salted = left.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0))
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = right.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(copies))
-    return salted.drop("_hot").join(repeated.drop("_hot"), [*on, "_salt"], how).drop("_salt")
-
-
 def not_in(df: DataFrame, other: DataFrame, keys: list[str], strict_null: bool = False) -> DataFrame:
     """Rows of ``df`` whose key is not among the keys of ``other``.
 

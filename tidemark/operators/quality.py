@@ -12,6 +12,8 @@ from tidemark.functions.text import split_fields, strip, whole_number, zero_pad
 from tidemark.operators.numbering import number_rows
 from tidemark.operators.shape import WHOLE_TYPES
 
+LIMB = 9
+
 
 def dq_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One row per column: type, rows, nulls and distinct values.
@@ -139,28 +141,64 @@ def contract_violations(df: DataFrame, contract: TableContract) -> DataFrame:
     return sums.select(F.inline(rows)).filter("rows > 0")
 
 
-def pad_checksum(df: DataFrame, by: str, column: str, width: int, delimiter: str) -> DataFrame:
-    """Column sums of the numeric fields before and after padding, per file:
-    (by, position, sum_before, sum_after, passed)."""
+def _limbs(x: Column) -> Column:
+    """A whole number as limbs of ``LIMB`` digits, the lowest first; other text
+    is zero. Every length has its limbs, so no field is left out of a sum."""
+    digits = F.ltrim(F.when(x.rlike(r"^\d+$"), x).otherwise("0"), F.lit("0"))
+    n = F.length(digits)
+
+    def limb(i: Column) -> Column:
+        end = n - i * LIMB
+        begin = F.greatest(end - LIMB, F.lit(0))
+        return F.substr(digits, begin + 1, end - begin).cast("bigint")
+
+    short = F.array(F.when(digits == "", F.lit("0")).otherwise(digits).cast("bigint"))
+    more = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / LIMB).cast("int")), limb)
+    return F.when(n <= LIMB, short).otherwise(more)
+
+
+def _written_out(sums: Column, name: str) -> Column:
+    """Sums of limbs as one decimal number, carried from limb to limb."""
+    start = F.struct(F.lit(0).cast("bigint").alias("carry"), F.lit("").alias("text"))
+    base = F.lit(10**LIMB).cast("bigint")
 
-    def numeric(x: Column) -> Column:
-        return F.when(x.rlike(r"^\d+$"), x.try_cast("decimal(38,0)")).otherwise(F.lit(0).cast("decimal(38,0)"))
+    def add(state: Column, x: Column) -> Column:
+        total = state["carry"] + x[name]
+        low = F.lpad((total % base).cast("string"), LIMB, "0")
+        return F.struct(((total - total % base) / base).cast("bigint").alias("carry"), F.concat(low, state["text"]).alias("text"))
 
+    text = F.aggregate(sums, start, add, lambda s: F.concat(s["carry"].cast("string"), s["text"]))
+    lean = F.ltrim(text, F.lit("0"))
+    return F.when(lean == "", F.lit("0")).otherwise(lean)
+
+
+def pad_checksum(df: DataFrame, by: str, column: str, width: int, delimiter: str) -> DataFrame:
+    """Column sums of the numeric fields before and after padding, per file:
+    (by, position, sum_before, sum_after, passed). The sums are exact whole
+    numbers of any length, written as text."""
     fields = split_fields(strip(F.col(column)), delimiter)
-    sums = (
+    limbs = (
         df.filter(strip(F.col(column)) != "")
         .select(by, F.posexplode(F.slice(fields, F.lit(2), F.size(fields))).alias("position", "_raw"))
-        .select(by, "position", strip(F.col("_raw")).alias("_before"))
-        .withColumn("_after", zero_pad(F.col("_before"), width))
-        .groupBy(by, "position")
-        .agg(
-            F.sum(numeric(F.col("_before"))).alias("sum_before"),
-            F.sum(numeric(F.col("_after"))).alias("sum_after"),
-        )
+        .select(by, "position", strip(F.col("_raw")).alias("_raw"))
+        .select(by, "position", F.posexplode(F.arrays_zip(_limbs(F.col("_raw")).alias("b"), _limbs(zero_pad(F.col("_raw"), width)).alias("a"))).alias("_limb", "_x"))
     )
-    return sums.withColumn("passed", F.col("sum_before") == F.col("sum_after"))
+    summed = limbs.groupBy(by, "position", "_limb").agg(
+        F.coalesce(F.sum("_x.b"), F.lit(0)).alias("b"), F.coalesce(F.sum("_x.a"), F.lit(0)).alias("a")
+    )
+    # as many limbs as the longest field has
+    sums = summed.groupBy(by, "position").agg(F.sort_array(F.collect_list(F.struct("_limb", "b", "a"))).alias("_s"))
+    out = sums.select(by, "position", _written_out(F.col("_s"), "b").alias("sum_before"), _written_out(F.col("_s"), "a").alias("sum_after"))
+    return out.withColumn("passed", F.col("sum_before") == F.col("sum_after"))
 
 
 def passing_files(checksum: DataFrame, by: str) -> DataFrame:
     """Files all of whose column sums match."""
     return checksum.groupBy(by).agg(F.bool_and("passed").alias("_ok")).filter("_ok").select(by)
+
+
+def write_passing_files(records: DataFrame, checksum: DataFrame, by: str, path: str, fmt: str = "text", **options: str) -> None:
+    """Write the records of files all of whose column sums match, and no others,
+    one folder per file. ``checksum`` has a few rows per file."""
+    good = records.join(passing_files(checksum, by), by, "left_semi")
+    good.write.mode("overwrite").options(**options).partitionBy(by).format(fmt).save(path)

@@ -193,11 +193,10 @@ def extract_ranges(
         .when(
             width != head_width,
             F.concat(
-                F.lit("Length mismatch: Expected axis has "),
+                F.lit("range is "),
                 width.cast("string"),
-                F.lit(" elements, new values have "),
+                F.lit(" columns wide but its header "),
                 head_width.cast("string"),
-                F.lit(" elements"),
             ),
         )
     )

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import drop_brackets, drop_scene_headings, strip, word_count
 from tidemark.operators.carry import locf, previous
+from tidemark.session import settle
 
-# The two speaker-name patterns.
+# The two speaker-name patterns. Classes such as \w are Unicode
+# wherever a pattern is used here.
 CAPS_NAME = r"^([A-Z ]+):"
 ANY_NAME = r"^([\w\s']+):"
 
@@ -40,9 +42,9 @@ def _marked(lines: DataFrame, name_pattern: str, exclusions: list[str]) -> DataF
     a speaker who starts there (NULL on other lines)."""
     kept = lines.select("script_id", "line_no", strip(F.col("text")).alias("line"))
     for pattern in exclusions:
-        kept = kept.filter(~F.col("line").rlike(rf"\A(?:{pattern})"))
-    starts = F.col("line").rlike(rf"\A(?:{name_pattern})")
-    name = strip(F.regexp_extract("line", rf"\A(?:{name_pattern})", 1))
+        kept = kept.filter(~F.col("line").rlike(rf"(?U)\A(?:{pattern})"))
+    starts = F.col("line").rlike(rf"(?U)\A(?:{name_pattern})")
+    name = strip(F.regexp_extract("line", rf"(?U)\A(?:{name_pattern})", 1))
     return kept.withColumn("name", F.when(starts, name))
 
 
@@ -66,6 +68,7 @@ def speaker_lines(
     """
     marked = _marked(lines, name_pattern, exclusions or [])
     turns = marked.withColumns({"speaker": F.col("name"), "is_turn": F.col("name").isNotNull()})
+    turns = settle(turns, "turns")  # patterns run once, for the block summaries and the fill
     carried = locf(turns, ["script_id"], "line_no", ["speaker"], block if block is not None else line_block())
     spoken = carried.filter(F.col("speaker").isNotNull()).withColumn(
         "dialogue", F.when(F.col("is_turn"), F.coalesce(_after_colon(), F.lit(""))).otherwise(F.col("line"))
@@ -97,7 +100,7 @@ def speaker_share(sl: DataFrame) -> DataFrame:
 
 def speaker_words_sameline(lines: DataFrame, name_pattern: str = CAPS_NAME) -> DataFrame:
     """Words on the lines that name the speaker; continuation lines do not count."""
-    rest = F.regexp_replace("line", rf"\A(?:{name_pattern})", "")
+    rest = F.regexp_replace("line", rf"(?U)\A(?:{name_pattern})", "")
     return (
         _marked(lines, name_pattern, [])
         .filter(F.col("name").isNotNull())

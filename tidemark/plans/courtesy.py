@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from tidemark.contracts import COURTESY_TARGET
 from tidemark.functions.dates import as_date
 from tidemark.operators.dedupe import dedupe, first_seen_on
-from tidemark.operators.joins import hot_keys, skew_join
 from tidemark.operators.numbering import number_rows
 from tidemark.operators.shape import audit_columns, label_codes
 
@@ -90,8 +89,9 @@ def ctp_historical(
     dealers = dealer_sequence(deliveries, first_year=first_year).withColumnRenamed("veh_id_nbr", "vin")
     newest = dedupe(oos, NATURAL_KEY, "todaydate", keep="last")
     due = newest.filter(F.col("todaydate") <= as_date(as_of - dt.timedelta(days=1)))
-    hot = hot_keys(oos, ["vin"])
-    events = skew_join(due, dealers, ["vin"], hot)
+    # One row per vehicle on the right: a vehicle with very many events is split
+    # by adaptive execution, also where an aggregate on the vehicle follows.
+    events = due.join(dealers, "vin")
     incoming = _credited(events, "first_dealer")
     ranked = [c for c in incoming.columns if c not in ("veh_id_nbr", "file_dt")]
     first = (
@@ -107,9 +107,7 @@ def ctp_historical(
         F.col("biz_assoc_id").alias("_dealer"),
         F.col("out_svc_dt").alias("_out"),
     )
-    outgoing = skew_join(
-        _credited(events, "last_dealer"), kept, ["veh_id_nbr"], hot.withColumnRenamed("vin", "veh_id_nbr"), "left"
-    )
+    outgoing = _credited(events, "last_dealer").join(kept, "veh_id_nbr", "left")
     same_file = F.coalesce(F.col("file_dt") == F.col("_file"), F.lit(False))
     repeats = same_file & (
         F.coalesce(F.col("biz_assoc_id") == F.col("_dealer"), F.lit(False))
@@ -131,9 +129,7 @@ def ctp_incremental(
         deliveries, first_year=first_year, until=as_of - dt.timedelta(days=1)
     ).withColumnRenamed("veh_id_nbr", "vin")
     fresh = first_seen_on(oos, NATURAL_KEY, "todaydate", as_date(as_of))
-    hot = hot_keys(oos.filter(F.col("todaydate") == as_date(as_of)), ["vin"])
-    credited = skew_join(fresh, dealers, ["vin"], hot)
-    return _credited(credited, "last_dealer").distinct()
+    return _credited(fresh.join(dealers, "vin"), "last_dealer").distinct()
 
 
 def ctp_combined(

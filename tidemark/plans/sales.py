@@ -84,7 +84,12 @@ def daily_sales(
     on a computed date.
     """
     dates = _sales_dates(cal, as_of, window, since, country)
-    totals = _daily_totals(stg)
+    # The report dates asked for and the days before bound the staging scan.
+    ends = dates.agg(F.min("sales_thru_dt").alias("lo"), F.max("sales_thru_dt").alias("hi"))
+    first = ends.select(F.date_sub("lo", 1)).scalar()
+    through = F.col("sales_through_dt")
+    totals = _daily_totals(stg.filter((through >= first) & (through <= ends.select("hi").scalar())))
+    dates = dates.withColumn("_day_before", F.date_sub("sales_thru_dt", 1))
     now = totals.join(dates, F.col("sales_through_dt") == F.col("sales_thru_dt")).select(
         "rpt_dt",
         "sales_thru_dt",
@@ -93,7 +98,7 @@ def daily_sales(
         pick_month(F.col("rpt_mth_nbr")).alias("_now"),
         previous_report(F.col("rpt_dt")).alias("_before_dt"),
     )
-    before = totals.join(dates, F.date_add("sales_through_dt", 1) == F.col("sales_thru_dt")).select(
+    before = totals.join(dates, F.col("sales_through_dt") == F.col("_day_before")).select(
         F.col("rpt_dt").alias("_before_dt"),
         *[
             (

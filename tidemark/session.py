@@ -27,6 +27,7 @@ def get_session(app: str = "tidemark", master: str | None = None, **conf: str) -
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     for key, value in settings.items():

@@ -187,7 +187,7 @@ def padded(spark, sf_dir):
       union all select file, 1, 0, sum(case when l_suppkey % 5 = 0 then l_linenumber else 0 end) from rec group by file
       union all select file, 2, 0, 0 from rec group by file
       union all select file, 3, sum(big), sum(big) from rec group by file)
-    select file, cast(position as int) as position, cast(b as decimal(38,0)) as sum_before, cast(a as decimal(38,0)) as sum_after, a = b as passed from s""",
+    select file, cast(position as int) as position, cast(cast(b as hugeint) as varchar) as sum_before, cast(cast(a as hugeint) as varchar) as sum_after, a = b as passed from s""",
 )
 def checksum(spark, sf_dir):
     return quality.pad_checksum(_records(spark, sf_dir), "file", "record", 6, "~")

@@ -118,7 +118,7 @@ def report_table(spark, sf_dir):
     "report_failures",
     f"""with {_PAGES}, n as (select count(*) as n from (select distinct report, sheet from page) x)
     select 'loaded' as status, null::varchar as error, 3 * n as ranges from n
-    union all select 'failed', 'Length mismatch: Expected axis has 3 elements, new values have 2 elements', n from n
+    union all select 'failed', 'range is 3 columns wide but its header 2', n from n
     union all select 'failed', 'start value not found', 2 * n from n""",
 )
 def report_failures(spark, sf_dir):
