@@ -216,8 +216,7 @@ def test_lasso_meets_its_optimality_conditions(sample):
     alpha = 0.8
     result = models.fit(sample, models.ModelSpec("lasso", "y", (("a", "continuous"), ("b", "continuous"), ("g", "categorical")), alpha=alpha))
     coef = {r.feature: r.value for r in result.coefficients.collect()}
-    levels = stats.category_levels(sample, ["g"])
-    data, _ = stats.encode_features(sample, levels)
+    data, _ = stats.encode_features(sample, {"g": ["g0", "g1", "g2"]})
     names = [n for n in coef if n != "intercept"]
     fitted = sum((F.col(n) * coef[n] for n in names), F.lit(coef["intercept"]))
     grads = data.select(*[F.avg(F.col(n) * (F.col("y") - fitted)).alias(n) for n in names]).first()
@@ -236,6 +235,20 @@ def test_binary_models_fit_the_observed_rate(sample, model):
     assert n == 400 and abs(gap) < (1e-6 if model == "logistic" else 0.02)
 
 
+def test_iterative_models_report_their_steps(sample):
+    spec = models.ModelSpec("logistic", "hit", (("a", "continuous"), ("g", "categorical")), max_iter=1)
+    short = {r.stat: r.value for r in models.fit(sample, spec).summary.collect()}
+    spec = models.ModelSpec("logistic", "hit", (("a", "continuous"), ("g", "categorical")))
+    full = {r.stat: r.value for r in models.fit(sample, spec).summary.collect()}
+    assert short["converged"] == 0 and full["converged"] == 1 and full["iterations"] > 1
+
+
+def test_categories_may_have_many_levels(spark):
+    df = spark.range(3000).selectExpr("cast(id % 1500 as string) as g", "cast(id % 1500 as double) as y")
+    result = models.fit(df, models.ModelSpec("lasso", "y", (("g", "categorical"),), alpha=1e-4, max_iter=5))
+    assert len(result.features) == 1499
+
+
 @pytest.mark.parametrize("model,y", [("rf_classification", "hit"), ("rf_regression", "y")])
 def test_forests_learn_in_sample(sample, model, y):
     result = models.fit(sample, models.ModelSpec(model, y, (("a", "continuous"), ("b", "continuous"), ("g", "categorical")), n_estimators=8))

@@ -10,13 +10,14 @@ import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.stats import category_levels, encode_features, filter_range
+from tidemark.operators.stats import filter_range
+from tidemark.session import settle
 
 MODELS = ("linear", "logistic", "probit", "lasso", "rf_classification", "rf_regression")
 SEED = 42
@@ -24,13 +25,22 @@ SEED = 42
 
 @dataclass(frozen=True)
 class ModelSpec:
-    """What to fit: ``x`` lists (column, "categorical" | "continuous")."""
+    """What to fit: ``x`` lists (column, "categorical" | "continuous").
+
+    ``resample`` (each tree on rows drawn again), ``max_depth`` (30 is the library's limit) and ``max_bins`` (split points of
+    a number) hold for forests, ``max_iter`` for the iterative models, whose
+    summaries say how many steps they took and whether they converged.
+    """
 
     model: str
     y: str
     x: tuple[tuple[str, str], ...]
     alpha: float | None = None
     n_estimators: int = 100
+    resample: bool = True
+    max_depth: int = 30
+    max_bins: int = 256
+    max_iter: int = 1000
     date_col: str | None = None
     start: dt.date | None = None
     end: dt.date | None = None
@@ -122,29 +132,46 @@ def validate_variables(df: DataFrame, spec: ModelSpec) -> DataFrame:
 
 
 def prepare(df: DataFrame, spec: ModelSpec) -> tuple[DataFrame, list[str], list[str]]:
-    """Date filter, encoding, rows with any NULL dropped, feature vector.
+    """Date filter, rows with any NULL dropped, encoding, feature vector.
 
-    Returns the data, the feature names and, for a text class, its sorted
-    labels (the class number is the position of the label).
+    Categories become sparse indicators of all their levels but the first, so a
+    column may have any number of levels; only their names, which the table of
+    coefficients lists as well, reach the driver. Returns the data, the feature
+    names and, for a text class, its sorted labels (the class number is the
+    position of the label).
     """
     problems = spec_problems(spec)
     if problems:
         raise ValueError("; ".join(problems))
     if spec.date_col:
         df = filter_range(df, spec.date_col, spec.start, spec.end)
-    levels = category_levels(df, spec.categorical)
-    encoded, made = encode_features(df, levels, always_one_hot=spec.model == "rf_classification")
-    features = [*spec.continuous, *made]
-    labels: list[str] = []
-    label = F.col(spec.y)
-    if spec.model == "rf_classification" and dict(df.dtypes)[spec.y] == "string":
-        labels = category_levels(df, [spec.y])[spec.y]
-        label = F.when(label.isNotNull(), F.array_position(F.array(*[F.lit(v) for v in labels]), label) - 1)
-    rows = encoded.select(
-        label.cast("double").alias("label"), *[F.col(f"`{c}`").cast("double").alias(c) for c in features]
+    text_class = spec.model == "rf_classification" and dict(df.dtypes)[spec.y] == "string"
+    label = F.col(spec.y).cast("string" if text_class else "double").alias("_label")
+    rows = df.select(
+        label,
+        *[F.col(c).cast("double").alias(c) for c in spec.continuous],
+        *[F.col(c).cast("string").alias(c) for c in spec.categorical],
     ).dropna()
-    assembler = VectorAssembler(inputCols=features, outputCol="features")
-    return assembler.transform(rows), features, labels
+    labels: list[str] = []
+    if text_class:
+        classes = StringIndexer(inputCol="_label", outputCol="label", stringOrderType="alphabetAsc").fit(rows)
+        rows, labels = classes.transform(rows), list(classes.labels)
+    else:
+        rows = rows.withColumn("label", F.col("_label"))
+    parts, features = list(spec.continuous), list(spec.continuous)
+    for i, c in enumerate(spec.categorical):
+        # in descending order the first level is the last, which is dropped
+        index = StringIndexer(inputCol=c, outputCol=f"_i{i}", stringOrderType="alphabetDesc").fit(rows)
+        if len(index.labels) < 2:
+            continue
+        rows = index.transform(rows)
+        rows = OneHotEncoder(inputCol=f"_i{i}", outputCol=f"_o{i}", dropLast=True).fit(rows).transform(rows)
+        parts.append(f"_o{i}")
+        code = len(index.labels) == 2 and spec.model != "rf_classification"
+        features += [f"{c}_code"] if code else [f"{c}_{v}" for v in index.labels[:-1]]
+    rows = VectorAssembler(inputCols=parts, outputCol="features").transform(rows).select("label", "features")
+    # iterative fits read their input once per step, from a stored table
+    return settle(rows, "model_input") if spec.model in ("logistic", "probit") else rows, features, labels
 
 
 def _table(df: DataFrame, rows: list[tuple], ddl: str) -> DataFrame:
@@ -156,7 +183,7 @@ def _stat(name: str, value) -> tuple[str, float | None]:
 
 
 def _linear(data: DataFrame, features: list[str]) -> Fit:
-    model = LinearRegression(solver="normal").fit(data)
+    model = LinearRegression(solver="auto").fit(data)
     s = model.summary
     rows = [
         (f, float(c), float(e), float(t), float(p))
@@ -177,8 +204,12 @@ def _linear(data: DataFrame, features: list[str]) -> Fit:
     return Fit(coefficients, summary, _score(model, data), features)
 
 
-def _glm(data: DataFrame, features: list[str], link: str) -> Fit:
-    model = GeneralizedLinearRegression(family="binomial", link=link, maxIter=50, tol=1e-10).fit(data)
+def _steps(n: int, most: int) -> list[tuple[str, float | None]]:
+    return [_stat("iterations", n), _stat("converged", n < most)]
+
+
+def _glm(data: DataFrame, features: list[str], link: str, max_iter: int) -> Fit:
+    model = GeneralizedLinearRegression(family="binomial", link=link, maxIter=max_iter, tol=1e-10).fit(data)
     s = model.summary
     rows = [
         (f, float(c), float(e), float(t), float(p))
@@ -198,28 +229,29 @@ def _glm(data: DataFrame, features: list[str], link: str) -> Fit:
             _stat("null_deviance", s.nullDeviance),
             _stat("aic", s.aic),
             _stat("n", s.numInstances),
+            *_steps(s.numIterations, max_iter),
         ],
         "stat string, value double",
     )
     return Fit(coefficients, summary, _score(model, data), features)
 
 
-def _lasso(data: DataFrame, features: list[str], alpha: float) -> Fit:
+def _lasso(data: DataFrame, features: list[str], alpha: float, max_iter: int) -> Fit:
     """Least squares over 2n plus alpha times the absolute coefficients, on
     the features as they are."""
     model = LinearRegression(
-        elasticNetParam=1.0, regParam=alpha, standardization=False, maxIter=1000, tol=1e-12
+        elasticNetParam=1.0, regParam=alpha, standardization=False, maxIter=max_iter, tol=1e-12
     ).fit(data)
     rows = [(f, float(c)) for f, c in zip([*features, "intercept"], [*model.coefficients, model.intercept])]
-    summary = _table(
-        data, [_stat("mse", model.summary.meanSquaredError), _stat("r2", model.summary.r2)], "stat string, value double"
-    )
+    found = [_stat("mse", model.summary.meanSquaredError), _stat("r2", model.summary.r2)]
+    summary = _table(data, [*found, *_steps(model.summary.totalIterations, max_iter)], "stat string, value double")
     return Fit(_table(data, rows, "feature string, value double"), summary, _score(model, data), features)
 
 
-def _forest(data: DataFrame, features: list[str], trees: int, classify: bool) -> Fit:
-    kind = RandomForestClassifier if classify else RandomForestRegressor
-    model = kind(numTrees=trees, seed=SEED).fit(data)
+def _forest(data: DataFrame, features: list[str], spec: ModelSpec) -> Fit:
+    kind = RandomForestClassifier if spec.model == "rf_classification" else RandomForestRegressor
+    trees = spec.n_estimators
+    model = kind(numTrees=trees, maxDepth=spec.max_depth, maxBins=spec.max_bins, bootstrap=spec.resample, seed=SEED).fit(data)
     rows = [(f, float(v)) for f, v in zip(features, model.featureImportances.toArray())]
     summary = _table(data, [_stat("trees", trees), _stat("features", len(features))], "stat string, value double")
     return Fit(_table(data, rows, "feature string, value double"), summary, _score(model, data), features)
@@ -239,10 +271,10 @@ def fit(df: DataFrame, spec: ModelSpec) -> Fit:
     if spec.model == "linear":
         return _linear(data, features)
     if spec.model in ("logistic", "probit"):
-        return _glm(data, features, "logit" if spec.model == "logistic" else "probit")
+        return _glm(data, features, "logit" if spec.model == "logistic" else "probit", spec.max_iter)
     if spec.model == "lasso":
-        return _lasso(data, features, float(spec.alpha))
-    result = _forest(data, features, spec.n_estimators, spec.model == "rf_classification")
+        return _lasso(data, features, float(spec.alpha), spec.max_iter)
+    result = _forest(data, features, spec)
     if labels:
         names = F.array(*[F.lit(v) for v in labels])
         result.predictions = result.predictions.withColumns(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import as_date
+from tidemark.operators.numbering import number_rows
 
 
 def align_series(series: list[tuple[DataFrame, str, str, str]]) -> DataFrame:
@@ -53,22 +54,48 @@ def filter_range(df: DataFrame, date_col: str, start: dt.date | None, end: dt.da
     return df.filter(day <= as_date(end)) if end else df
 
 
-def category_levels(df: DataFrame, columns: list[str], most: int = 1000) -> dict[str, list[str]]:
-    """Sorted levels of categorical columns. A column with more than ``most``
-    levels is refused: it would give as many feature columns."""
-    levels = {}
-    for c in columns:
-        found = df.select(F.col(c).cast("string").alias("v")).dropna().distinct().limit(most + 1).collect()
-        if len(found) > most:
-            raise ValueError(f"{c!r} has over {most} levels; it is not a category")
-        levels[c] = sorted(r.v for r in found)
-    return levels
+def check_range(overlap: DataFrame, start: dt.date | None, end: dt.date | None) -> None:
+    """Refuse a range that is not inside the shared one of ``overlap_range``."""
+    shared = overlap.filter("series = 'overlap'").first()
+    if shared is None or shared["start_date"] is None:
+        raise ValueError("the series share no dates")
+    if start and end and start > end:
+        raise ValueError("start date is after end date")
+    for name, day in (("start", start), ("end", end)):
+        if day and not shared["start_date"] <= day <= shared["end_date"]:
+            raise ValueError(f"{name} date {day} is outside {shared['start_date']} to {shared['end_date']}")
+
+
+def period_bounds(frequency: str, first: tuple[int, int] | int, last: tuple[int, int] | int) -> tuple[dt.date, dt.date]:
+    """First and last day of a choice of (year, month) pairs or of years."""
+    if frequency == "monthly":
+        (y0, m0), (y1, m1) = first, last
+        after = dt.date(y1 + m1 // 12, m1 % 12 + 1, 1)
+        return dt.date(y0, m0, 1), after - dt.timedelta(days=1)
+    if frequency == "annual":
+        return dt.date(first, 1, 1), dt.date(last, 12, 31)
+    raise ValueError("frequency must be 'monthly' or 'annual'")
+
+
+def level_index(df: DataFrame, column: str) -> DataFrame:
+    """(level, level_index): all levels in text order, numbered from 0. Any
+    number of levels: they stay a table."""
+    levels = df.select(F.col(column).cast("string").alias("level")).dropna().distinct()
+    return number_rows(levels, [F.col("level")], "_n").select("level", (F.col("_n") - 1).alias("level_index"))
+
+
+def sparse_indicators(df: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """One-hot encoding of a column with any number of levels, as the non-zero
+    cells (keys..., level_index, value); the first level has none."""
+    levels = level_index(df, column)
+    rows = df.select(*keys, F.col(column).cast("string").alias("level"))
+    return rows.join(levels, "level").filter("level_index > 0").select(*keys, "level_index", F.lit(1.0).alias("value"))
 
 
 def encode_features(
     df: DataFrame, categorical: dict[str, list[str]], always_one_hot: bool = False
 ) -> tuple[DataFrame, list[str]]:
-    """Categories to numbers by their sorted ``levels``: two levels give one
+    """Categories to numbers by the sorted levels the caller lists: two give one
     0/1 column, more (or all, with ``always_one_hot``) one column per level
     but the first. Returns the frame and the new feature names."""
     new: dict[str, Column] = {}

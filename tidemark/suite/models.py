@@ -81,7 +81,7 @@ def series_range(spark, sf_dir):
 )
 def encode_features(spark, sf_dir):
     lines = _lines(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
-    levels = stats.category_levels(lines, ["l_linestatus", "l_returnflag"])
+    levels = {"l_linestatus": ["F", "O"], "l_returnflag": ["A", "N", "R"]}
     coded, names = stats.encode_features(lines, levels)
     hot, hot_names = stats.encode_features(coded, {"l_linestatus": levels["l_linestatus"]}, always_one_hot=True)
     return hot.select("l_orderkey", "l_linenumber", *names, *hot_names)
@@ -203,37 +203,119 @@ def ols_predictions(spark, sf_dir):
     return fit(_lines(spark, sf_dir), _price_spec()).predictions.select("y", F.round("y_hat", 2).alias("y_hat"))
 
 
-_MIXED = (("l_quantity", "continuous"), ("l_discount", "continuous"), ("l_returnflag", "categorical"))
+@query(
+    "encode_many_levels",
+    """select c_custkey, cast(k - 1 as bigint) as level_index, 1.0::double as value
+    from (select c_custkey, dense_rank() over (order by c_name) as k from customer where c_name is not null) x where k > 1""",
+)
+def encode_many_levels(spark, sf_dir):
+    return stats.sparse_indicators(inputs.table(spark, sf_dir, "customer"), ["c_custkey"], "c_name")
 
 
-@query("lasso_fit")
-def lasso_fit(spark, sf_dir):
-    spec = ModelSpec("lasso", "l_extendedprice", (*_MIXED, ("l_linestatus", "categorical")), alpha=20.0)
-    return fit(_lines(spark, sf_dir), spec).coefficients
+@query(
+    "range_guard",
+    f"""with {_MONTHLY}, r as (select min(obs_date) as a, max(obs_date) as b from o union all select min(obs_date), max(obs_date) from s
+      union all select min(obs_date), max(obs_date) from p), v as (select max(a) as lo, min(b) as hi from r)
+    select '1993 to 1996' as choice, (date '1993-01-01' between lo and hi) and (date '1996-12-31' between lo and hi) as allowed from v
+    union all select '1980 to 1996', (date '1980-01-01' between lo and hi) and (date '1996-12-31' between lo and hi) from v
+    union all select '1994-02 to 1995-01', (date '1994-02-01' between lo and hi) and (date '1995-01-31' between lo and hi) from v
+    union all select '1994-02 to 2150-01', (date '1994-02-01' between lo and hi) and (date '2150-01-31' between lo and hi) from v""",
+)
+def range_guard(spark, sf_dir):
+    overlap = series_overlap(spark, sf_dir)
+    choices = {
+        "1993 to 1996": stats.period_bounds("annual", 1993, 1996),
+        "1980 to 1996": stats.period_bounds("annual", 1980, 1996),
+        "1994-02 to 1995-01": stats.period_bounds("monthly", (1994, 2), (1995, 1)),
+        "1994-02 to 2150-01": stats.period_bounds("monthly", (1994, 2), (2150, 1)),
+    }
+    found = []
+    for name, (start, end) in choices.items():
+        try:
+            stats.check_range(overlap, start, end)
+            found.append((name, True))
+        except ValueError:
+            found.append((name, False))
+    return spark.createDataFrame(found, "choice string, allowed boolean")
+
+
+_SOFT = """m as (select avg(l_extendedprice) as my, avg(l_quantity) as mx, var_pop(l_quantity) as v,
+    covar_pop(l_quantity, l_extendedprice) as c from lineitem),
+  b as (select a.alpha, my, mx, sign(c) * greatest(abs(c) - a.alpha, 0) / v as b from m cross join (values (20000.0), (1e9)) a(alpha))"""
 
 
-def _late(spark, sf_dir):
-    """Lines with a 0/1 mark for a high price per unit."""
+@query(
+    "lasso_fit",
+    f"""with {_SOFT} select alpha::double as alpha, 'l_quantity' as feature, round(b, 1) as value from b
+    union all select alpha::double, 'intercept', round(my - b * mx, 0) from b""",
+)
+def lasso_fit(spark, sf_dir):
+    """One feature has a closed form: the covariance, less alpha, over the
+    variance; a large alpha leaves the mean alone."""
+    out = None
+    for alpha in (20000.0, 1e9):
+        spec = ModelSpec("lasso", "l_extendedprice", (("l_quantity", "continuous"),), alpha=alpha)
+        digits = F.when(F.col("feature") == "intercept", F.round("value", 0)).otherwise(F.round("value", 1))
+        part = fit(_lines(spark, sf_dir), spec).coefficients.select(F.lit(alpha).alias("alpha"), "feature", digits.alias("value"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _dear(spark, sf_dir):
+    """Lines with a 0/1 mark for a high price per unit, the bar rising with the line number."""
     price = F.col("l_extendedprice") / F.col("l_quantity")
-    return _lines(spark, sf_dir).withColumn("dear", (price > 1400).cast("double"))
+    return _lines(spark, sf_dir).withColumn("dear", (price > 900 + 150 * F.col("l_linenumber")).cast("double"))
+
+
+_DEAR = "(l_extendedprice / l_quantity > 900 + 150 * l_linenumber)"
+_FLAG = (("l_returnflag", "categorical"),)
 
 
-@query("logit_fit")
+@query(
+    "logit_fit",
+    f"""with g as (select l_returnflag as g, count(*) as n, avg(case when {_DEAR} then 1.0 else 0.0 end) as p from lineitem group by 1),
+    l as (select g, ln(p / (1 - p)) as l, 1 / (n * p * (1 - p)) as v from g), a as (select * from l where g = 'A')
+    select 'l_returnflag_' || l.g as feature, round(l.l - a.l, 6) as value, round(sqrt(l.v + a.v), 6) as std_err from l, a where l.g <> 'A'
+    union all select 'intercept', round(l, 6), round(sqrt(v), 6) from a""",
+)
 def logit_fit(spark, sf_dir):
-    return fit(_late(spark, sf_dir), ModelSpec("logistic", "dear", _MIXED)).coefficients
+    """With one category the coefficients are differences of log odds."""
+    result = fit(_dear(spark, sf_dir), ModelSpec("logistic", "dear", _FLAG))
+    return result.coefficients.select("feature", F.round("value", 6).alias("value"), F.round("std_err", 6).alias("std_err"))
 
 
-@query("probit_fit")
+@query(
+    "probit_fit",
+    f"""select round(p, 6) as rate, n, dear from (select avg(case when {_DEAR} then 1.0 else 0.0 end) as p, count(*) as n,
+      sum(case when {_DEAR} then 1.0 else 0.0 end)::double as dear from lineitem group by l_returnflag) x""",
+)
 def probit_fit(spark, sf_dir):
-    return fit(_late(spark, sf_dir), ModelSpec("probit", "dear", _MIXED)).coefficients
+    """With one category the fitted probabilities are the rates of its levels."""
+    fitted = fit(_dear(spark, sf_dir), ModelSpec("probit", "dear", _FLAG)).predictions
+    return fitted.groupBy(F.round("y_hat", 6).alias("rate")).agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("dear"))
+
 
+_BY_LINE = (("l_linenumber", "continuous"),)
 
-@query("rf_classify")
+
+@query(
+    "rf_classify",
+    f"""with g as (select l_linenumber as g, avg(case when {_DEAR} then 1.0 else 0.0 end) > 0.5 as yes from lineitem group by 1)
+    select case when {_DEAR} then 1.0 else 0.0 end::double as y, case when yes then 1.0 else 0.0 end::double as y_hat, count(*) as n
+    from lineitem join g on g.g = l_linenumber group by 1, 2""",
+)
 def rf_classify(spark, sf_dir):
-    return fit(_late(spark, sf_dir), ModelSpec("rf_classification", "dear", _MIXED, n_estimators=10)).coefficients
+    """A single tree grown to the end on a few values predicts each one's majority."""
+    fitted = fit(_dear(spark, sf_dir), ModelSpec("rf_classification", "dear", _BY_LINE, n_estimators=1, resample=False)).predictions
+    return fitted.groupBy("y", "y_hat").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("rf_regress")
+@query(
+    "rf_regress",
+    "select round(avg(l_extendedprice), 2) as y_hat, count(*) as n from lineitem group by l_linenumber",
+)
 def rf_regress(spark, sf_dir):
-    spec = ModelSpec("rf_regression", "l_extendedprice", _MIXED, n_estimators=10)
-    return fit(_lines(spark, sf_dir), spec).coefficients
+    """A single tree grown to the end on a few values predicts each one's mean."""
+    spec = ModelSpec("rf_regression", "l_extendedprice", _BY_LINE, n_estimators=1, resample=False)
+    fitted = fit(_lines(spark, sf_dir), spec).predictions
+    return fitted.groupBy(F.round("y_hat", 2).alias("y_hat")).agg(F.count(F.lit(1)).alias("n"))
