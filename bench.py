@@ -14,7 +14,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from tidemark.session import get_session  # noqa: E402
+from tidemark.session import get_session, release  # noqa: E402
 from tidemark.suite import QUERIES  # noqa: E402
 
 HEADLINE = [
@@ -67,6 +67,7 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
+        release(spark)
         print(f"{times[name]:8.2f}  {name}", file=sys.stderr, flush=True)
     spark.stop()
     print(

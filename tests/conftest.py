@@ -7,7 +7,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from tidemark.session import get_session  # noqa: E402
+from tidemark.session import get_session, release  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -22,6 +22,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
 
 

@@ -79,6 +79,7 @@ class CsvSpec:
             "nullValue": self.null_value,
             "dateFormat": self.date_format,
             "timestampFormat": self.timestamp_format,
+            "timestampNTZFormat": self.timestamp_format,
             "comment": self.comment,
         }
         return {k: v for k, v in opts.items() if v is not None}

@@ -16,6 +16,8 @@ from tidemark.session import settle
 
 CELL = r"([A-Z]+)(\d+)"
 RANGE = rf"{CELL}:{CELL}"
+#: Config lines that may be sent to every task (about 200 bytes each).
+CONFIG_ROWS = 10_000
 
 
 def column_number(letters: Column) -> Column:
@@ -106,6 +108,13 @@ def nest_range_config(config: DataFrame) -> DataFrame:
     )
 
 
+def _to_all(config: DataFrame) -> DataFrame:
+    """Config lines are few and sheets even fewer, so a join on them is sent to
+    every task, as long as a count says that they are few; otherwise it is
+    shuffled."""
+    return F.broadcast(config) if config.count() <= CONFIG_ROWS else config
+
+
 def _bounds(config: DataFrame, cells: DataFrame, pages: DataFrame) -> DataFrame:
     """Config rows with first/last data row and column, and header row, per
     report. Marker ranges run between the first start value in the control
@@ -125,7 +134,7 @@ def _bounds(config: DataFrame, cells: DataFrame, pages: DataFrame) -> DataFrame:
         ends("header_range", 1).alias("head_from"),
         ends("header_range", 2).alias("head_to"),
     )
-    fixed = fixed.join(pages, "sheet").select("report", *fixed.columns)
+    fixed = pages.join(_to_all(fixed), "sheet").select("report", *fixed.columns)
 
     marks = config.filter("use_markers").select(
         "sheet",
@@ -137,16 +146,16 @@ def _bounds(config: DataFrame, cells: DataFrame, pages: DataFrame) -> DataFrame:
     )
     # Each cell meets only the ranges that name its sheet, column and value;
     # the few marker cells are stored, as starts and stops both read them.
-    hits = settle(
-        cells.join(marks, ["sheet", "col"]).filter(
-            (F.col("value") == F.col("start_value")) | (F.col("value") == F.col("stop_value"))
-        ),
-        "markers",
+    kinds = F.array(
+        F.struct(F.col("start_value").alias("value"), F.lit("start").alias("kind")),
+        F.struct(F.col("stop_value").alias("value"), F.lit("stop").alias("kind")),
     )
+    marks = marks.select("sheet", "frame", "col", "col_to", F.inline(kinds))
+    hits = settle(cells.join(_to_all(marks), ["sheet", "col", "value"]), "markers")
     group = ["report", "sheet", "frame", "col", "col_to"]
-    starts = hits.filter("value = start_value").groupBy(*group).agg(F.min("row").alias("head_row"))
+    starts = hits.filter("kind = 'start'").groupBy(*group).agg(F.min("row").alias("head_row"))
     stops = (
-        hits.filter("value = stop_value")
+        hits.filter("kind = 'stop'")
         .join(starts.select("report", "sheet", "frame", "head_row"), ["report", "sheet", "frame"])
         .filter("row > head_row")
         .groupBy("report", "sheet", "frame")
@@ -203,13 +212,11 @@ def extract_ranges(
     judged = bounds.withColumn("error", error)
     absent = (
         config.select("sheet", "frame")
-        .join(pages.select("sheet"), "sheet", "left_anti")
+        .join(pages.select("sheet").distinct(), "sheet", "left_anti")
         .select(F.lit(None).cast("string").alias("report"), "sheet", "frame", F.lit("sheet not found").alias("error"))
     )
     unmarked = (
-        config.filter("use_markers")
-        .select("sheet", "frame")
-        .join(pages, "sheet")
+        pages.join(_to_all(config.filter("use_markers").select("sheet", "frame")), "sheet")
         .join(bounds.select("report", "sheet", "frame"), ["report", "sheet", "frame"], "left_anti")
         .select("report", "sheet", "frame", F.lit("start value not found").alias("error"))
     )

@@ -182,6 +182,12 @@ VIEWS = {
 }
 
 
+def with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines, with every seventh line of an order stored twice."""
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.unionByName(lines.filter("l_linenumber = 7"))
+
+
 def closing_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last staging report of each month. Running counts never fall
     within a year, so the closing value is the largest of the month."""

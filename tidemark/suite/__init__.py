@@ -3,6 +3,7 @@
 from tidemark.suite import (  # noqa: F401
     courtesy,
     dialogue,
+    extras,
     helpers,
     landing,
     models,

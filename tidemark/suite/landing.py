@@ -155,11 +155,12 @@ def header_dates(spark, sf_dir):
 @query(
     "load_formats_roundtrip",
     """select fmt, count(*) as row_count, cast(sum(c_custkey) as bigint) as key_sum,
-      count(distinct c_name) as names, min(c_mktsegment) as first_segment
+      count(distinct c_name) as names, min(c_mktsegment) as first_segment,
+      cast(sum(c_nationkey) as bigint) as nation_sum, cast(sum(cast(c_acctbal as decimal(18,2))) as decimal(28,2)) as balance_sum
     from customer cross join (values ('csv'), ('txt'), ('parquet'), ('json'), ('fixed-width'), ('hive')) f(fmt) group by fmt""",
 )
 def load_formats(spark, sf_dir):
-    rows = inputs.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    rows = inputs.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey", "c_acctbal")
     base = scratch_dir(spark, "formats")
     rows.write.option("header", "true").csv(f"{base}/csv")
     rows.write.option("header", "true").option("sep", "~").csv(f"{base}/txt")
@@ -167,20 +168,22 @@ def load_formats(spark, sf_dir):
     rows.write.json(f"{base}/json")
     rows.select(
         F.concat(
-            F.lpad(F.col("c_custkey").cast("string"), 12, "0"), F.rpad("c_name", 20, " "), F.rpad("c_mktsegment", 12, " ")
+            F.lpad(F.col("c_custkey").cast("string"), 12, "0"), F.rpad("c_name", 20, " "), F.rpad("c_mktsegment", 12, " "),
+            F.lpad(F.col("c_nationkey").cast("string"), 4, "0"), F.lpad(F.col("c_acctbal").cast("decimal(18,2)").cast("string"), 20, " "),
         ).alias("value")
     ).write.text(f"{base}/fixed-width")
-    rows.createOrReplaceTempView("loaded_customers")
-    text = text_schema("c_custkey", "c_name", "c_mktsegment")
+    saved = "loaded_customers_" + base.rsplit("-", 1)[1]
+    rows.write.saveAsTable(saved, path=f"{base}/hive")
+    text = text_schema(*rows.columns)
     loaded = {
         "csv": load(spark, "csv", f"{base}/csv", schema=text),
         "txt": load(spark, "txt", f"{base}/txt", delimiter="tilde", schema=text),
         "parquet": load(spark, "parquet", f"{base}/parquet"),
         "json": load(spark, "json", f"{base}/json", schema=text),
         "fixed-width": load(
-            spark, "fixed-width", f"{base}/fixed-width", layout=layout_from_ranges("1-12,13-32,33-44")
+            spark, "fixed-width", f"{base}/fixed-width", layout=layout_from_ranges("1-12,13-32,33-44,45-48,49-68")
         ).toDF(*text.names),
-        "hive": load(spark, "hive", query="select * from loaded_customers"),
+        "hive": load(spark, "hive", query=f"select * from {saved}"),
     }
     out = None
     for fmt, df in loaded.items():
@@ -190,6 +193,8 @@ def load_formats(spark, sf_dir):
             F.sum(F.col("c_custkey").cast("long")).alias("key_sum"),
             F.countDistinct(F.trim("c_name")).alias("names"),
             F.min(F.trim("c_mktsegment")).alias("first_segment"),
+            F.sum(F.col("c_nationkey").cast("long")).alias("nation_sum"),
+            F.sum(F.trim(F.col("c_acctbal").cast("string")).cast("decimal(18,2)")).alias("balance_sum"),
         )
         out = part if out is None else out.unionByName(part)
     return out
@@ -262,20 +267,20 @@ def guarded_append(spark, sf_dir):
 
 @query(
     "incremental_insert",
-    "select o_orderkey, o_custkey, o_orderstatus, cast(o_orderdate as date) as o_orderdate from orders",
+    "select * replace (cast(o_orderdate as date) as o_orderdate) from orders",
 )
 def incremental_insert(spark, sf_dir):
     """Old orders first, then all orders twice: each key is stored once."""
-    orders = inputs.table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("o_orderdate")
-    )
+    orders = inputs.table(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
     stage, target = scratch_dir(spark, "stage"), scratch_dir(spark, "target")
     stage_then_load(orders.filter(F.col("o_orderdate") < F.lit(CUT)), stage, target, ["o_orderkey"])
     stage_then_load(orders, stage, target, ["o_orderkey"])
     return stage_then_load(orders, stage, target, ["o_orderkey"])
 
 
-_LINE_COLS = "l_orderkey, l_linenumber, l_returnflag, l_linestatus"
+_LINE_COLS = (
+    "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
+)
 
 
 @query(
@@ -340,15 +345,13 @@ def violations(spark, sf_dir):
     return contract_violations(rows, contract).withColumn("column", F.lower("column"))
 
 
-@query("dedupe_rows", "select distinct l_orderkey, l_linenumber, l_returnflag from lineitem")
+@query("dedupe_rows", "select distinct * from lineitem")
 def dedupe_rows(spark, sf_dir):
     """Header CSV in, exact duplicates out."""
     path = scratch_dir(spark, "csv")
-    inputs.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag").write.option(
-        "header", "true"
-    ).csv(path)
-    schema = "l_orderkey bigint, l_linenumber int, l_returnflag string"
-    return drop_exact_duplicates(load(spark, "csv", path, schema=schema))
+    lines = inputs.with_copies(spark, sf_dir)
+    lines.write.option("header", "true").csv(path)
+    return drop_exact_duplicates(load(spark, "csv", path, schema=lines.schema))
 
 
 NEST_BLOCK = 1000

@@ -50,7 +50,7 @@ def _line_rules():
 
 @query(
     "dq_rules",
-    """with t as (select l_orderkey, l_linenumber, l_returnflag, l_quantity from lineitem),
+    """with t as (select * from lineitem union all select * from lineitem where l_linenumber = 7),
     r as (select 'late_lines' as rule, count(*) filter (where not l_linenumber <= 6) as failed_rows from t
       union all select 'flag_known', count(*) filter (where l_returnflag not in ('A', 'N')) from t
       union all select 'quantity_positive', count(*) filter (where not l_quantity > 0) from t
@@ -58,8 +58,7 @@ def _line_rules():
     select rule, cast(failed_rows as bigint) as failed_rows, failed_rows = 0 as passed from r""",
 )
 def dq_rules(spark, sf_dir):
-    lines = inputs.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity")
-    return quality.dq_rules(lines, _line_rules())
+    return quality.dq_rules(inputs.with_copies(spark, sf_dir), _line_rules())
 
 
 @query(
@@ -87,13 +86,13 @@ def duplicate_values(spark, sf_dir):
 
 @query(
     "duplicate_rows",
-    """select * from (select *, row_number() over (order by l_returnflag, l_orderkey, l_linenumber) as row_number
-      from (select l_orderkey, l_linenumber, l_returnflag from lineitem) x) y where l_returnflag = 'N'""",
+    """select * from (select *, row_number() over (order by l_returnflag, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
+        l_extendedprice, l_discount, l_tax, l_linestatus, l_shipdate) as row_number
+      from (select * from lineitem union all select * from lineitem where l_linenumber = 7) x) y where l_returnflag = 'N'""",
 )
 def duplicate_rows(spark, sf_dir):
-    """A value held by a third of the rows; many rows are exact copies."""
-    lines = inputs.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
-    return quality.duplicate_rows(lines, "l_returnflag", "N")
+    """A value held by a third of the rows; some rows are exact copies."""
+    return quality.duplicate_rows(inputs.with_copies(spark, sf_dir), "l_returnflag", "N")
 
 
 _LEFT = "select o_orderkey as order_key, o_orderstatus as status, cast(year(o_orderdate) as int) as yr from orders"

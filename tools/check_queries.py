@@ -74,7 +74,7 @@ def compare(spark_df, con, sql: str) -> tuple[list[str], int]:
 
 
 def main() -> int:
-    from tidemark.session import get_session
+    from tidemark.session import get_session, release
     from tidemark.suite import ORACLES, QUERIES
 
     args = sys.argv[1:]
@@ -93,6 +93,7 @@ def main() -> int:
                 problems, n = [], df.count()
         except Exception as err:  # report and go on with the next query
             problems, n = [f"{type(err).__name__}: {str(err)[:1500]}"], -1
+        release(spark)
         bad += bool(problems)
         state = "BAD" if problems else ("ok" if name in ORACLES else "rows")
         print(f"{state:5}{name:28}{n:>9} rows {time.time() - start:6.1f}s {problems or ''}", flush=True)
