@@ -1,12 +1,14 @@
 """Toxicity by weak supervision.
 
-Voters look at a text and vote by presence: groups of lexicon entries (words
-and word beginnings that labelled toxic texts use far more than others) and
+Voters look at a text and vote by presence: groups of lexicon entries (words,
+word beginnings, and beginnings of two different words of a text, that labelled
+toxic texts use far more than others) and
 patterns (several different entries, dense entries, shouting, exclamation).
 A generative model of all votes, fitted by EM without labels, estimates how
 each voter votes on toxic and clean texts and how voters correlate within a
 class; correlated voters are discounted. Its posteriors are the labels on which
-a linear classifier is trained; true labels then set the scale of its score.
+a linear classifier is trained; true labels then set the scale of its score and
+the weight of a text's length.
 
 Vote patterns are counted over all documents. With ``N_VOTERS`` voters there
 are at most ``2 ** N_VOTERS`` patterns, so the model is fitted on those counts.
@@ -38,15 +40,18 @@ from tidemark.session import settle
 MAX_LABELLED = 12_000
 MAX_ENTRIES = 300
 PREFIXES = (4, 5, 6)  # bytes of a word's beginning
-GROUPS_PER_KIND = 3
-KINDS = 1 + len(PREFIXES)
+GROUPS_PER_KIND = 2
+#: Kind 0 are words, then come the beginnings, then those of two different words.
+KINDS = 1 + 2 * len(PREFIXES)
 N_GROUPS = KINDS * GROUPS_PER_KIND
 PATTERNS = ("two_entries", "four_entries", "dense", "shouting", "exclaims")
 N_VOTERS = N_GROUPS + len(PATTERNS)
-N_FEATURES = N_GROUPS + 4
+N_FEATURES = N_GROUPS + 5  # the last is the length
+#: Words of a long text for each hit that a voter asks for.
+RATE = 1000
 THRESHOLD = 0.3
 _U = np.uint64
-_KIND_SALT = np.random.default_rng(20250411).integers(1, 2**63, KINDS, dtype=np.uint64)
+_KIND_SALT = np.random.default_rng(20250411).integers(1, 2**63, 1 + len(PREFIXES), dtype=np.uint64)
 
 
 def held_out(key: Column) -> Column:
@@ -69,6 +74,18 @@ def _entries(words: Words) -> list[np.ndarray]:
     return out
 
 
+def _different(text: np.ndarray, entry: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, entry, number of different words with it), sorted by text."""
+    order = np.lexsort([word, entry, text])
+    t, e, w = text[order], entry[order], word[order]
+    new = np.ones(len(t), bool)
+    new[1:] = (t[1:] != t[:-1]) | (e[1:] != e[:-1])
+    other = new.copy()
+    other[1:] |= w[1:] != w[:-1]
+    at = np.flatnonzero(new)
+    return t[at], e[at], np.add.reduceat(other.astype(np.int64), at) if len(at) else at
+
+
 def find_lexicon(rows: DataFrame, text: str, label: str, max_entries: int = MAX_ENTRIES) -> list[tuple[int, int]]:
     """(entry, kind) of the entries most tied to label 1, the strongest first.
 
@@ -81,16 +98,13 @@ def find_lexicon(rows: DataFrame, text: str, label: str, max_entries: int = MAX_
                 words = Words(data, offsets, BY_ALNUM)
                 text_of = np.repeat(np.arange(hi - lo), np.diff(words.first))
                 for kind, entry in enumerate(_entries(words)):
-                    order = np.lexsort([entry, text_of])
-                    e, t = entry[order], text_of[order]
-                    fresh = np.ones(len(e), bool)
-                    fresh[1:] = (e[1:] != e[:-1]) | (t[1:] != t[:-1])
-                    e, t = e[fresh], t[fresh]
-                    bounds = np.searchsorted(t, np.arange(hi - lo + 1))
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(lo, hi - lo), pa.array(np.full(hi - lo, kind, np.int32)), long_array(e, bounds)],
-                        names=["label", "kind", "entries"],
-                    )
+                    text, seen, n = _different(text_of, entry, words.hash)
+                    for k, some in ((kind, n >= 1), (kind + len(PREFIXES), n >= 2))[: 1 + (kind > 0)]:
+                        bounds = np.searchsorted(text[some], np.arange(hi - lo + 1))
+                        yield pa.RecordBatch.from_arrays(
+                            [batch.column(0).slice(lo, hi - lo), pa.array(np.full(hi - lo, k, np.int32)), long_array(seen[some], bounds)],
+                            names=["label", "kind", "entries"],
+                        )
 
     seen = rows.select(F.col(label).cast("int"), F.col(text)).mapInArrow(run, "label int, kind int, entries array<long>")
     counts = seen.select("label", "kind", F.explode("entries").alias("entry")).groupBy("kind", "entry").agg(
@@ -102,7 +116,7 @@ def find_lexicon(rows: DataFrame, text: str, label: str, max_entries: int = MAX_
     share, clean = F.col("n") / total, F.col("n") - F.col("toxic")
     gap = F.col("toxic") / toxic - clean / (total - toxic)
     z = gap / F.sqrt(share * (1 - share) * (1 / toxic + 1 / (total - toxic)) + 1e-12)
-    strong = counts.filter((F.col("toxic") >= max(3, 0.02 * toxic)) & (F.col("toxic") >= 0.6 * F.col("n"))).withColumn("z", z)
+    strong = counts.filter((F.col("toxic") >= max(3, 0.02 * toxic)) & (F.col("toxic") >= 0.8 * F.col("n"))).withColumn("z", z)
     best = strong.orderBy(F.desc("z"), "kind", "entry").limit(max_entries).collect()
     return [(r["entry"], r["kind"]) for r in best]
 
@@ -133,17 +147,22 @@ class Lexicon:
         any_hit = np.zeros(len(words.hash), bool)
         found = []
         for kind, entry in enumerate(_entries(words)):
-            known, group, sieve = self.kinds[kind]
-            if not len(known):
-                continue
-            maybe = np.flatnonzero(sieve[(entry & _U(0xFFFF)).astype(np.int64)])
-            at = np.minimum(np.searchsorted(known, entry[maybe]), len(known) - 1)
-            good = known[at] == entry[maybe]
-            word, at = maybe[good], at[good]
-            text = np.searchsorted(words.first, word, "right") - 1
-            np.add.at(hits, (text, group[at]), 1)
-            any_hit[word] = True
-            found.append(np.stack([text, words.hash[word].view(np.int64)], axis=1))
+            for k in (kind, kind + len(PREFIXES))[: 1 + (kind > 0)]:
+                known, group, sieve = self.kinds[k]
+                if not len(known):
+                    continue
+                maybe = np.flatnonzero(sieve[(entry & _U(0xFFFF)).astype(np.int64)])
+                at = np.minimum(np.searchsorted(known, entry[maybe]), len(known) - 1)
+                good = known[at] == entry[maybe]
+                word, at = maybe[good], at[good]
+                text = np.searchsorted(words.first, word, "right") - 1
+                if k != kind:  # keep beginnings of two different words
+                    t, a, others = _different(text, at, words.hash[word])
+                    keep = np.isin(text * len(known) + at, (t * len(known) + a)[others >= 2])
+                    word, at, text = word[keep], at[keep], text[keep]
+                np.add.at(hits, (text, group[at]), 1)
+                any_hit[word] = True
+                found.append(np.stack([text, words.hash[word].view(np.int64)], axis=1))
         different = np.zeros(n, np.int64)
         if found:
             pairs = np.unique(np.concatenate(found), axis=0)
@@ -157,8 +176,9 @@ class Lexicon:
 
         shouting = share((data >= 65) & (data <= 90))
         exclaims = share(data == 33)
-        features = np.column_stack([np.log1p(hits), np.log1p(different), 100 * density, 10 * shouting, 10 * exclaims])
-        votes = np.column_stack([hits > 0, different >= 2, different >= 4, density >= 0.01, shouting > 0.3, exclaims > 0.02])
+        features = np.column_stack([np.log1p(hits), np.log1p(different), 100 * density, 10 * shouting, 10 * exclaims, np.log1p(sizes)])
+        often = hits * RATE >= np.maximum(sizes, RATE)[:, None]
+        votes = np.column_stack([often, different >= 2, different >= 4, density >= 0.01, shouting > 0.3, exclaims > 0.02])
         return features, votes @ (1 << np.arange(N_VOTERS))
 
 
@@ -245,11 +265,13 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
     linear = LogisticRegression(featuresCol="features", labelCol="y", weightCol="w", regParam=1e-4, maxIter=100).fit(both)
     weights, bias = np.array(linear.coefficients.toArray()), linear.intercept
     raw = sum((F.get("features", i) * float(w) for i, w in enumerate(weights)), F.lit(float(bias)))
-    scale = rows.select(array_to_vector(F.array(raw)).alias("features"), F.col("truth").alias("y"))
+    length = F.get("features", N_FEATURES - 1)
+    scale = rows.select(array_to_vector(F.array(raw, length)).alias("features"), F.col("truth").alias("y"))
     if scale.select("y").distinct().count() == 2:
         platt = LogisticRegression(featuresCol="features", labelCol="y", regParam=1e-4, maxIter=100).fit(scale)
         slope, shift = max(float(platt.coefficients[0]), 0.0), float(platt.intercept)
         weights, bias = weights * slope, bias * slope + shift
+        weights[-1] += float(platt.coefficients[1])
     return Model(lexicon, weights, float(bias))
 
 
