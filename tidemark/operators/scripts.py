@@ -7,10 +7,12 @@ script is spread over many tasks.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import drop_brackets, drop_scene_headings, strip, word_count
+from tidemark.functions.text import BRACKETS, drop_brackets, drop_scene_headings, strip, word_count
 from tidemark.operators.carry import locf, previous
 from tidemark.session import settle
 
@@ -26,10 +28,15 @@ def line_block(bits: int = BLOCK_BITS) -> Column:
     return F.shiftright(F.col("line_no"), bits)
 
 
-def clean_script(df: DataFrame, text: str = "text", bracket: str = "[]") -> DataFrame:
+def clean_script(df: DataFrame, text: str = "text", bracket: str | Column = "[]") -> DataFrame:
     """Remove bracketed notes and scene headings; add word counts before and
-    after: (..., words_before, cleaned, words_after)."""
-    cleaned = drop_scene_headings(drop_brackets(F.col(text), bracket))
+    after: (..., words_before, cleaned, words_after). A column may name the kind
+    of bracket of each row."""
+    if isinstance(bracket, str):
+        plain = drop_brackets(F.col(text), bracket)
+    else:
+        plain = reduce(lambda a, k: a.when(bracket == k, drop_brackets(F.col(text), k)), BRACKETS, F.when(F.lit(False), F.col(text)))
+    cleaned = drop_scene_headings(plain)
     return (
         df.withColumn("words_before", word_count(F.col(text)))
         .withColumn("cleaned", cleaned)

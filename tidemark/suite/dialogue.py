@@ -159,7 +159,5 @@ def script_clean(spark, sf_dir):
             F.lit("["), "source", F.lit("\nnote]\n  Ext. "), "lang", F.lit("\n"), "text", F.lit(" (aside\ntwo)\nINTERIOR\n")
         ).alias("body"),
     )
-    parts = [
-        scripts.clean_script(scripted, "body", b).withColumn("bracket", F.lit(b)).drop("body") for b in ("[]", "()")
-    ]
-    return parts[0].unionByName(parts[1])
+    kinds = scripted.withColumn("bracket", F.explode(F.array(F.lit("[]"), F.lit("()"))))
+    return scripts.clean_script(kinds, "body", F.col("bracket")).drop("body")

@@ -186,8 +186,7 @@ def daily_by_model(spark, sf_dir):
 _FILLED_COLS = ", ".join(
     f'last_value("{m}" ignore nulls) over w as "{m}"' for m in MONTHS
 )
-_FILLED = f"""rep as (select rpt_dt, sales_through_dt, {_BIG_SUMS} from stg
-    where strftime(rpt_dt, '%a') <> 'Mon' group by rpt_dt, sales_through_dt),
+_EVERY = f"""rep as (select rpt_dt, sales_through_dt, {_BIG_SUMS} from stg group by rpt_dt, sales_through_dt),
   spine as (select cast(unnest(generate_series((select min(rpt_dt) from rep), date '{SPINE_END}', interval 1 day)) as date) as day),
   carried as (select spine.day as rpt_dt, last_value(sales_through_dt ignore nulls) over w as sales_through_dt, {_FILLED_COLS}
     from spine left join rep on rep.rpt_dt = spine.day
@@ -195,6 +194,7 @@ _FILLED = f"""rep as (select rpt_dt, sales_through_dt, {_BIG_SUMS} from stg
   filled as (select carried.*, cal.curr_mth_start_dt, cal.prior_mth_current_day_date, cal.prior_mth_end_date,
       cal.prior_year_current_day_date
     from carried join cal on carried.sales_through_dt = cal.sales_thru_dt)"""
+_FILLED = _EVERY.replace(" from stg group by", " from stg where strftime(rpt_dt, '%a') <> 'Mon' group by")
 
 
 @query("date_spine_fill", f"with {CAL}, {STG}, {_FILLED} select * from filled")
@@ -212,7 +212,7 @@ def _to_month(month: str) -> str:
 
 @query(
     "ytd_kpis",
-    f"""with {CAL}, {STG}, {_FILLED},
+    f"""with {CAL}, {STG}, {_EVERY},
     y as (select rpt_dt, cast(case when sales_through_dt = curr_mth_start_dt and month(curr_mth_start_dt) = 1 then 0
         else {month_case('month(curr_mth_start_dt)')} end as bigint) as mtd_sales,
         {_to_month('month(rpt_dt)')} as ytd_sales, prior_year_current_day_date + 1 as prior_rpt_dt from filled)
@@ -222,7 +222,7 @@ def _to_month(month: str) -> str:
     from y a left join y b on b.rpt_dt = a.prior_rpt_dt""",
 )
 def ytd_kpis(spark, sf_dir):
-    stg, cal = _no_monday_reports(spark, sf_dir)
+    stg, cal = _inputs(spark, sf_dir)
     kpis = sales.ytd_kpis(sales.date_spine_fill(stg, cal, SPINE_END))
     return kpis.withColumn("percent_change", F.round("percent_change", 9))
 
