@@ -44,3 +44,14 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         kind = edges.schema[a].dataType
         return edges.sparkSession.createDataFrame([], "node long, root long").select(F.col("node").cast(kind), F.col("root").cast(kind))
     return roots
+
+
+def merge_roots(roots: DataFrame | None, links: DataFrame, a: str = "ra", b: str = "rb") -> DataFrame:
+    """``roots`` (node, root) after links between roots. Nodes that ``roots``
+    does not list are their own roots."""
+    moved = connected(links, a, b)
+    if roots is None:
+        return moved
+    to = moved.select(F.col("node").alias("root"), F.col("root").alias("to"))
+    known = roots.join(to, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return settle(known.unionByName(moved.join(roots, "node", "left_anti")), "roots")

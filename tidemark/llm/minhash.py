@@ -7,8 +7,9 @@ signature, give a collision-corrected estimate that drops hopeless candidates;
 what is left is confirmed on the full sets.
 
 Links only have to give the right components, so a bucket is not multiplied
-out: first every member is compared with one representative, then only members
-of different components that still share a bucket are compared, all of them.
+out: first its components are each compared with one of them, in buckets of
+several bands (nearly equal members) and then of one; at last only members of
+different components that still share a bucket are compared, all of them.
 
 Defined results: NULL and wordless texts have an empty set, link with nothing
 and are kept; fewer than five words are one shingle; a NULL doc_id takes no
@@ -26,18 +27,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import connected
+from tidemark.llm.components import merge_roots
 from tidemark.llm.words import Words, long_array, mix, pieces, runs
 from tidemark.session import settle
 
 SHINGLE = 5
-MINIMA = 128
+MINIMA = 1024
 BANDS, ROWS = 25, 5
 BITS = 2  # of each minimum; 32 of them fill a long
 SIGNATURE = MINIMA * BITS // 64
-#: An estimate has a standard deviation of at most 0.06 with 128 two-bit
-#: minima; five of them below the threshold no true link is lost.
-SLACK = 0.25
+CHANCE = 1 / 2**BITS  # that different minima agree in their low bits
 
 _rng = np.random.default_rng(20250117)
 _SEEDS = _rng.integers(1, 2**63, MINIMA, dtype=np.uint64)
@@ -83,7 +82,8 @@ def _minima(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def sketch(df: DataFrame, key: str, text: str) -> DataFrame:
-    """key, n_shingles, class (16 bytes, NULL without shingles), bands, signature."""
+    """key, text_hash, n_shingles, class (16 bytes, NULL without shingles), bands,
+    signature."""
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,28 +112,28 @@ def sketch(df: DataFrame, key: str, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(lo, hi - lo),
+                        batch.column(2).slice(lo, hi - lo),
                         pa.array(sizes),
                         pa.array(ids, pa.binary()),
                         long_array(bands.reshape(-1), np.concatenate([[0], np.cumsum(has * BANDS)])),
                         long_array(packed.reshape(-1), np.concatenate([[0], np.cumsum(has * SIGNATURE)])),
                     ],
-                    names=["key", "n_shingles", "class", "bands", "signature"],
+                    names=["key", "text_hash", "n_shingles", "class", "bands", "signature"],
                 )
 
-    return df.select(F.col(key), F.col(text)).mapInArrow(
-        run, f"key {kind}, n_shingles long, class binary, bands array<long>, signature array<long>"
+    return df.select(F.col(key), F.col(text), F.xxhash64(text)).mapInArrow(
+        run, f"key {kind}, text_hash long, n_shingles long, class binary, bands array<long>, signature array<long>"
     )
 
 
 def shingle_sets(df: DataFrame, classes: DataFrame, key: str, text: str) -> DataFrame:
-    """(class, shingles) of the classes asked for, each from the row ``rep``."""
-    kind = df.schema[key].dataType.simpleString()
-    wanted = classes.select(F.col("rep").alias("key"), "class")
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text")).join(wanted, "key")
+    """(id, shingles) of the classes asked for, each from a row of its key ``rep``."""
+    wanted = classes.select(F.col("rep").alias("key"), "id", "class")
+    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text")).join(wanted, "key").select("text", "id", "class")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in pieces(batch.column(1)):
+            for lo, hi, data, offsets in pieces(batch.column(0)):
                 own = batch.column(2).slice(lo, hi - lo).to_pylist()
                 sets = _sets(Words(data, offsets))
                 # a key that stands on several rows brings other texts as well
@@ -141,11 +141,10 @@ def shingle_sets(df: DataFrame, classes: DataFrame, key: str, text: str) -> Data
                 if good:
                     flat = np.concatenate([sets[i] for i in good])
                     bounds = np.concatenate([[0], np.cumsum([len(sets[i]) for i in good])])
-                    yield pa.RecordBatch.from_arrays([pa.array([own[i] for i in good], pa.binary()), long_array(flat, bounds)], names=["class", "shingles"])
+                    ids = batch.column(1).take(pa.array([lo + i for i in good]))
+                    yield pa.RecordBatch.from_arrays([ids, long_array(flat, bounds)], names=["id", "shingles"])
 
-    assert kind
-    found = rows.select("key", "text", "class").mapInArrow(run, "class binary, shingles array<long>")
-    return found.dropDuplicates(["class"])
+    return rows.mapInArrow(run, "id long, shingles array<long>").dropDuplicates(["id"])
 
 
 def estimate(a: Column, b: Column) -> Column:
@@ -157,77 +156,123 @@ def estimate(a: Column, b: Column) -> Column:
         x = a[i].bitwiseXOR(b[i])
         pair = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(ones))
         differ = F.bit_count(pair) if differ is None else differ + F.bit_count(pair)
-    chance = 1.0 / (1 << BITS)
-    return (1 - differ / F.lit(float(MINIMA)) - chance) / (1 - chance)
-
-
-def _confirm(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes that pass the estimate and then the full sets."""
-    side = lambda n: classes.select(F.col("class").alias(n), F.col("n_shingles").alias(f"n{n}"), F.col("signature").alias(f"s{n}"))
-    near = (
-        pairs.join(side("a"), "a")
-        .join(side("b"), "b")
-        .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-        .filter(estimate(F.col("sa"), F.col("sb")) >= percent / 100 - SLACK)
-        .select("a", "b")
-    )
-    full = lambda n: sets.select(F.col("class").alias(n), F.col("shingles").alias(f"f{n}"))
+    return (1 - differ / F.lit(float(MINIMA)) - CHANCE) / (1 - CHANCE)
+
+
+def slack(percent: int) -> float:
+    """Five standard deviations of an estimate (0.066 for 85 percent): a true
+    link falls lower once in three million times."""
+    agree = CHANCE + (1 - CHANCE) * percent / 100
+    return 5 * (agree * (1 - agree) / MINIMA) ** 0.5 / (1 - CHANCE)
+
+
+def _alike(percent: int) -> Column:
+    """Sizes and signatures of sides a and b leave the similarity possible."""
+    sizes = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+    return sizes & (estimate(F.col("sa"), F.col("sb")) >= percent / 100 - slack(percent))
+
+
+def _side(sketches: DataFrame, n: str) -> DataFrame:
+    return sketches.select(F.col("id").alias(n), F.col("n_shingles").alias(f"n{n}"), F.col("signature").alias(f"s{n}"))
+
+
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``pairs`` (a, b, ra, rb) whose full sets are similar enough."""
+    full = lambda n: sets.select(F.col("id").alias(n), F.col("shingles").alias(f"f{n}"))
     shared = F.size(F.array_intersect("fa", "fb"))
     return (
-        near.join(full("a"), "a")
+        pairs.join(full("a"), "a")
         .join(full("b"), "b")
         .filter(100 * shared >= percent * (F.size("fa") + F.size("fb") - shared))
-        .select("a", "b")
+        .select("ra", "rb")
+        .distinct()
     )
 
 
+def _buckets(sketches: DataFrame, depth: int) -> DataFrame:
+    """(id, band, bucket): one bucket per band, keyed by the minima of ``depth``
+    bands in a row. Deeper buckets hold more similar members."""
+    keys = F.transform("bands", lambda x, i: F.xxhash64(*[F.get("bands", (i + d) % BANDS) for d in range(depth)]))
+    return sketches.select("id", F.posexplode("bands" if depth == 1 else keys).alias("band", "bucket"))
+
+
+def _placed(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+    if roots is None:
+        return members.withColumn("root", F.col("id"))
+    return members.join(roots.withColumnRenamed("node", "id"), "id", "left").select("bucket", "band", "id", F.coalesce("root", "id").alias("root"))
+
+
+def _stars(placed: DataFrame) -> DataFrame:
+    """In each bucket one member of every component against the first of them."""
+    reps = placed.groupBy("bucket", "root").agg(F.min("id").alias("b"))
+    lead = F.min(F.struct("b", "root")).alias("lead")
+    leads = reps.groupBy("bucket").agg(lead, F.count(F.lit(1)).alias("n")).filter("n > 1")
+    leads = leads.select("bucket", F.col("lead.b").alias("a"), F.col("lead.root").alias("ra"))
+    return reps.join(leads, "bucket").filter("a <> b").select("a", "b", "ra", F.col("root").alias("rb")).distinct()
+
+
+def _open_pairs(placed: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a bucket that lie in different components and may be similar:
+    members outside of a bucket's largest component against all others. A pair
+    comes from the first bucket that it shares."""
+    sized = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = sized.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("roots"))
+    rows = settle(placed.join(main.filter("roots > 1").select("bucket", "main"), "bucket").join(sketches.select("id", "n_shingles", "signature", "bands"), "id"), "open")
+    minor = rows.filter("root <> main").select("bucket", F.col("id").alias("a"), F.col("root").alias("ra"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa"), F.col("bands").alias("ba"), "band")
+    other = rows.select("bucket", F.col("id").alias("b"), F.col("root").alias("rb"), F.col("main").alias("mb"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb"), F.col("bands").alias("bb"))
+    # two minor members meet once, in the order of their numbers
+    once = (F.col("rb") == F.col("mb")) | (F.col("a") < F.col("b"))
+    first = ~F.arrays_overlap(F.slice("ba", 1, F.col("band")), F.slice("bb", 1, F.col("band")))
+    joined = minor.join(other, (minor["bucket"] == other["bucket"]) & (F.col("ra") != F.col("rb")) & once & _alike(percent) & first)
+    return joined.select("a", "b", "ra", "rb").distinct()
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
-    """Per row of ``df``: key, n_shingles, component (smallest key reachable), kept."""
+    """Per row of ``df``: key, n_shingles, component (smallest key reachable), kept,
+    and text_hash, a 64-bit hash of the text."""
     rows = settle(sketch(df, key, text), "sketches")
     alive = rows.filter(F.col("class").isNotNull() & F.col("key").isNotNull())
-    classes = settle(
-        alive.groupBy("class").agg(
-            F.min("key").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"), F.first("bands").alias("bands")
-        ),
-        "classes",
-    )
-    members = classes.select("class", F.explode("bands").alias("bucket"))
-    buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("a")).filter("n > 1")
-    shared = settle(members.join(buckets.select("bucket", "a"), "bucket"), "buckets")
-    busy = shared.select("class").distinct()
-    sets = settle(shingle_sets(df, classes.join(busy, "class", "left_semi"), key, text), "sets")
-
-    stars = shared.filter(F.col("a") != F.col("class")).select("a", F.col("class").alias("b")).distinct()
-    links = settle(_confirm(stars, classes, sets, percent), "links")
-    roots = connected(links)
-
-    # What shares a bucket and is not yet connected: all such pairs, smaller
-    # components of a bucket against the rest.
-    placed = shared.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
-        "bucket", "class", F.coalesce("root", "class").alias("root")
-    )
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("bucket")
-    open_rows = settle(placed.join(mixed, "bucket"), "open")
-    sized = open_rows.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-    main = sized.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("main"))
-    minor = open_rows.join(main, "bucket").filter("root <> main").select("bucket", F.col("class").alias("x"), F.col("root").alias("rx"))
-    other = open_rows.select("bucket", F.col("class").alias("y"), F.col("root").alias("ry"))
-    cross = (
-        minor.join(other, "bucket")
-        .filter("rx <> ry")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
-        .join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    )
-    more = settle(_confirm(cross, classes, sets, percent), "links")
-    if not more.isEmpty():
-        roots = connected(links.unionByName(more))
-    grouped = classes.select("class", "rep").join(roots.withColumnRenamed("node", "class"), "class", "left")
-    grouped = grouped.select("class", "rep", F.coalesce("root", "class").alias("root"))
+    one = F.first(F.struct("n_shingles", "signature", "bands")).alias("x")
+    classes = alive.groupBy("class").agg(F.min("key").alias("rep"), one).select("class", "rep", "x.*")
+    classes = settle(classes.withColumn("id", F.monotonically_increasing_id()), "classes")  # numbers are fixed by storing them
+
+    members = _buckets(classes, 1)
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
+    members = settle(members.join(shared, "bucket"), "buckets")
+    busy = settle(classes.join(members.select("id").distinct(), "id", "left_semi"), "busy")
+    sets = settle(shingle_sets(df, busy, key, text), "sets")
+
+    roots = None
+    for depth in (3, 2, 1):
+        placed = _placed(members if depth == 1 else _buckets(busy, depth), roots)
+        pairs = _stars(placed).join(_side(busy, "a"), "a").join(_side(busy, "b"), "b").filter(_alike(percent))
+        roots = merge_roots(roots, _confirm(pairs.select("a", "b", "ra", "rb"), sets, percent))
+    open_pairs = _open_pairs(_placed(members, roots), busy, percent)
+    roots = merge_roots(roots, _confirm(open_pairs, sets, percent))
+    grouped = classes.select("class", "rep", "id").join(roots.withColumnRenamed("node", "id"), "id", "left")
+    grouped = grouped.select("class", "rep", F.coalesce("root", "id").alias("root"))
     least = grouped.groupBy("root").agg(F.min("rep").alias("component"))
     named = grouped.join(least, "root").select("class", "component")
-    out = rows.select("key", "n_shingles", "class").join(named, "class", "left")
+    out = rows.select("key", "text_hash", "n_shingles", "class").join(named, "class", "left")
     component = F.coalesce("component", "key")
     return out.select(
-        F.col("key").alias(key), "n_shingles", component.alias("component"), (F.col("key").isNull() | (F.col("key") == component)).alias("kept")
+        F.col("key").alias(key),
+        "n_shingles",
+        component.alias("component"),
+        (F.col("key").isNull() | (F.col("key") == component)).alias("kept"),
+        "text_hash",
     )
+
+
+def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
+    """``df`` with one row of each component, all columns as they are; of rows
+    that repeat a key and text one stays. Rows without a word or key all stay.
+    Names that begin with two underscores are reserved."""
+    found = near_duplicates(df, key, text, percent).filter((F.col("n_shingles") > 0) & F.col(key).isNotNull())
+    first = found.groupBy("component").agg(F.min(F.struct(F.col(key).alias("k"), F.col("text_hash").alias("h"))).alias("x"))
+    chosen = first.select(F.col("x.k").alias("__k"), F.col("x.h").alias("__h"))
+    hashed = df.withColumn("__text_hash", F.xxhash64(text))
+    same = (F.col(key) == F.col("__k")) & (F.col("__text_hash") == F.col("__h"))
+    kept = hashed.join(chosen, same, "left_semi").dropDuplicates([key, "__text_hash"]).drop("__text_hash")
+    worded = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return kept.unionByName(df.filter(F.col(key).isNull() | ~worded))
