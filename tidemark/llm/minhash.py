@@ -127,16 +127,18 @@ def sketch(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def shingle_sets(df: DataFrame, classes: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, shingles) of the classes asked for, each from a row of its key ``rep``."""
-    wanted = classes.select(F.col("rep").alias("key"), "id", "class")
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text")).join(wanted, "key").select("text", "id", "class")
+    """(id, shingles) of the classes asked for, each from a row with its key
+    ``rep`` and text hash, so that a key on very many rows is no hot key."""
+    wanted = classes.select(F.col("rep").alias("key"), F.col("rep_hash").alias("text_hash"), "id", "class")
+    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
+    rows = rows.join(wanted, ["key", "text_hash"]).select("text", "id", "class")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in pieces(batch.column(0)):
                 own = batch.column(2).slice(lo, hi - lo).to_pylist()
                 sets = _sets(Words(data, offsets))
-                # a key that stands on several rows brings other texts as well
+                # a repeated row comes again, another text with that hash as well
                 good = [i for i in range(hi - lo) if len(sets[i]) and _class_id(sets[i]) == own[i]]
                 if good:
                     flat = np.concatenate([sets[i] for i in good])
@@ -185,7 +187,6 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .join(full("b"), "b")
         .filter(100 * shared >= percent * (F.size("fa") + F.size("fb") - shared))
         .select("ra", "rb")
-        .distinct()
     )
 
 
@@ -233,7 +234,9 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     rows = settle(sketch(df, key, text), "sketches")
     alive = rows.filter(F.col("class").isNotNull() & F.col("key").isNotNull())
     one = F.first(F.struct("n_shingles", "signature", "bands")).alias("x")
-    classes = alive.groupBy("class").agg(F.min("key").alias("rep"), one).select("class", "rep", "x.*")
+    least = F.min(F.struct("key", "text_hash")).alias("r")
+    classes = alive.groupBy("class").agg(least, one)
+    classes = classes.select("class", F.col("r.key").alias("rep"), F.col("r.text_hash").alias("rep_hash"), "x.*")
     classes = settle(classes.withColumn("id", F.monotonically_increasing_id()), "classes")  # numbers are fixed by storing them
 
     members = _buckets(classes, 1)
@@ -242,11 +245,13 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     busy = settle(classes.join(members.select("id").distinct(), "id", "left_semi"), "busy")
     sets = settle(shingle_sets(df, busy, key, text), "sets")
 
-    roots = None
-    for depth in (3, 2, 1):
-        placed = _placed(members if depth == 1 else _buckets(busy, depth), roots)
-        pairs = _stars(placed).join(_side(busy, "a"), "a").join(_side(busy, "b"), "b").filter(_alike(percent))
-        roots = merge_roots(roots, _confirm(pairs.select("a", "b", "ra", "rb"), sets, percent))
+    def linked(stars: DataFrame) -> DataFrame:
+        pairs = stars.join(_side(busy, "a"), "a").join(_side(busy, "b"), "b").filter(_alike(percent))
+        return _confirm(pairs.select("a", "b", "ra", "rb"), sets, percent)
+
+    deep = [_stars(_placed(_buckets(busy, depth), None)) for depth in (3, 2)]
+    roots = merge_roots(None, linked(deep[0].unionByName(deep[1]).distinct()))
+    roots = merge_roots(roots, linked(_stars(_placed(members, roots))))
     open_pairs = _open_pairs(_placed(members, roots), busy, percent)
     roots = merge_roots(roots, _confirm(open_pairs, sets, percent))
     grouped = classes.select("class", "rep", "id").join(roots.withColumnRenamed("node", "id"), "id", "left")

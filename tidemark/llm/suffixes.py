@@ -12,8 +12,8 @@ other half of it behind, and suffixes whose next ``HALF`` words occur in one
 text only can be dropped by a count of their hashes. The others get their words
 (``LEFT`` before, ``RIGHT`` after) and are range-partitioned and sorted by
 them. Ranges include the text and the position, so a passage with any number of
-copies spreads over many tasks; runs at the edge of a range are compared with
-those of the next range in a second step.
+copies spreads over many tasks; it is then compared range by range, and the runs
+at the edge of a range with those of the next one in a second step.
 
 Equal texts are one text here: it is sorted once, and all its rows are reported
 as copies. Texts are told apart by their 64-bit hash.
@@ -44,7 +44,7 @@ SPAN = HALF - GRAM + 1
 LEFT, RIGHT = HALF, MIN_WORDS
 WIDTH = LEFT + RIGHT
 #: Bytes of suffix records that one sorting task should hold.
-RANGE_BYTES = 16 << 20
+RANGE_BYTES = 32 << 20
 _RECORD = "tid long, half long, at long, before binary, after binary"
 _COLUMNS = ["tid", "half", "at", "before", "after"]
 
@@ -181,6 +181,10 @@ def match_spans(records: DataFrame) -> DataFrame:
     records = settle(records, "suffixes")
     ranges = max(1, -(-records.count() * (WIDTH * 4 + 64) // RANGE_BYTES))
     order = ["half", "after", "before", "tid", "at"]
+    # Suffixes with another first half cannot match, so ranges are cut by halves;
+    # short parts of the words cut a half with very many copies further. Spark
+    # samples these columns on the driver, hence not the whole records.
+    cuts = ["half", F.substring("after", 4 * HALF + 1, 8), F.substring("before", 1, 8), "tid", "at"]
     schema = f"{_RECORD}, begin long, end long, range int, side string"
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +207,7 @@ def match_spans(records: DataFrame) -> DataFrame:
             yield from pa.table(columns, names=[*_COLUMNS, "begin", "end", "range", "side"]).to_batches()
 
     # ranges come in order of their number, whatever becomes of empty ones
-    scanned = settle(records.repartitionByRange(ranges, *order).sortWithinPartitions(*order).mapInArrow(scan, schema), "scanned")
+    scanned = settle(records.repartitionByRange(ranges, *cuts).sortWithinPartitions(*order).mapInArrow(scan, schema), "scanned")
     inner = scanned.filter("side = ''").select("tid", "begin", "end")
     # one row per range
     follows = scanned.filter("side = 'tail'").select("range").distinct()
@@ -235,7 +239,7 @@ def repeated_passages(df: DataFrame, key: str = "doc_id", text: str = "text") ->
     """(key, begin, end, n_words): passages of at least ``MIN_WORDS`` words that
     also stand in another row's text. ``begin`` and ``end`` count words."""
     docs = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("tid")).filter(F.col("text").isNotNull())
-    hashes = settle(suffix_hashes(docs).filter(F.col("n_words") >= MIN_WORDS), "hashes")
+    hashes = settle(suffix_hashes(docs).filter(F.col("n_words") >= MIN_WORDS).dropDuplicates(["tid"]), "hashes")
     # the smallest key of a text and the number of its rows, from narrow rows
     texts = settle(docs.groupBy("tid").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("copies")), "texts")
     halves = hashes.select("tid", F.explode("halves").alias("half"))

@@ -2,7 +2,8 @@
 
 A text's UTF-8 bytes are read straight from the Arrow buffers. A word's hash is
 a polynomial over its bytes, taken from prefix sums, so no word becomes a
-Python object. Work goes through pieces of about ``PIECE`` bytes at a time.
+Python object. Work goes through pieces of about ``PIECE`` bytes and at most
+``PIECE_ROWS`` rows at a time.
 """
 
 from __future__ import annotations
@@ -12,7 +13,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20
+PIECE = 1 << 18
+#: Rows of a piece, so that what is kept for each stays small as well.
+PIECE_ROWS = 1024
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MIX1, _MIX2 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
@@ -98,6 +101,9 @@ def runs(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.
 def pieces(column: pa.Array, piece: int = PIECE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cut a string column into (row from, row to, bytes, offsets), each about
     ``piece`` bytes or one text. NULL is an empty text."""
+    # batches are large blocks; the system's allocator gives them back at once
+    if pa.default_memory_pool().backend_name != "system":
+        pa.set_memory_pool(pa.system_memory_pool())
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
@@ -111,7 +117,7 @@ def pieces(column: pa.Array, piece: int = PIECE) -> Iterator[tuple[int, int, np.
     data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.zeros(0, np.uint8)
     at = 0
     while at < n:
-        to = min(n, max(at + 1, int(np.searchsorted(offsets, offsets[at] + piece, "right")) - 1))
+        to = min(n, at + PIECE_ROWS, max(at + 1, int(np.searchsorted(offsets, offsets[at] + piece, "right")) - 1))
         yield at, to, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
         at = to
 
