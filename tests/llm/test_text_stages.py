@@ -72,6 +72,34 @@ def test_leaks_match_brute_force(spark):
     assert Counter(clean.rdd.map(lambda r: (r["doc_id"], r["text"])).collect()) == Counter((k, t) for k, t, *_ in data if not any(k == g for g, _ in got))
 
 
+@pytest.mark.parametrize("n", [8, 15, 20, 40, 160])
+@pytest.mark.parametrize("percent", [10, 15, 20])
+def test_recall_does_not_depend_on_the_item_length(n, percent):
+    rng = random.Random(n + percent)
+    word = lambda: "w%d" % rng.randrange(5000)
+    items, docs = [], []
+    for i in range(60):
+        item = [word() for _ in range(n)]
+        items.append((i, " ".join(item)))
+        for k, at in enumerate(sorted(rng.sample(range(n), n * percent // 100), reverse=True)):
+            item[at : at + 1] = [["zz"], [], [item[at], "zz"]][(i + k) % 3 if i % 2 else 0]
+        docs.append(" ".join([word() for _ in range(40)] + item + [word() for _ in range(40)]))
+    index = decontaminate.Index(items, 0.8)
+    found = {}
+    for lo, _, data, offsets in pieces(pa.array(docs)):
+        found |= {(lo + t, i): d for t, i, d, _ in index.matches(Words(data, offsets, BY_ALNUM))}
+    want = {(i, i): plain_distance(hashes(t).tolist(), hashes(docs[i]).tolist()) for i, t in items}
+    assert found == want
+
+
+def test_short_items_match_word_for_word(spark):
+    benchmark = spark.createDataFrame([(1, "Too short an item"), (2, "seven words are not too many here"), (3, "?")], "item_id long, text string")
+    data = [(1, "before too short, an item after", "en", "a", 1), (2, "too short one item", "en", "a", 1), (3, "seven words are not too many there", "en", "a", 1), (4, "Seven words are not too many here", "en", "a", 1), (5, "too short an", "en", "a", 1)]
+    got = decontaminate.find_leaks(frame(spark, data), benchmark).select("doc_id", "item_id", "distance", "last_word").collect()
+    assert sorted(map(tuple, got)) == [(1, 1, 0, 4), (4, 2, 0, 6)]
+    assert sorted(r["doc_id"] for r in decontaminate.clean_documents(frame(spark, data), benchmark).collect()) == [2, 3, 5]
+
+
 def test_leaks_over_several_blocks_and_empty_tables(spark, monkeypatch):
     data, items = leaks(3)
     benchmark = spark.createDataFrame(items, "item_id long, text string")

@@ -1,26 +1,27 @@
 """Benchmark passages in documents, by embedded edit distance.
 
 Item and document are sequences of words (runs of letters and digits, A-Z
-lowered). The CGK random walk copies a sequence and stays on a word or moves on
-as a random bit for (step, word) says; sequences at a small edit distance come
-out at a small Hamming distance. Windows are embedded in place: all walks of a
-text advance together, one array operation a step. Bit sampling keeps a few
-steps of a walk as a hash key; ``TABLES`` walks with keys of their own give the
-recall. Windows that share a key with an item are aligned with the whole item
-and their exact edit distance decides.
-
-A window is the largest power of two that still leaves a quarter of itself in
-the item to slide over: an item has windows at every word, a document only at
-every ``window / 4`` words, and one of them must meet.
+lowered). An item of n words may have ``most`` = 20 % of n edits. It is cut into
+``most + 1`` parts of equal length: whatever the edits are, one part at least is
+left as it is (each edit spoils one part), so parts are looked up and recall
+does not depend on the item's length. The CGK random walk copies a sequence and
+stays on a word or moves on as a random bit for (step, word) says; the walk over
+a part, held at its last word, is its key. Windows of the parts' lengths are
+walked at every word of a text, all together, one array operation a step.
+
+Windows that share a key with a part are aligned with the whole item. Those with
+fewer of the item's words around them than any match has are left out (a count
+over hashed pairs of item and word, which can only be too high), and the exact
+edit distance decides on the others. So the result is all of the brute force.
 
 The benchmark is sent to the tasks in blocks of at most ``BLOCK_WORDS`` words,
 one pass over the documents for each.
 
 Defined results: NULL and empty texts and items match nothing; items shorter
-than ``MIN_ITEM`` words are skipped, as they are no evidence; repeated items
-are reported each; repeated rows are reported each; an empty table on either
-side gives no match; NULL keys are kept as NULL; extra columns stay in
-``clean_documents`` and are ignored in ``find_leaks``.
+than ``MIN_ITEM`` words match only word for word, at any place of a text;
+repeated items are reported each; repeated rows are reported each; an empty
+table on either side gives no match; NULL keys are kept as NULL; extra columns
+stay in ``clean_documents`` and are ignored in ``find_leaks``.
 """
 
 from __future__ import annotations
@@ -35,77 +36,35 @@ from pyspark.sql import functions as F
 from tidemark.llm.words import BY_ALNUM, Words, mix, pieces
 
 MIN_ITEM = 8
-TABLES = 6
-SAMPLED = 6  # steps of a walk that make a key
 SIMILARITY = 0.8
 BLOCK_WORDS = 200_000
-_rng = np.random.default_rng(20250303)
-_WALKS = _rng.integers(1, 2**63, TABLES, dtype=np.uint64) | np.uint64(1)
+LONGEST = 16  # words of a part that make its key
+HITS = 1 << 18  # pairs of window and part that are looked at together
+_WALK = np.uint64(np.random.default_rng(20250303).integers(1, 2**63) | 1)
 _U = np.uint64
 
 
-def window_of(words: int) -> int:
-    """Window size for an item: the largest 2**k with 2**k * 5 / 4 - 1 <= words."""
-    size = 4
-    while size * 2 + size // 2 - 1 <= words:
-        size *= 2
-    return size
-
-
-def sampled_steps(table: int, window: int) -> np.ndarray:
-    """Steps whose words make the key of a table, among those that a walk takes
-    while it surely is inside the window."""
-    seed = np.random.default_rng([table, window, 7])
-    return np.sort(seed.choice(window, min(SAMPLED, window), replace=False))
-
-
-class Walker:
-    """Embeds windows of several sizes that begin at given words."""
-
-    def __init__(self, sizes: list[int]):
-        self.sizes = sorted(sizes)
-
-    def keys(self, words: np.ndarray, starts: dict[int, np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(size, starts, keys) for every table; a key holds table and size.
-
-        ``starts[size]`` must be sorted multiples taken from ``starts`` of the
-        smaller sizes, so that one walk serves all.
-        """
-        for table in range(TABLES):
-            coin = mix(words * _WALKS[table])
-            at = begin = starts[self.sizes[0]]
-            done = 0
-            for k, size in enumerate(self.sizes):
-                steps = {s: set(sampled_steps(table, s)) for s in self.sizes[k:]}
-                if k:
-                    keep = np.isin(begin, starts[size], assume_unique=True)
-                    at, begin = at[keep], begin[keep]
-                    parts = {s: h[keep] for s, h in parts.items() if s >= size}
-                else:
-                    parts = {s: np.full(len(begin), _U(table * 1000003 + s)) for s in self.sizes}
-                for step in range(done, size):
-                    here = words[at]
-                    for s in self.sizes[k:]:
-                        if step in steps[s]:
-                            parts[s] = (parts[s] ^ here) * _U(0x9E3779B97F4A7C15)
-                            parts[s] ^= parts[s] >> _U(29)
-                    at = at + ((coin[at] >> _U(step % 64)) & _U(1)).astype(np.int64)
-                    if step % 64 == 63:
-                        coin = mix(coin)
-                done = size
-                yield size, begin, parts[size]
-
-
-def _starts(first: np.ndarray, sizes: list[int], every: bool) -> dict[int, np.ndarray]:
-    """Window beginnings per size: each word of an item, or every quarter of a
-    window of a text, so long as the window fits."""
-    counts = np.diff(first)
-    place = np.arange(first[-1]) - np.repeat(first[:-1], counts)
-    left = np.repeat(counts, counts) - place
-    out = {}
-    for s in sizes:
-        out[s] = np.flatnonzero((left >= s) & (every | (place % max(1, s // 4) == 0)))
-    return out
+def most_edits(words: int, similarity: float) -> int:
+    """Edits that an item may have."""
+    return int(words * (1 - similarity) + 1e-9) if words >= MIN_ITEM else 0
+
+
+def window_of(words: int, similarity: float) -> int:
+    """Words of an item's parts that make their keys."""
+    return max(1, min(LONGEST, words // (most_edits(words, similarity) + 1)))
+
+
+def walk_keys(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """Keys of the windows of ``size`` words that begin at ``starts``: 3 * size
+    steps of the walk, held at the last word of the window."""
+    coin = mix(words * _WALK)
+    at, last = starts, starts + size - 1
+    key = np.full(len(starts), _U(size))
+    for step in range(3 * size):
+        key = (key ^ words[at]) * _U(0x9E3779B97F4A7C15)
+        key ^= key >> _U(29)
+        at = np.minimum(at + ((coin[at] >> _U(step % 64)) & _U(1)).astype(np.int64), last)
+    return key
 
 
 def edit_distances(item: np.ndarray, spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,7 +83,7 @@ def edit_distances(item: np.ndarray, spans: np.ndarray) -> tuple[np.ndarray, np.
 
 
 class Index:
-    """Keys of all item windows of a block, and the exact check."""
+    """Keys of the parts of all items of a block, and the exact check."""
 
     def __init__(self, items: list[tuple[int, str]], similarity: float):
         self.similarity = similarity
@@ -134,59 +93,90 @@ class Index:
             words = Words(data, offsets, BY_ALNUM)
             for i in range(hi - lo):
                 own = words.hash[words.first[i] : words.first[i + 1]]
-                if len(own) >= MIN_ITEM:
+                if len(own):
                     self.ids.append(items[lo + i][0])
                     self.items.append(own)
-        sizes = np.array([len(w) for w in self.items], np.int64)
-        windows = np.array([window_of(n) for n in sizes], np.int64)
-        self.walker = Walker(sorted(set(windows.tolist())) or [4])
-        keys, owner, shift = [], [], []
-        for size in sorted(set(windows.tolist())):
+        self.sizes = np.array([len(w) for w in self.items], np.int64)
+        self.most = np.array([most_edits(n, similarity) for n in self.sizes.tolist()], np.int64)
+        windows = np.array([window_of(n, similarity) for n in self.sizes.tolist()], np.int64)
+        flat = np.concatenate([np.zeros(0, np.uint64), *self.items])
+        first = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.parts = {}  # by window size: sorted keys, their items, words of the item before the part
+        for size in np.unique(windows).tolist():
             mine = np.flatnonzero(windows == size)
-            flat = np.concatenate([self.items[i] for i in mine])
-            first = np.concatenate([[0], np.cumsum(sizes[mine])])
-            at = _starts(first, [size], every=True)[size]
-            for _, begin, key in Walker([size]).keys(flat, {size: at}):
-                text = np.searchsorted(first, begin, "right") - 1
-                keys.append(key)
-                owner.append(mine[text])
-                shift.append(begin - first[text])
-        if keys:
-            key = np.concatenate(keys)
+            n = self.most[mine] + 1
+            owner = np.repeat(mine, n)
+            shift = (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)) * (self.sizes[owner] // (self.most[owner] + 1))
+            key = walk_keys(flat, first[owner] + shift, size)
             order = np.argsort(key, kind="stable")
-            self.key, self.owner, self.shift = key[order], np.concatenate(owner)[order], np.concatenate(shift)[order]
-        else:
-            self.key = np.zeros(0, np.uint64)
-        self.sieve = np.zeros(1 << 16, bool)
-        self.sieve[(self.key & _U(0xFFFF)).astype(np.int64)] = True
+            sieve = np.zeros(1 << 16, bool)
+            sieve[(key & _U(0xFFFF)).astype(np.int64)] = True
+            self.parts[size] = key[order], owner[order], shift[order], sieve
+        # hashed (item, word); eight bits or more for each, so most others are told apart
+        self.pairs = np.zeros(1 << max(10, int(8 * len(flat)).bit_length()), bool)
+        self.pairs[self._pair(np.repeat(np.arange(len(self.items)), self.sizes), flat)] = True
+
+    def _pair(self, item: np.ndarray, word: np.ndarray) -> np.ndarray:
+        return ((word ^ item.astype(np.uint64) * _U(0x9E3779B97F4A7C15)) * _WALK >> _U(20)).astype(np.int64) & (len(self.pairs) - 1)
 
     def _candidates(self, words: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Distinct (item, text, word where the item would begin)."""
-        starts = _starts(first, self.walker.sizes, every=False)
+        """Distinct (item, text, word where the item would begin), those with
+        enough words of the item in reach."""
+        counts = np.diff(first)
+        left = np.repeat(first[1:], counts) - np.arange(len(words))
         found = [np.zeros((0, 3), np.int64)]
-        for _, begin, key in self.walker.keys(words, starts):
-            maybe = np.flatnonzero(self.sieve[(key & _U(0xFFFF)).astype(np.int64)])
-            lo = np.searchsorted(self.key, key[maybe], "left")
-            n = np.searchsorted(self.key, key[maybe], "right") - lo
-            hit = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            window = np.repeat(begin[maybe], n)
-            text = np.searchsorted(first, window, "right") - 1
-            found.append(np.stack([self.owner[hit], text, window - self.shift[hit]], axis=1))
+        for size, (keys, owner, shift, sieve) in self.parts.items():
+            begin = np.flatnonzero(left >= size)
+            key = walk_keys(words, begin, size)
+            maybe = sieve[(key & _U(0xFFFF)).astype(np.int64)]
+            begin, key = begin[maybe], key[maybe]
+            lo = np.searchsorted(keys, key, "left")
+            n = np.searchsorted(keys, key, "right") - lo
+            begin, lo, n = begin[n > 0], lo[n > 0], n[n > 0]
+            total = np.cumsum(n)
+            for at in range(0, int(total[-1]) if len(total) else 0, HITS):
+                hit = np.arange(at, min(at + HITS, total[-1]))
+                row = np.searchsorted(total, hit, "right")
+                hit = lo[row] + hit - (total[row] - n[row])
+                text = np.searchsorted(first, begin[row], "right") - 1
+                found.append(self._likely(words, first, np.unique(np.stack([owner[hit], text, begin[row] - shift[hit]], axis=1), axis=0)))
         return np.unique(np.concatenate(found), axis=0)
 
+    def _likely(self, words: np.ndarray, first: np.ndarray, found: np.ndarray) -> np.ndarray:
+        """Candidates with at least as many words of the item around as a match leaves."""
+        out = []
+        at = 0
+        n = self.sizes[found[:, 0]]
+        most = self.most[found[:, 0]]
+        lo = np.maximum(found[:, 2] - most, first[found[:, 1]])
+        hi = np.minimum(found[:, 2] + n + most, first[found[:, 1] + 1])
+        width = hi - lo
+        total = np.cumsum(width)
+        while at < len(found):
+            to = max(at + 1, int(np.searchsorted(total, total[at] + 4 * HITS)))
+            w = width[at:to]
+            ends = np.cumsum(w)
+            place = np.arange(ends[-1]) + np.repeat(lo[at:to] - (ends - w), w)
+            own = self.pairs[self._pair(np.repeat(found[at:to, 0], w), words[place])]
+            count = np.add.reduceat(own.astype(np.int64), ends - w)
+            out.append(found[at:to][count >= (n - most)[at:to]])
+            at = to
+        return np.concatenate(out) if out else found
+
     def matches(self, texts: Words) -> list[tuple[int, int, int, int]]:
         """Per text and item the best match: (text, item, distance, last word)."""
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        if not len(self.key) or not len(texts.hash):
+        if not self.parts or not len(texts.hash):
             return []
         found = self._candidates(texts.hash, texts.first)
         cuts = np.flatnonzero(np.diff(found[:, 0])) + 1
         for group in np.split(found, cuts) if len(found) else []:
             item = self.items[group[0, 0]]
-            most = int(len(item) * (1 - self.similarity) + 1e-9)
+            most = int(self.most[group[0, 0]])
             around = np.arange(-most, len(item) + most)
-            for k in range(0, len(group), 4096):
-                text, begin = group[k : k + 4096, 1], group[k : k + 4096, 2]
+            rows = max(1, 4 * HITS // len(around))
+            for k in range(0, len(group), rows):
+                text, begin = group[k : k + rows, 1], group[k : k + rows, 2]
                 at = begin[:, None] + around
                 inside = (at >= texts.first[text][:, None]) & (at < texts.first[text + 1][:, None])
                 spans = np.where(inside, texts.hash[np.clip(at, 0, len(texts.hash) - 1)], _U(0))
