@@ -206,6 +206,21 @@ def test_recurring_lines_go_and_copies_stay_whole(spark):
     assert templates.drop_templates(frame(spark, []), "text").count() == 0
 
 
+def test_notices_go_from_short_pages_and_near_copies_stay(spark):
+    rng = random.Random(8)
+    line = lambda n: prose(rng, n).replace("\n", " ")
+    notice = [line(20) for _ in range(3)]
+    data = [(i, "\n".join([line(20), *notice]), "en", "a", 1) for i in range(30)]
+    page = [line(25) for _ in range(8)]
+    for i in range(6):  # near copies: a word more in another line
+        copy = list(page)
+        copy[i] += f" word{i}"
+        data.append((100 + i, "\n".join(copy), "en", "a", 1))
+    got = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in templates.drop_templates(frame(spark, data), "text").collect()}
+    for key, text, *_ in data:
+        assert got[key] == ((text.split("\n")[0], 3) if key < 100 else (text, 0))
+
+
 def test_templates_generalise_digits_and_one_half_of_the_places():
     a = "user alice logged in from the office at nine sharp"
     b = "user alice logged out from the house at ten sharp"

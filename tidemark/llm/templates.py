@@ -8,16 +8,17 @@ leading words. So a line has two template keys, and short lines one, of all
 their words. Keys are counted as sums of per-document sets: a common line is
 one row per task before the shuffle, and no leaf is gathered anywhere.
 
-A template recurs if it stands in at least ``MIN_DOCS`` documents. Lines of
-recurring templates are dropped where they are the smaller part of a document.
-A document that consists of such lines for the most part is a copy of others,
-not text with boilerplate: it is left whole, for near-duplicate removal to
-choose from.
+A template recurs if it stands in at least ``MIN_DOCS`` documents, where equal
+texts count once, and so do near copies (linked at ``NEAR`` percent of their
+shingles, as in ``minhash``): what copies share is their text, for near-duplicate
+removal to choose from. Only texts with a template in ``MIN_DOCS`` different
+texts can change a count, so only those are grouped. Lines of recurring
+templates are dropped in every document, however much of it they make.
 
 Defined results: NULL texts stay NULL and empty ones empty; lines without a
-word are never dropped; repeated rows count as documents and are treated alike;
-an empty table gives an empty result; columns other than the text (and
-the counts added) stay as they are, NULL keys included.
+word are never dropped; repeated rows are treated alike; a text of recurring
+lines only becomes empty; an empty table gives an empty result; columns other
+than the text (and the counts added) stay as they are, NULL keys included.
 """
 
 from __future__ import annotations
@@ -31,10 +32,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.words import pieces
 from tidemark.session import settle
 
 MIN_DOCS = 3
+NEAR = 80  # percent of shingles that link near copies
 LEADING = 2  # depth of the tree below the word count
 SHORT = 8  # lines with fewer words must agree on all of them
 VARIABLE = "<*>"
@@ -97,21 +100,19 @@ def _tid(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def recurring_templates(keyed: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(key, n_docs) of templates that stand in at least ``min_docs`` rows."""
-    once = keyed.select(F.explode(F.array_distinct("keys")).alias("key"))
-    return once.groupBy("key").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") >= min_docs)
-
-
 def recurring_lines(df: DataFrame, text: str, min_docs: int = MIN_DOCS) -> DataFrame:
     """(tid, drop): numbers of the lines with a recurring template, by text."""
-    keyed = settle(_keyed(df, text), "line_keys")
-    known = recurring_templates(keyed, min_docs).select("key")
-    # a text that many rows share is looked up once
-    texts = keyed.groupBy("tid").agg(F.first("keys").alias("keys"), F.first("lines").alias("lines"))
-    pairs = texts.select("tid", F.explode(F.arrays_zip("keys", "lines")).alias("x")).select("tid", "x.keys", "x.lines")
-    hits = pairs.join(known.withColumnRenamed("key", "keys"), "keys")
-    return hits.groupBy("tid").agg(F.sort_array(F.collect_set("lines")).alias("drop"))
+    # a text that many rows share is one
+    keyed = settle(_keyed(df, text).dropDuplicates(["tid"]), "line_keys")
+    once = keyed.select(F.explode(F.array_distinct("keys")).alias("key"))
+    often = once.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs).select("key")
+    pairs = keyed.select("tid", F.explode(F.arrays_zip("keys", "lines")).alias("x")).select("tid", F.col("x.keys").alias("key"), F.col("x.lines").alias("line"))
+    hits = settle(pairs.join(often, "key"), "line_hits")
+    texts = df.select(_tid(F.col(text)).alias("tid"), F.col(text).alias("text")).join(hits.select("tid").distinct(), "tid", "left_semi")
+    groups = near_duplicates(settle(texts.dropDuplicates(["tid"]), "line_texts"), "tid", "text", NEAR).select("tid", "component")
+    stands = hits.select("tid", "key").distinct().join(groups, "tid").select("key", "component").distinct()
+    known = stands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs).select("key")
+    return hits.join(known, "key").groupBy("tid").agg(F.sort_array(F.collect_set("line")).alias("drop"))
 
 
 def drop_templates(df: DataFrame, text: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
@@ -121,11 +122,10 @@ def drop_templates(df: DataFrame, text: str = "text", min_docs: int = MIN_DOCS)
     joined = df.withColumn("__tid", _tid(F.col(text))).join(found, "__tid", "left")
     lines = F.split(F.col(text), "\n")
     kept = F.filter(lines, lambda x, i: ~F.array_contains("__drop", i))
-    out = joined.withColumn("__body", F.when(F.col("__drop").isNotNull(), F.array_join(kept, "\n")))
-    out = out.withColumn("__cut", F.coalesce(2 * F.length("__body") >= F.length(text), F.lit(False)))
+    found = F.col("__drop").isNotNull()
     added = {
         "n_lines": F.coalesce(F.size(lines), F.lit(0)),
-        "n_dropped": F.when(F.col("__cut"), F.size("__drop")).otherwise(0),
-        text: F.when(F.col("__cut"), F.col("__body")).otherwise(F.col(text)),
+        "n_dropped": F.when(found, F.size("__drop")).otherwise(0),
+        text: F.when(found, F.array_join(kept, "\n")).otherwise(F.col(text)),
     }
-    return out.withColumns(added).drop("__tid", "__drop", "__body", "__cut")
+    return joined.withColumns(added).drop("__tid", "__drop")
