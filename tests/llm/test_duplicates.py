@@ -171,6 +171,19 @@ def test_passages_in_many_copies_with_one_word_changed(spark):
     assert suffixes.repeated_passages(frame(spark, [])).count() == 0
 
 
+def test_pairs_that_share_what_follows_or_precedes_a_common_notice(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "RANGE_BYTES", 20_000)  # the halves of the notice fill many ranges
+    rng = random.Random(4)
+    line = lambda n: prose(rng, n).replace("\n", " ").replace(".", "")
+    notice = line(45)
+    tails, heads = [line(10) for _ in range(100)], [line(10) for _ in range(100)]
+    data = [(i, f"{line(15)} {notice} {tails[i % 100]} {line(15)}", "en", "a", 1) for i in range(200)]
+    data += [(200 + i, f"{line(15)} {heads[i % 100]} {notice} {line(15)}", "en", "a", 1) for i in range(200)]
+    got = suffixes.repeated_passages(frame(spark, data), "doc_id", "text").collect()
+    found = {(r["doc_id"], i) for r in got for i in range(r["begin"], r["end"])}
+    assert found == {(data[n][0], i) for n, i in plain_passages(data)}
+
+
 def plain_templates(data, least):
     docs = defaultdict(int)
     for _, text, *_ in data:

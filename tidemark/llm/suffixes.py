@@ -10,10 +10,11 @@ from other texts in that order, and the match is extended left and right.
 repeated passage of ``MIN_WORDS`` words holds a kept suffix with at least the
 other half of it behind, and suffixes whose next ``HALF`` words occur in one
 text only can be dropped by a count of their hashes. The others get their words
-(``LEFT`` before, ``RIGHT`` after) and are range-partitioned and sorted by
-them. Ranges include the text and the position, so a passage with any number of
-copies spreads over many tasks; it is then compared range by range, and the runs
-at the edge of a range with those of the next one in a second step.
+(``LEFT`` before, ``RIGHT`` after) and are range-partitioned and sorted by them,
+once by what follows and once by what precedes. Ranges are cut by the whole sort
+key, which ends in the text and the position: a passage with any number of copies
+spreads over many tasks, and neighbours stay neighbours. Each range is compared by
+itself, and the runs at its edge with those of the next one in a second step.
 
 Equal texts are one text here: it is sorted once, and all its rows are reported
 as copies. Texts are told apart by their 64-bit hash.
@@ -140,25 +141,6 @@ def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(same.all(axis=1), a.shape[1], (~same).argmax(axis=1))
 
 
-def _by_left(rows: pa.Table) -> np.ndarray:
-    """Order by half, then the words before (nearest first), then those after."""
-    half = rows.column("half").to_numpy().astype(">i8")
-    width = 8 + 4 * WIDTH
-    joined = np.empty((len(half), width), np.uint8)
-    joined[:, :8] = half.view(np.uint8).reshape(-1, 8)
-    joined[:, 8 : 8 + 4 * LEFT] = _matrix(rows.column("before"), LEFT).view(np.uint8).reshape(-1, 4 * LEFT)
-    joined[:, 8 + 4 * LEFT :] = _matrix(rows.column("after"), RIGHT).view(np.uint8).reshape(-1, 4 * RIGHT)
-    return np.lexsort([rows.column("at").to_numpy(), rows.column("tid").to_numpy(), np.unique(joined.view(f"S{width}").reshape(-1), return_inverse=True)[1]])
-
-
-def _extend(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """tid, begin and end of the matches of sorted suffixes. The neighbours with
-    the longest match behind them come from the order given, those with the
-    longest match before them from the same suffixes ordered by what precedes."""
-    found = [_matches(rows), _matches(rows.take(pa.array(_by_left(rows))))]
-    return tuple(np.concatenate(x) for x in zip(*found))
-
-
 def _matches(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Matches with the nearest suffixes of other texts before and after."""
     tid, at = rows.column("tid").to_numpy(), rows.column("at").to_numpy()
@@ -177,14 +159,19 @@ def _matches(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def match_spans(records: DataFrame) -> DataFrame:
-    """(tid, begin, end) in words: matches of neighbours in suffix order."""
+    """(tid, begin, end) in words: matches of neighbours in both orders. Those with
+    the longest match behind them are neighbours by what follows, those with the
+    longest match before them by what precedes."""
     records = settle(records, "suffixes")
     ranges = max(1, -(-records.count() * (WIDTH * 4 + 64) // RANGE_BYTES))
-    order = ["half", "after", "before", "tid", "at"]
-    # Suffixes with another first half cannot match, so ranges are cut by halves;
-    # short parts of the words cut a half with very many copies further. Spark
-    # samples these columns on the driver, hence not the whole records.
-    cuts = ["half", F.substring("after", 4 * HALF + 1, 8), F.substring("before", 1, 8), "tid", "at"]
+    return _neighbours(records, ranges, "after", "before").unionByName(_neighbours(records, ranges, "before", "after"))
+
+
+def _neighbours(records: DataFrame, ranges: int, near: str, far: str) -> DataFrame:
+    """Matches of neighbours in the order of half, words ``near`` and ``far``, text
+    and position. Ranges are cut by the same columns, so that neighbours in the
+    order are in one range, or at the edges of two that follow each other."""
+    order = ["half", near, far, "tid", "at"]
     schema = f"{_RECORD}, begin long, end long, range int, side string"
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +180,7 @@ def match_spans(records: DataFrame) -> DataFrame:
             return
         rows = pa.Table.from_batches(held).combine_chunks().select(_COLUMNS)
         tid, n = rows.column("tid").to_numpy(), rows.num_rows
-        hit, begin, end = _extend(rows)
+        hit, begin, end = _matches(rows)
         other = np.flatnonzero(tid != tid[0])
         head = other[0] + 1 if len(other) else n  # the first run and one row behind it
         other = np.flatnonzero(tid != tid[-1])
@@ -207,7 +194,7 @@ def match_spans(records: DataFrame) -> DataFrame:
             yield from pa.table(columns, names=[*_COLUMNS, "begin", "end", "range", "side"]).to_batches()
 
     # ranges come in order of their number, whatever becomes of empty ones
-    scanned = settle(records.repartitionByRange(ranges, *cuts).sortWithinPartitions(*order).mapInArrow(scan, schema), "scanned")
+    scanned = settle(records.repartitionByRange(ranges, *order).sortWithinPartitions(*order).mapInArrow(scan, schema), "scanned")
     inner = scanned.filter("side = ''").select("tid", "begin", "end")
     # one row per range
     follows = scanned.filter("side = 'tail'").select("range").distinct()
@@ -217,10 +204,9 @@ def match_spans(records: DataFrame) -> DataFrame:
     edges = tails.select(*_COLUMNS, "edge").unionByName(heads.select(*_COLUMNS, "edge"))
 
     def across(rows: pa.Table) -> pa.Table:
-        first = _matrix(rows.column("after"), RIGHT), _matrix(rows.column("before"), LEFT)
-        order = np.lexsort([rows.column("at").to_numpy(), rows.column("tid").to_numpy(), *first[1].T[::-1], *first[0].T[::-1], rows.column("half").to_numpy()])
-        rows = rows.take(pa.array(order))
-        tid, begin, end = _extend(rows)
+        words = np.concatenate([_matrix(rows.column(c), RIGHT if c == "after" else LEFT) for c in (near, far)], axis=1)
+        place = np.lexsort([rows.column("at").to_numpy(), rows.column("tid").to_numpy(), *words.T[::-1], rows.column("half").to_numpy()])
+        tid, begin, end = _matches(rows.take(pa.array(place)))
         return pa.table([pa.array(tid), pa.array(begin), pa.array(end)], names=["tid", "begin", "end"])
 
     return inner.unionByName(edges.groupBy("edge").applyInArrow(across, "tid long, begin long, end long"))
