@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, minhash, packing, quality_rules, sharding, suffixes, templates, toxicity, url_filter, warc
+from tidemark.llm import decontaminate, filter_audit, minhash, packing, quality_rules, sharding, suffixes, templates, toxicity, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -154,3 +154,44 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.archive_pages(table(spark, sf_dir, "pages"))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP11_SQL = r"""
+with d as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t from documents),
+l as (select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic
+  from labels where doc_id is not null group by doc_id),
+w as (select doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as ws, min(doc_id) over (partition by t) as first_id from d),
+f as (select w.part, coalesce(l.good, 0) as good, coalesce(l.toxic, 0) as toxic,
+    case when len(ws) < 100 then 1 else 0 end
+    + case when 100 * len(list_distinct(ws)) < 80 * len(ws) then 2 else 0 end
+    + case when 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) then 4 else 0 end
+    + case when regexp_matches(t, '[#$%&*|]') then 8 else 0 end
+    + case when w.doc_id > first_id then 16 else 0 end as mask
+  from w left join l on l.doc_id = w.doc_id),
+c as (select part, mask, count(*) as n, sum(good) as good, sum(toxic) as toxic from f group by part, mask),
+x as (select unnest(range(5)) as i),
+o as (select a.i as a, b.i as b, c.i as c, d.i as d, e.i as e from x a, x b, x c, x d, x e
+  where (1 << a.i) + (1 << b.i) + (1 << c.i) + (1 << d.i) + (1 << e.i) = 31
+    and a.i <> b.i and a.i <> c.i and a.i <> d.i and a.i <> e.i and b.i <> c.i and b.i <> d.i and b.i <> e.i and c.i <> d.i and c.i <> e.i and d.i <> e.i),
+s as (select substr('ABCDE', cast(a + 1 as int), 1) || substr('ABCDE', cast(b + 1 as int), 1) || substr('ABCDE', cast(c + 1 as int), 1)
+      || substr('ABCDE', cast(d + 1 as int), 1) || substr('ABCDE', cast(e + 1 as int), 1) as filter_order,
+    [a, b, c, d, e] as fs, unnest(range(1, 6)) as step from o),
+p as (select filter_order, cast(step as int) as step, cast(1 << fs[step] as int) as own,
+    cast(list_sum(list_transform(fs[1:step], lambda y: 1 << y)) as int) as upto from s),
+r as (select part, filter_order, step, own,
+    sum(case when mask & upto = 0 then n else 0 end) as kept,
+    sum(case when mask & own <> 0 and mask & (upto - own) = 0 then n else 0 end) as removed,
+    sum(case when mask & own <> 0 and mask & (upto - own) <> 0 then n else 0 end) as redundant,
+    sum(case when mask = own then n else 0 end) as unique_fails,
+    sum(case when mask & own <> 0 and mask & (upto - own) = 0 then good else 0 end) as good_lost,
+    sum(case when mask & own <> 0 and mask & (upto - own) = 0 then toxic else 0 end) as toxic_lost
+  from c cross join p group by part, filter_order, step, own)
+select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as bigint) as removed, cast(redundant as bigint) as redundant,
+  cast(unique_fails as bigint) as unique_fails, cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost,
+  cast(sum(removed) over (partition by part, own) as bigint) as shapley
+from r"""
+
+
+@query("op11_filter_audit", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

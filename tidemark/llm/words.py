@@ -30,8 +30,10 @@ _upper = (_byte >= 0x41) & (_byte <= 0x5A)
 _alnum = ((_byte >= 0x30) & (_byte <= 0x39)) | _upper | ((_byte >= 0x61) & (_byte <= 0x7A)) | (_byte >= 0x80)
 LOWER = np.where(_upper, _byte + 32, _byte)
 #: (is the byte part of a word, its code): A-Z lowered; words split at ASCII
-#: white space, or at every ASCII character that is no letter or digit.
+#: white space, or at every ASCII character that is no letter or digit;
+#: ``BY_CASE`` splits like the first and keeps A-Z apart from a-z.
 BY_SPACE = (~_space, _CODE[LOWER])
+BY_CASE = (~_space, _CODE)
 BY_ALNUM = (_alnum, _CODE[LOWER])
 
 
