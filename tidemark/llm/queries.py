@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, filter_audit, minhash, packing, quality_rules, sharding, suffixes, templates, toxicity, url_filter, warc
+from tidemark.llm import conversation_trie, decontaminate, filter_audit, minhash, packing, quality_rules, sharding, suffixes, templates, toxicity, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -195,3 +195,36 @@ from r"""
 @query("op11_filter_audit", OP11_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP12_SQL = r"""
+with o as (select conv_id, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos,
+    {'r': coalesce(role, ''), 't': coalesce(text, '')} as x from conversations where conv_id is not null),
+c as (select distinct conv_id from o),
+names as (select conv_id, cast(conv_id as varchar) as s from c),
+crc as (select conv_id, list_reduce(list_prepend(4294967295::ubigint, list_transform(range(length(s)), lambda i:
+      ascii(substr(s, cast(i + 1 as int), 1))::ubigint)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), [0::ubigint, 1, 2, 3, 4, 5, 6, 7]),
+      lambda y, z: case when y % 2 = 1 then xor(y >> 1, 3988292384::ubigint) else y >> 1 end)) as v
+  from names),
+h as (select conv_id, cast(xor(v, 4294967295::ubigint) % 9 as bigint) as h, conv_id - conv_id % 5 as base from crc),
+m as (select h.*, least(h, (select count(*) from o where o.conv_id = h.base)) as taken from h),
+turns as (select m.conv_id, o.pos as d, o.x from m join o on o.conv_id = m.base and o.pos <= m.h
+  union all select m.conv_id, o.pos - m.h + m.taken, o.x from m join o on o.conv_id = m.conv_id and o.pos > m.h),
+walk as (select conv_id, d, strlen(x.t) as size, sha256(cast(list(x) over (partition by conv_id order by d) as varchar)) as k from turns
+  union all select conv_id, 0, 0, '' from c),
+total as (select conv_id, max(d) as n from walk group by conv_id),
+p as (select w.*, coalesce(lag(k) over (partition by w.conv_id order by d), '') as up, d = n as ends from walk w join total on total.conv_id = w.conv_id),
+nodes as (select k, min(up) as up, min(conv_id) as conv_id, min(d) as d, count(*) as n, (count(*) - 1) * max(size) as saved,
+    case when count(*) = count(*) filter (ends) then 1 else 0 end as leaf,
+    sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (ends), '')) as sha from p group by k),
+below as (select a.k, sum(saved) as saved, sum(leaf) as leaves from nodes join p a on a.conv_id = nodes.conv_id and a.d <= nodes.d group by a.k),
+kids as (select up, count(*) as n from nodes where d > 0 group by up)
+select nodes.conv_id, cast(nodes.d as bigint) as depth, case when nodes.d > 0 then above.conv_id end as parent_conv_id, nodes.n as n_convs,
+  coalesce(kids.n, 0) as n_children, cast(below.leaves as bigint) as n_leaves, cast(below.saved as bigint) as saved_tokens, nodes.sha as ends_sha256
+from nodes join below on below.k = nodes.k left join kids on kids.up = nodes.k left join nodes above on above.k = nodes.up"""
+
+
+@query("op12_prefix_trie", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
