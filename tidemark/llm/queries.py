@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import conversation_trie, decontaminate, filter_audit, minhash, packing, quality_rules, sharding, suffixes, templates, toxicity, url_filter, warc
+from tidemark.llm import conversation_trie, decontaminate, filter_audit, lexical_packing, minhash, packing, quality_rules, sharding, suffixes, templates, toxicity, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -228,3 +228,9 @@ from nodes join below on below.k = nodes.k left join kids on kids.up = nodes.k l
 @query("op12_prefix_trie", OP12_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_lexical_packing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = lexical_packing.pack_documents(table(spark, sf_dir, "documents"))
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
