@@ -163,8 +163,9 @@ def test_range_text(spark):
     assert [r.s for r in parsed] == ["A:C", "AA:AB", "A:C", None, None]
     letters = spark.createDataFrame([("A",), ("Z",), ("AA",)], "t string")
     assert [r[0] for r in letters.select(reports.column_number(F.col("t"))).collect()] == [1, 26, 27]
-    words = spark.createDataFrame([("TRUE",), ("Null",), ("Abc",)], "t string")
-    assert [r[0] for r in words.select(reports.coerce_word(F.col("t"))).collect()] == ["true", None, "Abc"]
+    words = spark.createDataFrame([("TRUE",), ("Null",), ("Abc",), ("A1:B2",), ("  ",)], "t string")
+    typed = words.select(reports.coerce_word(F.col("t")), reports.word_kind(F.col("t"))).collect()
+    assert [tuple(r) for r in typed] == [("true", "flag"), (None, "none"), ("Abc", "text"), ("A1:B2", "range"), ("  ", "empty")]
 
 
 def test_report_extraction_of_absent_sheets(spark):
@@ -183,6 +184,31 @@ def test_report_extraction_of_absent_sheets(spark):
     assert rows(reports.nest_range_config(config)) == [(1, "S", ["f", "open"]), (2, "T", ["g"])]
 
 
+CONFIG = (
+    "line_no int, sheet_key string, sheet_id string, frame string, header1 string, header2 string, start string, stop string, "
+    "control_column string, end_column string, data string, dynamic_headers string"
+)
+
+
+def test_many_ranges_on_one_tall_column(spark):
+    rows_, n = 20_000, 400
+    cells = spark.range(1, rows_ + 1).select(
+        F.lit("r").alias("report"), F.lit("S").alias("sheet"), F.col("id").cast("int").alias("row"), F.lit(1).alias("col"), F.col("id").cast("string").alias("value")
+    )
+    spans = [(50 * i + 2, 50 * i + 2 + (9000 if i % 100 == 0 else 5)) for i in range(n)]
+    lines = [(i, "S", "1", f"f{i}", "", "", "", "", "", "", f"A{a}:A{b}", f"A{a - 1}:A{a - 1}") for i, (a, b) in enumerate(spans)]
+    config = reports.build_range_config(spark.createDataFrame(lines, CONFIG))
+    long, failures = reports.extract_ranges(cells, config)
+    got = {r["frame"]: r for r in long.groupBy("frame").agg(F.count("*").alias("n"), F.min("header").alias("h"), F.min(F.col("value").cast("int")).alias("a"), F.max(F.col("value").cast("int")).alias("b"), F.countDistinct("row_no").alias("d")).collect()}
+    for i, (a, b) in enumerate(spans):
+        r, last = got[f"f{i}"], min(b, rows_)
+        assert (r["n"], r["h"], r["a"], r["b"], r["d"]) == (last - a + 1, str(a - 1), a, last, last - a + 1)
+    assert failures.isEmpty()
+    # a cell meets the intervals of its block only, not all of its column
+    index = reports.interval_index(reports._fixed_ranges(config), ["sheet"])
+    assert index.groupBy("col", "block").count().agg(F.max("count")).first()[0] < n
+
+
 def test_histogram_of_a_constant_and_of_nothing(spark):
     df = spark.createDataFrame([(3.0,), (3.0,), (None,)], "x double")
     bins = stats.histogram(df, "x", 4).orderBy("bin").collect()

@@ -145,16 +145,15 @@ def _limbs(x: Column) -> Column:
     """A whole number as limbs of ``LIMB`` digits, the lowest first; other text
     is zero. Every length has its limbs, so no field is left out of a sum."""
     digits = F.ltrim(F.when(x.rlike(r"^\d+$"), x).otherwise("0"), F.lit("0"))
-    n = F.length(digits)
+    n = F.greatest(F.length(digits), F.lit(1))
 
     def limb(i: Column) -> Column:
         end = n - i * LIMB
         begin = F.greatest(end - LIMB, F.lit(0))
-        return F.substr(digits, begin + 1, end - begin).cast("bigint")
+        part = F.substr(digits, begin + 1, end - begin)
+        return F.when(part == "", F.lit("0")).otherwise(part).cast("bigint")
 
-    short = F.array(F.when(digits == "", F.lit("0")).otherwise(digits).cast("bigint"))
-    more = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / LIMB).cast("int")), limb)
-    return F.when(n <= LIMB, short).otherwise(more)
+    return F.transform(F.sequence(F.lit(0), F.floor((n - 1) / LIMB).cast("int")), limb)
 
 
 def _written_out(sums: Column, name: str) -> Column:
@@ -165,30 +164,63 @@ def _written_out(sums: Column, name: str) -> Column:
     def add(state: Column, x: Column) -> Column:
         total = state["carry"] + x[name]
         low = F.lpad((total % base).cast("string"), LIMB, "0")
-        return F.struct(((total - total % base) / base).cast("bigint").alias("carry"), F.concat(low, state["text"]).alias("text"))
+        return F.struct(F.call_function("div", total, base).alias("carry"), F.concat(low, state["text"]).alias("text"))
 
     text = F.aggregate(sums, start, add, lambda s: F.concat(s["carry"].cast("string"), s["text"]))
     lean = F.ltrim(text, F.lit("0"))
     return F.when(lean == "", F.lit("0")).otherwise(lean)
 
 
-def pad_checksum(df: DataFrame, by: str, column: str, width: int, delimiter: str) -> DataFrame:
-    """Column sums of the numeric fields before and after padding, per file:
-    (by, position, sum_before, sum_after, passed). The sums are exact whole
-    numbers of any length, written as text."""
+def _padded_fields(df: DataFrame, by: str, column: str, width: int, delimiter: str) -> DataFrame:
+    """(by, position, before, after): every field but the first of a record."""
     fields = split_fields(strip(F.col(column)), delimiter)
-    limbs = (
+    raw = (
         df.filter(strip(F.col(column)) != "")
         .select(by, F.posexplode(F.slice(fields, F.lit(2), F.size(fields))).alias("position", "_raw"))
-        .select(by, "position", strip(F.col("_raw")).alias("_raw"))
-        .select(by, "position", F.posexplode(F.arrays_zip(_limbs(F.col("_raw")).alias("b"), _limbs(zero_pad(F.col("_raw"), width)).alias("a"))).alias("_limb", "_x"))
+        .select(by, "position", strip(F.col("_raw")).alias("before"))
+    )
+    return raw.withColumn("after", zero_pad(F.col("before"), width))
+
+
+def pad_checksum(df: DataFrame, by: str, column: str, width: int, delimiter: str) -> DataFrame:
+    """Column sums of the numeric fields before and after padding, per file:
+    (by, position, sum_before, sum_after, passed). The sums are exact whole
+    numbers of any length, written as text.
+
+    There are two lanes. Numbers of up to ``2 * LIMB`` digits are two columns of
+    plain sums in one aggregate. Longer ones are cut into limbs; only records
+    with so many digits in a row are split again for them.
+    """
+    base = F.lit(10**LIMB).cast("bigint")
+    short = rf"^0*\d{{1,{2 * LIMB}}}$"
+    numbers = _padded_fields(df, by, column, width, delimiter).select(
+        by, "position", *[F.when(F.col(s).rlike(short), F.col(s).cast("bigint")).alias(s) for s in ("before", "after")]
+    )
+
+    def total(side: str, high: bool) -> Column:
+        part = F.call_function("div", F.col(side), base) if high else F.col(side) % base
+        return F.coalesce(F.sum(part), F.lit(0))
+
+    plain = numbers.groupBy(by, "position").agg(
+        F.array(*[F.struct(total("before", high).alias("b"), total("after", high).alias("a")) for high in (False, True)]).alias("_s")
     )
-    summed = limbs.groupBy(by, "position", "_limb").agg(
-        F.coalesce(F.sum("_x.b"), F.lit(0)).alias("b"), F.coalesce(F.sum("_x.a"), F.lit(0)).alias("a")
+    lanes = plain.select(by, "position", F.posexplode("_s").alias("_limb", "_x"))
+
+    def long(side: str) -> Column:
+        return _limbs(F.when(~F.col(side).rlike(short), F.col(side)))
+
+    many = df.filter(F.col(column).rlike(rf"\d(?:_?\d){{{2 * LIMB},}}"))
+    cut = (
+        _padded_fields(many, by, column, width, delimiter)
+        .filter(F.length("before") > 2 * LIMB)
+        .select(by, "position", F.posexplode(F.arrays_zip(long("before").alias("b"), long("after").alias("a"))).alias("_limb", "_x"))
+        .groupBy(by, "position", "_limb")
+        .agg(F.struct(F.coalesce(F.sum("_x.b"), F.lit(0)).alias("b"), F.coalesce(F.sum("_x.a"), F.lit(0)).alias("a")).alias("_x"))
     )
-    # as many limbs as the longest field has
-    sums = summed.groupBy(by, "position").agg(F.sort_array(F.collect_list(F.struct("_limb", "b", "a"))).alias("_s"))
-    out = sums.select(by, "position", _written_out(F.col("_s"), "b").alias("sum_before"), _written_out(F.col("_s"), "a").alias("sum_after"))
+    # as many limbs as the longest field has; a few rows per file and position
+    limbs = lanes.unionByName(cut).groupBy(by, "position", "_limb").agg(F.sum("_x.b").alias("b"), F.sum("_x.a").alias("a"))
+    whole = limbs.groupBy(by, "position").agg(F.sort_array(F.collect_list(F.struct("_limb", "b", "a"))).alias("_s"))
+    out = whole.select(by, "position", _written_out(F.col("_s"), "b").alias("sum_before"), _written_out(F.col("_s"), "a").alias("sum_after"))
     return out.withColumn("passed", F.col("sum_before") == F.col("sum_after"))
 
 

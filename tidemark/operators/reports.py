@@ -16,8 +16,10 @@ from tidemark.session import settle
 
 CELL = r"([A-Z]+)(\d+)"
 RANGE = rf"{CELL}:{CELL}"
-#: Config lines that may be sent to every task (about 200 bytes each).
-CONFIG_ROWS = 10_000
+#: Interval rows that may be sent to every task (about 100 bytes each).
+CONFIG_ROWS = 100_000
+#: Bits of a row number within one block of the interval index.
+BLOCK_BITS = 12
 
 
 def column_number(letters: Column) -> Column:
@@ -50,10 +52,24 @@ def column_span(text: Column) -> Column:
     return F.when(text.rlike(r"^[A-Z]+\d*:[A-Z]+\d*"), F.concat_ws(":", *ends))
 
 
-def coerce_word(text: Column) -> Column:
-    """The word ``null`` in any case becomes NULL, booleans lower case."""
+def word_kind(text: Column) -> Column:
+    """What a configuration value is: ``flag``, ``none`` (the word null),
+    ``range``, ``empty`` or other ``text``."""
     low = F.lower(text)
-    return F.when(low == "null", F.lit(None)).when(low.isin("true", "false"), low).otherwise(text)
+    return (
+        F.when(low.isin("true", "false"), "flag")
+        .when(low == "null", "none")
+        .when(text.rlike(rf"^{RANGE}$"), "range")
+        .when(~filled(text), "empty")
+        .otherwise("text")
+    )
+
+
+def coerce_word(text: Column) -> Column:
+    """The word ``null`` in any case becomes NULL, booleans lower case; ranges,
+    empty and other text stay."""
+    kind = word_kind(text)
+    return F.when(kind == "flag", F.lower(text)).when(kind != "none", text)
 
 
 def filled(text: Column) -> Column:
@@ -66,7 +82,9 @@ def build_range_config(cfg: DataFrame) -> DataFrame:
     Input columns: line_no, sheet_key, sheet_id, frame, header1, header2,
     start, stop, control_column, end_column, data, dynamic_headers. Sheets are
     numbered by first appearance. With start and stop values the range is
-    found by markers, otherwise by its cell range.
+    found by markers, otherwise by its cell range. ``use_dynamic_headers`` is
+    the header value with its words typed (``header_kind`` says as what);
+    marker ranges never use it.
     """
     firsts = cfg.groupBy("sheet_key").agg(F.min("line_no").alias("_first"))
     indexed = number_rows(firsts, [F.col("_first")], "sheet_index").select("sheet_key", "sheet_index")
@@ -89,6 +107,8 @@ def build_range_config(cfg: DataFrame) -> DataFrame:
             (F.col("_d.end_row") - F.col("_d.start_row") + 1).alias("nrows_data"),
             (F.col("_h.start_row") - 1).alias("header_rows_skip"),
             (F.col("_h.end_row") - F.col("_h.start_row") + 1).alias("nrows_header"),
+            F.when(dynamic, "false").otherwise(coerce_word(F.col("dynamic_headers"))).alias("use_dynamic_headers"),
+            F.when(dynamic, "flag").otherwise(word_kind(F.col("dynamic_headers"))).alias("header_kind"),
             F.array_join(heads, "|").alias("prepend_headers"),
             dynamic.alias("use_markers"),
             F.when(dynamic, coerce_word(F.col("start"))).alias("start_value"),
@@ -108,17 +128,29 @@ def nest_range_config(config: DataFrame) -> DataFrame:
     )
 
 
-def _to_all(config: DataFrame) -> DataFrame:
-    """Config lines are few and sheets even fewer, so a join on them is sent to
-    every task, as long as a count says that they are few; otherwise it is
-    shuffled."""
-    return F.broadcast(config) if config.count() <= CONFIG_ROWS else config
+def _small(rows: DataFrame) -> DataFrame:
+    """Send a stored table to every task if a count says that it is small;
+    otherwise a join shuffles it."""
+    return F.broadcast(rows) if rows.count() <= CONFIG_ROWS else rows
+
+
+def _width_error(row_from: str, row_to: str) -> Column:
+    width, head = (F.col(f"{b}to") - F.col(f"{b}from") + 1 for b in ("col_", "head_"))
+    return (
+        F.when(F.col(row_to).isNull() | F.col(row_from).isNull(), F.lit("range not found"))
+        .when(F.col("head_row").isNull() | head.isNull(), F.lit("header range missing"))
+        .when(width < 1, F.lit("empty range"))
+        .when(
+            width != head,
+            F.concat(
+                F.lit("range is "), width.cast("string"), F.lit(" columns wide but its header "), head.cast("string")
+            ),
+        )
+    )
 
 
-def _bounds(config: DataFrame, cells: DataFrame, pages: DataFrame) -> DataFrame:
-    """Config rows with first/last data row and column, and header row, per
-    report. Marker ranges run between the first start value in the control
-    column and the first stop value below it."""
+def _fixed_ranges(config: DataFrame) -> DataFrame:
+    """Bounds of the ranges given by cells, which are those of every report."""
 
     def ends(name: str, i: int) -> Column:
         return column_number(F.split_part(F.col(name), F.lit(":"), F.lit(i)))
@@ -134,8 +166,12 @@ def _bounds(config: DataFrame, cells: DataFrame, pages: DataFrame) -> DataFrame:
         ends("header_range", 1).alias("head_from"),
         ends("header_range", 2).alias("head_to"),
     )
-    fixed = pages.join(_to_all(fixed), "sheet").select("report", *fixed.columns)
+    return fixed.withColumn("error", _width_error("row_from", "row_to"))
+
 
+def _marker_ranges(config: DataFrame, cells: DataFrame) -> DataFrame:
+    """Bounds of the marker ranges, per report: between the first start value
+    in the control column and the first stop value below it."""
     marks = config.filter("use_markers").select(
         "sheet",
         "frame",
@@ -151,7 +187,7 @@ def _bounds(config: DataFrame, cells: DataFrame, pages: DataFrame) -> DataFrame:
         F.struct(F.col("stop_value").alias("value"), F.lit("stop").alias("kind")),
     )
     marks = marks.select("sheet", "frame", "col", "col_to", F.inline(kinds))
-    hits = settle(cells.join(_to_all(marks), ["sheet", "col", "value"]), "markers")
+    hits = settle(cells.join(_small(marks), ["sheet", "col", "value"]), "markers")
     group = ["report", "sheet", "frame", "col", "col_to"]
     starts = hits.filter("kind = 'start'").groupBy(*group).agg(F.min("row").alias("head_row"))
     stops = (
@@ -173,7 +209,33 @@ def _bounds(config: DataFrame, cells: DataFrame, pages: DataFrame) -> DataFrame:
         F.col("col").alias("head_from"),
         F.col("col_to").alias("head_to"),
     )
-    return fixed.unionByName(marked)
+    return marked.withColumn("error", _width_error("row_from", "row_to"))
+
+
+def interval_index(ranges: DataFrame, keys: list[str]) -> DataFrame:
+    """Ranges as an index to join cells with: one row per column of a range,
+    for its data and for its header, and per block of rows it touches. A cell
+    then meets only intervals of its own column and block, however many ranges
+    lie on that column."""
+    column = F.explode(F.sequence(F.lit(0), F.col("col_to") - F.col("col_from"))).alias("_i")
+    spans = ranges.select("*", column)
+    place = [*keys, "frame", (F.col("_i") + 1).alias("col_no")]
+    data = spans.select(*place, F.lit(False).alias("is_header"), (F.col("col_from") + F.col("_i")).alias("col"), "row_from", "row_to")
+    head = spans.select(
+        *place,
+        F.lit(True).alias("is_header"),
+        (F.col("head_from") + F.col("_i")).alias("col"),
+        F.col("head_row").alias("row_from"),
+        F.col("head_row").alias("row_to"),
+    )
+    block = F.explode(F.sequence(F.shiftright("row_from", BLOCK_BITS), F.shiftright("row_to", BLOCK_BITS)))
+    return data.unionByName(head).filter("row_to >= row_from").withColumn("block", block)
+
+
+def _cells_inside(cells: DataFrame, index: DataFrame, keys: list[str]) -> DataFrame:
+    blocked = cells.withColumn("block", F.shiftright("row", BLOCK_BITS))
+    met = blocked.join(index, [*keys, "col", "block"]).filter("row between row_from and row_to")
+    return met.select("report", "sheet", "frame", "is_header", (F.col("row") - F.col("row_from") + 1).alias("row_no"), "col_no", "value")
 
 
 def extract_ranges(
@@ -185,78 +247,42 @@ def extract_ranges(
     col_no, header, value) with numbers inside the range; failures are
     (report, sheet, frame, error). Cells missing from a range are no rows.
 
-    The pages and the range bounds, one row per page and range, are stored
-    first, so the cells are read once for pages, markers, headers and data.
+    Ranges become an interval index. The cells are read once for headers and
+    data together, and once more for markers if there are any; what lies inside
+    a range is stored, and its data rows then meet one header row each.
     """
     if sheets != "All":
         config = config.filter(F.col("sheet").isin(list(sheets)))
-    pages = settle(cells.select("report", "sheet").distinct(), "pages")
-    bounds = settle(_bounds(config, cells, pages), "bounds")
-    width, head_width = (
-        F.col(f"{b}to") - F.col(f"{b}from") + 1 for b in ("col_", "head_")
-    )
-    error = (
-        F.when(F.col("row_to").isNull() | F.col("row_from").isNull(), F.lit("range not found"))
-        .when(F.col("head_row").isNull() | head_width.isNull(), F.lit("header range missing"))
-        .when(width < 1, F.lit("empty range"))
-        .when(
-            width != head_width,
-            F.concat(
-                F.lit("range is "),
-                width.cast("string"),
-                F.lit(" columns wide but its header "),
-                head_width.cast("string"),
-            ),
+    config = settle(config, "config")
+    fixed = settle(_fixed_ranges(config), "fixed_ranges")
+    index = settle(interval_index(fixed.filter("error is null"), ["sheet"]), "intervals")
+    inside = _cells_inside(cells, _small(index), ["sheet"])
+    keys = ["report", "sheet", "frame"]
+    pages = cells.select("report", "sheet").distinct()
+    failures = pages.join(fixed.filter("error is not null").select("sheet", "frame", "error"), "sheet").select(*keys, "error")
+    if not config.filter("use_markers").isEmpty():
+        marked = settle(_marker_ranges(config, cells), "marker_ranges")
+        good = interval_index(marked.filter("error is null"), ["report", "sheet"])
+        inside = inside.unionByName(_cells_inside(cells, good, ["report", "sheet"]))
+        unmarked = (
+            pages.join(config.filter("use_markers").select("sheet", "frame"), "sheet")
+            .join(marked.select(*keys), keys, "left_anti")
+            .select(*keys, F.lit("start value not found").alias("error"))
         )
-    )
-    judged = bounds.withColumn("error", error)
+        failures = failures.unionByName(marked.filter("error is not null").select(*keys, "error")).unionByName(unmarked)
     absent = (
         config.select("sheet", "frame")
         .join(pages.select("sheet").distinct(), "sheet", "left_anti")
         .select(F.lit(None).cast("string").alias("report"), "sheet", "frame", F.lit("sheet not found").alias("error"))
     )
-    unmarked = (
-        pages.join(_to_all(config.filter("use_markers").select("sheet", "frame")), "sheet")
-        .join(bounds.select("report", "sheet", "frame"), ["report", "sheet", "frame"], "left_anti")
-        .select("report", "sheet", "frame", F.lit("start value not found").alias("error"))
-    )
-    failures = (
-        judged.filter("error is not null")
-        .select("report", "sheet", "frame", "error")
-        .unionByName(unmarked)
-        .unionByName(absent)
-    )
-    good = judged.filter("error is null").drop("error")
-    # One row per column of a range, with its header; a cell then meets only
-    # the ranges that cover its own column.
-    offset = F.explode(F.sequence(F.lit(0), F.col("col_to") - F.col("col_from")))
-    spans = good.withColumn("_i", offset).withColumns(
-        {"col": F.col("col_from") + F.col("_i"), "_hc": F.col("head_from") + F.col("_i")}
-    )
-    titles = cells.select(
-        "report",
-        "sheet",
-        F.col("row").alias("head_row"),
-        F.col("col").alias("_hc"),
-        F.col("value").alias("header"),
-    )
-    headed = spans.join(titles, ["report", "sheet", "head_row", "_hc"], "left").select(
-        "report", "sheet", "frame", "col", "row_from", "row_to", (F.col("_i") + 1).alias("col_no"), "header"
-    )
+    inside = settle(inside, "range_cells")
+    headers = inside.filter("is_header").select(*keys, "col_no", F.col("value").alias("header"))
     long = (
-        cells.join(headed, ["report", "sheet", "col"])
-        .filter("row between row_from and row_to")
-        .select(
-            "report",
-            "sheet",
-            "frame",
-            (F.col("row") - F.col("row_from") + 1).alias("row_no"),
-            "col_no",
-            "header",
-            "value",
-        )
+        inside.filter("not is_header")
+        .join(headers, [*keys, "col_no"], "left")
+        .select(*keys, "row_no", "col_no", "header", "value")
     )
-    return long, failures
+    return long, failures.unionByName(absent)
 
 
 def widen(long: DataFrame, headers: list[str]) -> DataFrame:

@@ -19,6 +19,10 @@ RANGE_LINES = [
     ("marked", "Key", "Total", "Key", "Total", "A", "B", "", ""),
     ("unmarked", "", "", "Nothing", "Total", "A", "B", "", ""),
     ("words", "", "", "TRUE", "null", "C", "C", "", ""),
+    ("flagged", "", "", "", "", "", "", f"A3:C{PAGE + 2}", "TRUE"),
+    ("nothing", "", "", "", "", "", "", f"A3:C{PAGE + 2}", "Null"),
+    ("noheader", "", "", "", "", "", "", f"A3:C{PAGE + 2}", ""),
+    ("typo", "", "", "", "", "", "", f"A3:C{PAGE + 2}", "row 2"),
 ]
 
 
@@ -60,12 +64,16 @@ _CFG = f"""cfg as (select s._first * {len(RANGE_LINES)} + r.range_no as line_no,
     "report_config",
     f"""with {_CFG} select cast(dense_rank() over (order by (select min(line_no) from cfg c where c.sheet_key = g.sheet_key)) as int) as sheet_index,
       sheet_id, sheet_key as sheet, frame, line_no,
-      case frame when 'all' then 'A:C' when 'names' then 'B:B' when 'mixed' then 'A:C' end as data_range,
+      case when frame = 'names' then 'B:B' when start_v = '' then 'A:C' end as data_range,
       case frame when 'all' then 'A:C' when 'names' then 'B:B' when 'mixed' then 'A:B' end as header_range,
       case when data_v <> '' then cast(2 as int) end as skiprows_data,
       case when data_v <> '' then cast({PAGE} as int) end as nrows_data,
-      case when head_v <> '' then cast(1 as int) end as header_rows_skip,
-      case when head_v <> '' then cast(1 as int) end as nrows_header,
+      case when head_v like '%:%' then cast(1 as int) end as header_rows_skip,
+      case when head_v like '%:%' then cast(1 as int) end as nrows_header,
+      case frame when 'flagged' then 'true' when 'nothing' then null when 'typo' then 'row 2' else case when start_v <> '' then 'false' else head_v end end
+        as use_dynamic_headers,
+      case when start_v <> '' or frame = 'flagged' then 'flag' when frame = 'nothing' then 'none' when frame = 'noheader' then 'empty'
+        when frame = 'typo' then 'text' else 'range' end as header_kind,
       case frame when 'names' then 'Page' when 'marked' then 'Key|Total' else '' end as prepend_headers,
       start_v <> '' as use_markers,
       case frame when 'marked' then 'Key' when 'unmarked' then 'Nothing' when 'words' then 'true' end as start_value,
@@ -119,6 +127,7 @@ def report_table(spark, sf_dir):
     f"""with {_PAGES}, n as (select count(*) as n from (select distinct report, sheet from page) x)
     select 'loaded' as status, null::varchar as error, 3 * n as ranges from n
     union all select 'failed', 'range is 3 columns wide but its header 2', n from n
+    union all select 'failed', 'header range missing', 4 * n from n
     union all select 'failed', 'start value not found', 2 * n from n""",
 )
 def report_failures(spark, sf_dir):
