@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+from pathlib import Path
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.contracts import OBJECTIVE_LAYOUTS, CsvSpec, layout_from_ranges
+from tidemark.functions import dates
 from tidemark.operators import models, reports, stats
 from tidemark.session import scratch_dir, settle
 from tidemark.sinks import ledger, writers
@@ -95,6 +98,30 @@ def test_header_dates_and_lineage(spark, tmp_path):
     assert rows(lines.select("header_dt", "value")) == [(None, "row2"), (D(2024, 2, 29), "row1")]
 
 
+def test_header_dates_beyond_the_broadcast_bound(spark, tmp_path):
+    for i in range(5):
+        put(tmp_path, f"f{i}.txt", f"HDR  BAC0{i + 1}/02/2024\n" + "".join(f"row{i}-{j}\n" for j in range(30)))
+    lines = readers.read_lines(spark, str(tmp_path))
+    near, far = readers.header_dated_lines(lines), readers.header_dated_lines(lines, most=2)
+    assert rows(near.select("header_dt", "value")) == rows(far.select("header_dt", "value"))
+    assert near.filter("header_dt is null").isEmpty() and near.count() == 150
+    # the data lines stay where they were read
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_stored_listing_by_month(spark, tmp_path):
+    names = [f"IN_2024{m:02d}{d:02d}.txt" for m in (1, 2, 3) for d in (1, 20)] + ["IN_notes.txt"]
+    for name in names:
+        put(tmp_path, name, "x\n")
+    path = scratch_dir(spark)
+    listing.store_listing(listing.list_files(spark, str(tmp_path)), path)
+    assert listing.stored_listing(spark, path).count() == 7
+    span = listing.stored_listing(spark, path, D(2024, 1, 20), D(2024, 2, 1))
+    assert rows(span.select("name")) == [("IN_20240120.txt",), ("IN_20240201.txt",)]
+    assert "file_month" in span._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: ")[1][:200]
+
+
 def test_guarded_and_incremental_appends(spark):
     path = scratch_dir(spark)
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
@@ -107,6 +134,36 @@ def test_guarded_and_incremental_appends(spark):
     assert rows(writers.existing(spark, path, df.schema)) == [(1, "a"), (2, "b"), (3, "c")]
 
 
+def test_inserts_open_only_folders_of_staged_keys(spark):
+    path, keys = scratch_dir(spark), ["id", "k"]
+    df = spark.createDataFrame([(i, None if i % 3 == 0 else i % 7, f"v{i}") for i in range(200)], "id int, k int, v string")
+    writers.append_new(df, path, keys, buckets=8)
+    late = spark.createDataFrame([(5, 5, "again"), (6, None, "again"), (5, None, "new"), (5, None, "new too")], df.schema)
+    touched = {r[0] for r in late.select(writers.key_bucket(keys, 8)).collect()}
+    assert len(touched) < 8
+    for folder in Path(path).glob("bucket_of_8=*"):
+        if int(folder.name.split("=")[1]) not in touched:
+            for f in folder.glob("*.parquet"):
+                f.write_bytes(b"no parquet")
+                (folder / f".{f.name}.crc").unlink(missing_ok=True)
+    for _ in range(2):
+        writers.append_new(late, path, keys, buckets=8)
+    layout = T.StructType([*df.schema.fields, T.StructField("bucket_of_8", T.IntegerType())])
+    stored = writers.existing(spark, path, layout).filter(F.col("bucket_of_8").isin(*touched)).select("id", "k", "v")
+    kept = df.filter(writers.key_bucket(keys, 8).isin(*touched)).unionByName(late.filter("v = 'new'"))
+    assert rows(stored) == rows(kept)
+
+
+def test_an_insert_moves_each_side_once(spark):
+    a = spark.createDataFrame([], T.StructType([T.StructField("id", T.IntegerType(), False), T.StructField("v", T.StringType())]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = writers.unseen(a.filter("id > 0"), a.filter("id < 9"), ["id"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 def test_verify_sees_duplicate_drift(spark):
     path = scratch_dir(spark)
     df = spark.createDataFrame([(1,), (1,), (None,)], "id int")
@@ -216,6 +273,54 @@ def test_histogram_of_a_constant_and_of_nothing(spark):
     assert stats.histogram(df.limit(0), "x", 4).isEmpty()
 
 
+def test_levels_that_were_not_listed(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "z"), (5, None)], "id int, g string")
+    levels = stats.fit_levels(df.filter("g <> 'z'"), ["g"])
+    own, names = stats.encode_features(df, levels, unlisted="own")
+    assert names == ["g_b", "g_c", "g_other"]
+    assert rows(own.select("id", *names)) == [(1, 0.0, 0.0, 0.0), (2, 1.0, 0.0, 0.0), (3, 0.0, 1.0, 0.0), (4, 0.0, 0.0, 1.0), (5, None, None, None)]
+    null, names = stats.encode_features(df, levels, unlisted="null")
+    assert rows(null.select("id", *names))[3:] == [(4, None, None), (5, None, None)]
+    with pytest.raises(Exception, match="unlisted level of g: z"):
+        stats.encode_features(df, levels)[0].collect()
+    with pytest.raises(ValueError):
+        stats.encode_features(df, levels, unlisted="zero")
+    two, names = stats.encode_features(df.filter("g in ('a', 'b')"), stats.fit_levels(df.filter("g < 'c'"), ["g"]))
+    assert names == ["g_code"] and rows(two.select("id", "g_code")) == [(1, 0.0), (2, 1.0)]
+    cells = stats.sparse_indicators(df, ["id"], "g", levels, unlisted="own")
+    assert rows(cells.select("id", "level_index")) == [(2, 1), (3, 2), (4, -1)]
+    with pytest.raises(Exception, match="unlisted level"):
+        stats.sparse_indicators(df, ["id"], "g", levels).collect()
+
+
+def test_a_period_stands_for_all_its_days(spark):
+    series = spark.createDataFrame([(D(2020, 3, 1),), (D(2021, 12, 1),)], "d date")
+    overlap = stats.overlap_range([(series, "d", "a"), (series, "d", "b")])
+    stats.check_range(overlap, *stats.period_bounds("monthly", (2020, 3), (2021, 12)), "monthly")
+    for first, last in (((2020, 2), (2021, 12)), ((2020, 3), (2022, 1))):
+        with pytest.raises(ValueError):
+            stats.check_range(overlap, *stats.period_bounds("monthly", first, last), "monthly")
+    stats.check_range(overlap, *stats.period_bounds("annual", 2020, 2021), "annual")
+    with pytest.raises(ValueError):
+        stats.check_range(overlap, *stats.period_bounds("monthly", (2020, 3), (2021, 12)))
+
+
+def test_local_times_that_occur_twice_or_never(spark):
+    at = dt.datetime
+    times = [at(2024, 3, 10, 1, 30), at(2024, 3, 10, 2, 30), at(2024, 3, 10, 3, 0), at(2024, 11, 3, 1, 30), at(2024, 11, 3, 2, 0)]
+    df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz")
+
+    def utc(**rules):
+        return [r[0] for r in df.select(dates.from_local(F.col("t"), "America/New_York", **rules)).collect()]
+
+    assert utc() == [at(2024, 3, 10, 6, 30), at(2024, 3, 10, 7, 30), at(2024, 3, 10, 7, 0), at(2024, 11, 3, 5, 30), at(2024, 11, 3, 7, 0)]
+    assert utc(twice="second")[3] == at(2024, 11, 3, 6, 30)
+    assert utc(missing="null")[1] is None
+    half = spark.createDataFrame([(at(2024, 4, 7, 1, 45),), (at(2024, 10, 6, 2, 15),)], "t timestamp_ntz")
+    got = half.select(dates.from_local(F.col("t"), "Australia/Lord_Howe", "second", "null")).collect()
+    assert [r[0] for r in got] == [at(2024, 4, 6, 15, 15), None]
+
+
 def test_overlap_may_be_empty(spark):
     a = spark.createDataFrame([(D(2024, 1, 1),)], "d date")
     b = spark.createDataFrame([(D(2024, 2, 1),)], "d date")
@@ -325,6 +430,40 @@ def test_streams_restart_and_drop_late_rows(spark):
     assert rows(jobs.latest_counts(spark, out, "kind")) == [(D(2024, 1, 1), "x", 1), (D(2024, 1, 2), "x", 2), (D(2024, 1, 9), "x", 1)]
 
 
+def test_counts_are_read_from_the_snapshot_and_the_tail(spark):
+    out, day = scratch_dir(spark), D(2024, 1, 1)
+
+    def batch(n):
+        jobs.write_counts(spark.createDataFrame([(day + dt.timedelta(n // 10), "x", n), (day, "all", n)], "day date, kind string, n long"), out, n)
+
+    for n in range(50):
+        batch(n)
+        if n in (20, 40):
+            jobs.compact_counts(spark, out, "kind", n - 1)
+    want = [(day, "all", 49)] + [(day + dt.timedelta(i), "x", 10 * i + 9) for i in range(5)]
+    assert rows(jobs.latest_counts(spark, out, "kind")) == sorted(want)
+    batch(10)  # a replay of a batch that is in a snapshot
+    for n in range(40):  # batches that are in a snapshot are read no more
+        for f in Path(f"{out}/batch={n}").glob("*.parquet"):
+            f.write_bytes(b"no parquet")
+    (Path(out) / "snapshots" / "upto=48").mkdir()  # unfinished
+    assert rows(jobs.latest_counts(spark, out, "kind")) == sorted(want)
+    batch(49)
+    assert rows(jobs.latest_counts(spark, out, "kind")) == sorted(want)
+
+
+def test_stream_snapshots_keep_results(spark):
+    landing, out, mark = (scratch_dir(spark) for _ in range(3))
+    schema = "id bigint, ts timestamp, kind string"
+    for i in range(5):
+        spark.createDataFrame([(i, dt.datetime(2024, 1, 1 + i // 2, 5), "x")], schema).coalesce(1).write.mode("append").parquet(landing)
+        stream = jobs.file_stream(spark, landing, spark.createDataFrame([], schema).schema)
+        jobs.daily_counts_stream(stream, out, mark, "ts", "kind", "3 days", compact_every=2).awaitTermination()
+    made = {p.name for p in (Path(out) / "snapshots").iterdir()}
+    assert {"upto=1", "upto=3"} <= made and all(int(n.split("=")[1]) % 2 for n in made)
+    assert rows(jobs.latest_counts(spark, out, "kind")) == [(D(2024, 1, 1), "x", 2), (D(2024, 1, 2), "x", 2), (D(2024, 1, 3), "x", 1)]
+
+
 def test_stream_insert_is_idempotent(spark):
     landing, out = scratch_dir(spark), scratch_dir(spark)
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id int, v string")

@@ -37,6 +37,30 @@ def to_local(ts: Column, zone: str) -> Column:
     return F.from_utc_timestamp(ts.cast("timestamp"), zone).cast("timestamp_ntz")
 
 
+def from_local(ts: Column, zone: str, twice: str = "first", missing: str = "forward") -> Column:
+    """Wall-clock time in ``zone`` as a UTC timestamp.
+
+    A local time that occurs twice (clocks go back) is its ``first`` or its
+    ``second`` occurrence. One that never occurs (clocks go forward) moves
+    ``forward`` by the hour that was skipped, or is ``null``.
+    """
+    if twice not in ("first", "second") or missing not in ("forward", "null"):
+        raise ValueError("twice must be 'first' or 'second', missing 'forward' or 'null'")
+    local = F.unix_micros(ts.cast("timestamp"))
+    day = 86_400_000_000
+
+    def shown(utc: Column) -> Column:
+        return F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(utc), zone))
+
+    # the offset in force a day before and a day after
+    before, after = (local - (shown(local + d) - (local + d)) for d in (-day, day))
+    first, second = F.least(before, after), F.greatest(before, after)
+    choice, other = (first, second) if twice == "first" else (second, first)
+    gap = before if missing == "forward" else F.lit(None).cast("long")
+    found = F.when(shown(choice) == local, choice).when(shown(other) == local, other).otherwise(gap)
+    return F.timestamp_micros(found).cast("timestamp_ntz")
+
+
 def elapsed_seconds(start: Column, end: Column) -> Column:
     return F.unix_timestamp(end.cast("timestamp")) - F.unix_timestamp(start.cast("timestamp"))
 

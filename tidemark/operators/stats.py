@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import as_date
 from tidemark.operators.numbering import number_rows
+from tidemark.session import settle
+
+#: Levels that may become columns of a frame.
+WIDE_LEVELS = 1000
 
 
 def align_series(series: list[tuple[DataFrame, str, str, str]]) -> DataFrame:
@@ -54,16 +58,25 @@ def filter_range(df: DataFrame, date_col: str, start: dt.date | None, end: dt.da
     return df.filter(day <= as_date(end)) if end else df
 
 
-def check_range(overlap: DataFrame, start: dt.date | None, end: dt.date | None) -> None:
-    """Refuse a range that is not inside the shared one of ``overlap_range``."""
+def check_range(overlap: DataFrame, start: dt.date | None, end: dt.date | None, frequency: str | None = None) -> None:
+    """Refuse a range that is not inside the shared one of ``overlap_range``.
+
+    A value of a ``monthly`` or ``annual`` series stands for its whole month or
+    year, so the shared range then runs from the first day of its first period
+    to the last day of its last one."""
     shared = overlap.filter("series = 'overlap'").first()
     if shared is None or shared["start_date"] is None:
         raise ValueError("the series share no dates")
     if start and end and start > end:
         raise ValueError("start date is after end date")
+    lo, hi = shared["start_date"], shared["end_date"]
+    if frequency == "monthly":
+        lo, hi = period_bounds(frequency, (lo.year, lo.month), (hi.year, hi.month))
+    elif frequency:
+        lo, hi = period_bounds(frequency, lo.year, hi.year)
     for name, day in (("start", start), ("end", end)):
-        if day and not shared["start_date"] <= day <= shared["end_date"]:
-            raise ValueError(f"{name} date {day} is outside {shared['start_date']} to {shared['end_date']}")
+        if day and not lo <= day <= hi:
+            raise ValueError(f"{name} date {day} is outside {lo} to {hi}")
 
 
 def period_bounds(frequency: str, first: tuple[int, int] | int, last: tuple[int, int] | int) -> tuple[dt.date, dt.date]:
@@ -84,28 +97,77 @@ def level_index(df: DataFrame, column: str) -> DataFrame:
     return number_rows(levels, [F.col("level")], "_n").select("level", (F.col("_n") - 1).alias("level_index"))
 
 
-def sparse_indicators(df: DataFrame, keys: list[str], column: str) -> DataFrame:
+def fit_levels(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The level table of an encoding, (feature, level, level_index): store it
+    with the model and encode later rows by it."""
+    tables = [level_index(df, c).select(F.lit(c).alias("feature"), "level", "level_index") for c in columns]
+    return settle(reduce(DataFrame.unionByName, tables), "levels")
+
+
+def _check_rule(unlisted: str) -> None:
+    if unlisted not in ("error", "own", "null"):
+        raise ValueError("unlisted must be 'error', 'own' or 'null'")
+
+
+def _refuse(column: str, level: Column) -> Column:
+    return F.raise_error(F.concat(F.lit(f"unlisted level of {column}: "), level))
+
+
+def sparse_indicators(
+    df: DataFrame, keys: list[str], column: str, levels: DataFrame | None = None, unlisted: str = "error"
+) -> DataFrame:
     """One-hot encoding of a column with any number of levels, as the non-zero
-    cells (keys..., level_index, value); the first level has none."""
-    levels = level_index(df, column)
-    rows = df.select(*keys, F.col(column).cast("string").alias("level"))
-    return rows.join(levels, "level").filter("level_index > 0").select(*keys, "level_index", F.lit(1.0).alias("value"))
+    cells (keys..., level_index, value); the first level has none.
+
+    ``levels`` is a fitted level table (by default that of the rows themselves).
+    A level it does not list is an ``error``, gets its ``own`` column (index -1)
+    or, with ``null``, no cell, as a NULL has none."""
+    _check_rule(unlisted)
+    known = level_index(df, column) if levels is None else levels.filter(F.col("feature") == column).select("level", "level_index")
+    rows = df.select(*keys, F.col(column).cast("string").alias("level")).filter("level is not null").join(known, "level", "left")
+    other = {"error": _refuse(column, F.col("level")).cast("long"), "own": F.lit(-1).cast("long"), "null": F.lit(None).cast("long")}
+    found = rows.withColumn("level_index", F.coalesce("level_index", other[unlisted]))
+    return found.filter("level_index <> 0").select(*keys, "level_index", F.lit(1.0).alias("value"))
 
 
 def encode_features(
-    df: DataFrame, categorical: dict[str, list[str]], always_one_hot: bool = False
+    df: DataFrame, levels: DataFrame | dict[str, list[str]], always_one_hot: bool = False, unlisted: str = "error"
 ) -> tuple[DataFrame, list[str]]:
-    """Categories to numbers by the sorted levels the caller lists: two give one
-    0/1 column, more (or all, with ``always_one_hot``) one column per level
-    but the first. Returns the frame and the new feature names."""
+    """Categories to numbers by their levels: two give one 0/1 column, more (or
+    all, with ``always_one_hot``) one column per level but the first. Returns the
+    frame and the new feature names.
+
+    ``levels`` is a fitted level table or lists of levels by column. A level that
+    is not among them is an ``error`` when it is met, sets an ``own`` column
+    (``<column>_other``) with zeros in the others, or makes them all ``null``, as
+    a NULL does. One column per level has its limit at ``WIDE_LEVELS``; use
+    ``sparse_indicators`` beyond.
+    """
+    _check_rule(unlisted)
+    if isinstance(levels, DataFrame):
+        listed = levels.orderBy("feature", "level_index").limit(WIDE_LEVELS + 1).collect()
+        if len(listed) > WIDE_LEVELS:
+            raise ValueError(f"over {WIDE_LEVELS} levels; encode them with sparse_indicators")
+        levels = {}
+        for r in listed:
+            levels.setdefault(r["feature"], []).append(r["level"])
     new: dict[str, Column] = {}
-    for c, levels in categorical.items():
+    for c, names in levels.items():
         text = F.col(c).cast("string")
-        if len(levels) == 2 and not always_one_hot:
-            new[f"{c}_code"] = F.when(text == levels[0], 0.0).when(text == levels[1], 1.0)
+        known = text.isin(names)
+        if len(names) == 2 and not always_one_hot:
+            values = {f"{c}_code": (text == names[1]).cast("double")}
         else:
-            for level in levels[1:]:
-                new[f"{c}_{level}"] = F.when(text.isNotNull(), (text == level).cast("double"))
+            values = {f"{c}_{level}": (text == level).cast("double") for level in names[1:]}
+        if unlisted == "own":
+            values[f"{c}_other"] = (~known).cast("double")
+        for name, value in values.items():
+            if unlisted == "error":
+                new[name] = F.when(known, value).when(text.isNotNull(), _refuse(c, text).cast("double"))
+            elif unlisted == "null":
+                new[name] = F.when(known, value)
+            else:
+                new[name] = value
     return df.withColumns(new) if new else df, list(new)
 
 

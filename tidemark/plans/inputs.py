@@ -188,17 +188,6 @@ def with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.unionByName(lines.filter("l_linenumber = 7"))
 
 
-def closing_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last staging report of each month. Running counts never fall
-    within a year, so the closing value is the largest of the month."""
-    return (
-        staging(spark, sf_dir)
-        .groupBy("model_nm", F.trunc("sales_through_dt", "month").alias("month_start"))
-        .agg(*[F.max(m).alias(m) for m in MONTHS], F.max("rpt_dt").alias("rpt_dt"))
-        .drop("month_start")
-    )
-
-
 def objectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly objective counts per supplier, as text fields. Source 99 has
     no valid month, so its dates do not parse."""
@@ -222,9 +211,11 @@ def objectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_by_name(df: DataFrame, path: str, fmt: str = "text", **options: str) -> str:
+def write_by_name(df: DataFrame, path: str, fmt: str = "text", splits: int = 1, **options: str) -> str:
     """Write rows to one folder per value of column ``f`` and return a glob
-    over those folders. Rebalancing gathers the rows of a folder but lets AQE
-    split one that is too large for a task."""
-    df.hint("rebalance", "f").write.partitionBy("f").options(**options).format(fmt).save(path)
+    over those folders. All tasks write, each its own folders; with ``splits`` a
+    folder has so many files, for folders too large for a task."""
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    split = F.pmod(F.xxhash64(*df.columns), F.lit(splits))
+    df.repartition(tasks, "f", split).write.partitionBy("f").options(**options).format(fmt).save(path)
     return f"{path}/f=*"

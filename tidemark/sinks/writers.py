@@ -3,8 +3,10 @@ back go through the declared schema."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,33 +76,71 @@ def append_if_absent(df: DataFrame, path: str, key: str) -> bool:
 
 
 def unseen(staging: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    """Staging rows whose key the target lacks, one row per key."""
-    stored = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
-    fresh = staging.join(stored, same_keys(keys, "_t_"), "left_anti")
+    """Staging rows whose key the target lacks, one row per key.
+
+    The staging shrinks to one row per key first. Keys without a NULL are then
+    compared by plain equality, which reuses that partitioning, so each side
+    moves once; keys with a NULL, if the schema allows any, go a null-safe way
+    of their own that reads only such rows.
+    """
     order = next((c for c in staging.columns if c not in keys), keys[0])
-    return dedupe(fresh, keys, order, keep="first")
+    once = dedupe(staging, keys, order, keep="first")
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    fresh = once.filter(whole).join(target.filter(whole).select(*keys), keys, "left_anti").select(*staging.columns)
+    if not any(staging.schema[k].nullable for k in keys):
+        return fresh
+    stored = target.filter(~whole).select(*[F.col(k).alias(f"_t_{k}") for k in keys])
+    return fresh.unionByName(once.filter(~whole).join(stored, same_keys(keys, "_t_"), "left_anti"))
+
+
+def bucket_column(buckets: int) -> str:
+    return f"bucket_of_{buckets}"
 
 
-def append_new(staging: DataFrame, path: str, keys: list[str], within: str | None = None) -> None:
+def key_bucket(keys: list[str], buckets: int) -> Column:
+    """The folder a key belongs to, of ``buckets``."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def append_new(staging: DataFrame, path: str, keys: list[str], within: str | None = None, buckets: int | None = None) -> None:
     """Insert only unseen keys. A second run with the same rows adds nothing.
 
-    ``within`` names a column, such as an event time, that repeats of a key
-    share: the target is then read only between its lowest and highest staged
-    value, which skips the row groups and partitions outside.
+    Two ways limit what is read of the target. ``within`` names a column, such as
+    an event time, that repeats of a key share: rows outside the lowest and
+    highest staged value are skipped by row group. ``buckets`` lays the target out
+    in that many folders by key hash; only folders of staged keys are opened. A
+    target keeps its number of buckets.
     """
-    target = existing(staging.sparkSession, path, staging.schema)
+    spark = staging.sparkSession
+    schema = staging.schema
+    if buckets:
+        column = bucket_column(buckets)
+        staged = staging.agg(F.collect_set(key_bucket(keys, buckets))).first()[0]  # at most ``buckets`` numbers
+        layout = T.StructType([*schema.fields, T.StructField(column, T.IntegerType())])
+        target = existing(spark, path, layout).filter(F.col(column).isin(staged)).select(*schema.names)
+    else:
+        target = existing(spark, path, schema)
     if within:
         lo, hi = (staging.agg(f(within)).scalar() for f in (F.min, F.max))
         target = target.filter(F.col(within).between(lo, hi) | F.col(within).isNull())
-    unseen(staging, target, keys).write.mode("append").parquet(path)
-
-
-def stage_then_load(df: DataFrame, stage_path: str, target_path: str, keys: list[str]) -> DataFrame:
-    """Overwrite the stage, insert its unseen rows, return the target."""
+    fresh = unseen(staging, target, keys)
+    if buckets:
+        # the new rows of a folder are gathered; a large folder may be split
+        fresh = fresh.withColumn(column, key_bucket(keys, buckets)).hint("rebalance", column)
+        fresh.write.mode("append").partitionBy(column).parquet(path)
+    else:
+        fresh.write.mode("append").parquet(path)
+
+
+def stage_then_load(
+    df: DataFrame, stage_path: str, target_path: str, keys: list[str], within: str | None = None, buckets: int | None = None
+) -> DataFrame:
+    """Overwrite the stage, insert its unseen rows, return the target.
+    ``within`` and ``buckets`` as in ``append_new``."""
     df.write.mode("overwrite").parquet(stage_path)
     staged = df.sparkSession.read.schema(df.schema).parquet(stage_path)
-    append_new(staged, target_path, keys)
-    return existing(df.sparkSession, target_path, df.schema)
+    append_new(staged, target_path, keys, within, buckets)
+    return existing(df.sparkSession, target_path, df.schema).select(*df.columns)
 
 
 def verify_written(df: DataFrame, path: str) -> DataFrame:

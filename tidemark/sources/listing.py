@@ -12,6 +12,7 @@ from tidemark.functions.dates import parse_date
 from tidemark.sources.readers import dated_name
 
 ISO_DAY = r"(\d{4}-\d{2}-\d{2})"
+LISTING = "path string, length long, modified timestamp, name string, file_dt date, file_month string"
 
 
 def list_files(spark: SparkSession, folder: str, name_pattern: str = r"([^/]+)$") -> DataFrame:
@@ -51,3 +52,23 @@ def match_pattern(files: DataFrame, as_of: dt.date, template: str) -> DataFrame:
     is any text."""
     parts = [re.escape(p) for p in dated_name(template, as_of).split("*")]
     return files.filter(F.col("name").rlike(rf"\A{'.*'.join(parts)}\z"))
+
+
+def store_listing(files: DataFrame, path: str, date_pattern: str = r"(\d{8})", fmt: str = "yyyyMMdd") -> None:
+    """Add a listing to the listing table at ``path``, partitioned by the year
+    and month of the date in each name (NULL without one)."""
+    day = parse_date(F.regexp_extract("name", date_pattern, 1), fmt)
+    dated = files.withColumn("file_dt", day).withColumn("file_month", F.date_format("file_dt", "yyyy-MM"))
+    dated.hint("rebalance", "file_month").write.mode("append").partitionBy("file_month").parquet(path)
+
+
+def stored_listing(
+    spark: SparkSession, path: str, first: dt.date | None = None, last: dt.date | None = None
+) -> DataFrame:
+    """Listed files dated ``first`` to ``last``; only the months between are
+    read."""
+    listed = spark.read.schema(LISTING).parquet(path)
+    for day, month, bound in ((first, "file_month >= '{}'", "file_dt >= '{}'"), (last, "file_month <= '{}'", "file_dt <= '{}'")):
+        if day:
+            listed = listed.filter(month.format(day.strftime("%Y-%m"))).filter(bound.format(day))
+    return listed.drop("file_month")

@@ -11,11 +11,16 @@ from pyspark.sql import types as T
 from tidemark.contracts import CsvSpec, Layout
 from tidemark.functions.dates import parse_date
 from tidemark.functions.text import DELIMITERS, whole_number
+from tidemark.session import settle
 
 # Python date directives used in name templates, as regular
 # expressions and as Spark date patterns.
 DAY_FORMATS = {"yyyyMMdd": "%Y%m%d", "MMddyyyy": "%m%d%Y", "yyyy-MM-dd": "%Y-%m-%d"}
 
+#: Header rows that may be sent to every task (about 150 bytes each).
+HEADER_FILES = 100_000
+FILE_SPLITS = 32
+
 
 def text_schema(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -99,10 +104,21 @@ def header_dates(lines: DataFrame, prefix: str = "HDR") -> DataFrame:
     )
 
 
-def header_dated_lines(lines: DataFrame, prefix: str = "HDR") -> DataFrame:
-    """Data lines with the date from the header of their file."""
+def header_dated_lines(lines: DataFrame, prefix: str = "HDR", most: int = HEADER_FILES) -> DataFrame:
+    """Data lines with the date from the header of their file.
+
+    The headers, one row per file, are stored and counted. Up to ``most`` of them
+    are sent to the data lines, which then stay where they were read. Beyond
+    that the lines are shuffled by file and split of it, so that a large file is
+    many keys.
+    """
+    heads = settle(header_dates(lines, prefix), "headers")
     body = lines.filter(~F.col("value").startswith(prefix))
-    return body.join(header_dates(lines, prefix), "file_path", "left")
+    if heads.count() <= most:
+        return body.join(F.broadcast(heads), "file_path", "left")
+    splits = F.explode(F.sequence(F.lit(0), F.lit(FILE_SPLITS - 1)))
+    salted = body.withColumn("_split", F.pmod(F.spark_partition_id(), F.lit(FILE_SPLITS)))
+    return salted.join(heads.withColumn("_split", splits), ["file_path", "_split"], "left").drop("_split")
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:

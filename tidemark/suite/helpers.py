@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import elapsed_seconds, is_monday, month_abbr, parse_date, previous_report, to_local
+from tidemark.functions.dates import elapsed_seconds, from_local, is_monday, month_abbr, parse_date, previous_report, to_local
 from tidemark.functions.text import first_word
 from tidemark.operators import shape
 from tidemark.plans import inputs
@@ -141,3 +141,41 @@ def tz_convert(spark, sf_dir):
         to_local(ts, "America/Chicago").alias("chicago"),
         to_local(ts, "-05:00").alias("est"),
     )
+
+
+# From 1987 to 2006 clocks in the United States went forward on
+# the first Sunday of April and back on the last Sunday of October, at 2 a.m.
+_CLOCKS = """t as (select o_orderkey, cast(cast(o_orderdate as date) as timestamp) + to_hours(cast(o_orderkey % 4 as bigint))
+      + to_minutes(cast(30 * (o_custkey % 2) as bigint)) as happened from orders),
+  c as (select *, make_date(cast(year(happened) as bigint), 4, 1) as april, make_date(cast(year(happened) as bigint), 10, 31) as october from t),
+  s as (select *, cast(april + cast((7 - dayofweek(april)) % 7 as int) as timestamp) + interval 2 hour as spring,
+      cast(october - cast(dayofweek(october) as int) as timestamp) + interval 2 hour as autumn from c)"""
+
+
+@query(
+    "tz_clock_changes",
+    f"""with {_CLOCKS} select o_orderkey, happened,
+      happened - to_hours(case when happened >= spring + interval 6 hour and happened < autumn + interval 5 hour then 5 else 6 end) as chicago,
+      happened - to_hours(7) as phoenix,
+      happened + to_hours(case when happened >= spring + interval 1 hour and happened < autumn then 5 else 6 end) as utc_first,
+      happened + to_hours(case when happened >= spring + interval 1 hour and happened < autumn - interval 1 hour then 5 else 6 end) as utc_second,
+      case when happened < spring or happened >= spring + interval 1 hour
+        then happened + to_hours(case when happened >= spring and happened < autumn then 5 else 6 end) end as utc_or_null
+    from s""",
+)
+def tz_clock_changes(spark, sf_dir):
+    """Order times of whole years, read as UTC and as Chicago time: both clock
+    changes, with hours that occur twice or never."""
+    hours = F.col("o_orderkey") % 4 * 60 + F.col("o_custkey") % 2 * 30
+    at = F.timestamp_seconds(F.unix_timestamp(F.col("o_orderdate").cast("date").cast("timestamp")) + hours * 60)
+    rows = inputs.table(spark, sf_dir, "orders").select("o_orderkey", at.alias("ts"))
+    ts = F.col("ts")
+    return rows.select(
+        "o_orderkey",
+        ts.cast("timestamp_ntz").alias("happened"),
+        to_local(ts, "America/Chicago").alias("chicago"),
+        to_local(ts, "America/Phoenix").alias("phoenix"),
+        from_local(ts, "America/Chicago").alias("utc_first"),
+        from_local(ts, "America/Chicago", twice="second").alias("utc_second"),
+        from_local(ts, "America/Chicago", missing="null").alias("utc_or_null"),
+    )

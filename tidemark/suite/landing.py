@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contracts import OBJECTIVE_LAYOUTS, TableContract, layout_from_ranges
@@ -20,20 +22,17 @@ from tidemark.sinks.writers import (
     verify_written,
 )
 from tidemark.sources.dimensions import dimension_from_nested, store_dimension
-from tidemark.sources.listing import latest_by_name_date, list_files, match_pattern, valid_files
+from tidemark.sources.listing import latest_by_name_date, list_files, match_pattern, store_listing, stored_listing, valid_files
 from tidemark.sources.readers import header_dated_lines, load, read_fixed_width, read_lines, text_schema
 from tidemark.suite.base import OOS, STG, query
 
 CUT = dt.date(1999, 1, 1)
 LAST_FOLDER = r"/f=([^/]+)/[^/]+$"
 
-_CLOSING = f"""closing as (
-  select model_nm, {', '.join(f'max("{m}") as "{m}"' for m in MONTHS)}, max(rpt_dt) as rpt_dt
-  from stg group by model_nm, date_trunc('month', sales_through_dt))"""
-
 
 def _wide_month_files(spark, sf_dir) -> str:
-    rows = inputs.closing_reports(spark, sf_dir).select(
+    """One file per report day, with a line per model."""
+    rows = inputs.staging(spark, sf_dir).select(
         F.concat(F.lit("MODEL_NET_"), F.date_format("rpt_dt", "yyyyMMdd"), F.lit(".txt")).alias("f"),
         F.concat_ws("~", "model_nm", *MONTHS).alias("value"),
     )
@@ -42,7 +41,7 @@ def _wide_month_files(spark, sf_dir) -> str:
 
 @query(
     "stage_wide_month",
-    f"with {STG}, {_CLOSING} select *, rpt_dt - 1 as sales_through_dt from closing",
+    f"""with {STG} select model_nm, {', '.join(f'"{m}"' for m in MONTHS)}, rpt_dt, sales_through_dt from stg""",
 )
 def stage_wide_month(spark, sf_dir):
     return landing.stage_wide_month(spark, _wide_month_files(spark, sf_dir))
@@ -200,19 +199,29 @@ def load_formats(spark, sf_dir):
     return out
 
 
+_NAME = "'MODEL_NET_' || strftime(rpt_dt, '%Y%m%d') || '.txt'"
+
+
 @query(
     "valid_files",
-    f"""with {STG}, {_CLOSING} select distinct 'MODEL_NET_' || strftime(rpt_dt, '%Y%m%d') || '.txt' as name,
-      'regex' as how from closing where year(rpt_dt) = 2000
-    union all
-    select distinct 'MODEL_NET_' || strftime(rpt_dt, '%Y%m%d') || '.txt', 'as_of' from closing where rpt_dt = date '2000-03-01'""",
+    f"""with {STG}, days as (select distinct rpt_dt from stg)
+    select {_NAME} as name, 'regex' as how from days where year(rpt_dt) = 2000
+    union all select {_NAME}, 'as_of' from days where rpt_dt = date '2000-03-01'
+    union all select {_NAME}, 'listed' from days where rpt_dt between date '1999-12-20' and date '2000-02-10'""",
 )
 def files_by_name(spark, sf_dir):
+    """Daily files by pattern, by date, and from the stored listing."""
     folder = _wide_month_files(spark, sf_dir).rsplit("/", 1)[0]
-    files = valid_files(list_files(spark, folder, LAST_FOLDER), r"MODEL_NET_\d{8}\.txt")
-    by_regex = valid_files(files, r"MODEL_NET_2000\d{4}").select("name").distinct()
-    by_date = match_pattern(files, dt.date(2000, 3, 1), "MODEL_NET_{yyyyMMdd}*").select("name").distinct()
-    return by_regex.withColumn("how", F.lit("regex")).unionByName(by_date.withColumn("how", F.lit("as_of")))
+    listing = scratch_dir(spark, "listing")
+    store_listing(valid_files(list_files(spark, folder, LAST_FOLDER), r"MODEL_NET_\d{8}\.txt"), listing)
+    files = stored_listing(spark, listing)
+    span = stored_listing(spark, listing, dt.date(1999, 12, 20), dt.date(2000, 2, 10))
+    found = {
+        "regex": valid_files(files, r"MODEL_NET_2000\d{4}"),
+        "as_of": match_pattern(files, dt.date(2000, 3, 1), "MODEL_NET_{yyyyMMdd}*"),
+        "listed": span,
+    }
+    return reduce(DataFrame.unionByName, [f.select("name").distinct().withColumn("how", F.lit(how)) for how, f in found.items()])
 
 
 def _export_files(spark, sf_dir) -> str:
@@ -273,9 +282,30 @@ def incremental_insert(spark, sf_dir):
     """Old orders first, then all orders twice: each key is stored once."""
     orders = inputs.table(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
     stage, target = scratch_dir(spark, "stage"), scratch_dir(spark, "target")
-    stage_then_load(orders.filter(F.col("o_orderdate") < F.lit(CUT)), stage, target, ["o_orderkey"])
-    stage_then_load(orders, stage, target, ["o_orderkey"])
-    return stage_then_load(orders, stage, target, ["o_orderkey"])
+    stage_then_load(orders.filter(F.col("o_orderdate") < F.lit(CUT)), stage, target, ["o_orderkey"], within="o_orderdate")
+    stage_then_load(orders, stage, target, ["o_orderkey"], within="o_orderdate")
+    return stage_then_load(orders, stage, target, ["o_orderkey"], within="o_orderdate")
+
+
+@query(
+    "bucketed_insert",
+    """select o_orderkey, case when o_orderstatus = 'F' then cast(o_orderdate as date) end as closed_on, o_custkey, o_totalprice
+    from orders where o_orderstatus <> 'P'
+    union all select distinct -1, null, o_custkey, 0.0 from orders where o_orderstatus = 'P'""",
+)
+def bucketed_insert(spark, sf_dir):
+    """A target in folders by key hash; the key is an order and the day it was
+    closed, which is NULL for open ones. Every load overlaps the one before."""
+    orders = inputs.table(spark, sf_dir, "orders")
+    closed = F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate").cast("date"))
+    rows = orders.select("o_orderkey", closed.alias("closed_on"), "o_custkey", "o_totalprice", "o_orderstatus", F.col("o_orderdate").cast("date").alias("day"))
+    partial = F.col("o_orderstatus") == "P"
+    rows = rows.withColumns({"o_orderkey": F.when(partial, -1).otherwise(F.col("o_orderkey")), "o_totalprice": F.when(partial, 0.0).otherwise(F.col("o_totalprice"))})
+    stage, target = scratch_dir(spark, "stage"), scratch_dir(spark, "target")
+    keys = ["o_orderkey", "closed_on", "o_custkey"]
+    for days in (F.col("day") < F.lit(CUT), F.col("day") >= F.lit(CUT - dt.timedelta(days=400)), F.lit(True)):
+        out = stage_then_load(rows.filter(days).select(*keys, "o_totalprice"), stage, target, keys, buckets=16)
+    return out
 
 
 _LINE_COLS = (

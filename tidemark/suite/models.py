@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import stats
 from tidemark.operators.models import ModelSpec, fit
 from tidemark.plans import inputs
+from tidemark.session import settle
 from tidemark.suite.base import query
 
 
@@ -80,13 +81,39 @@ def series_range(spark, sf_dir):
       cast(l_linestatus = 'O' as double) as l_linestatus_O from lineitem""",
 )
 def encode_features(spark, sf_dir):
+    """Levels fitted on the lines, stored, and read for both encodings."""
     lines = _lines(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
-    levels = {"l_linestatus": ["F", "O"], "l_returnflag": ["A", "N", "R"]}
+    levels = stats.fit_levels(lines, ["l_linestatus", "l_returnflag"])
     coded, names = stats.encode_features(lines, levels)
-    hot, hot_names = stats.encode_features(coded, {"l_linestatus": levels["l_linestatus"]}, always_one_hot=True)
+    hot, hot_names = stats.encode_features(coded, levels.filter("feature = 'l_linestatus'"), always_one_hot=True)
     return hot.select("l_orderkey", "l_linenumber", *names, *hot_names)
 
 
+_SEGMENTS = ["FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+@query(
+    "encode_unlisted",
+    "select c_custkey, "
+    + ", ".join(f"cast(c_mktsegment = '{x}' as double) as own_{x}" for x in _SEGMENTS)
+    + ", cast(c_mktsegment = 'BUILDING' as double) as own_other, "
+    + ", ".join(f"case when c_mktsegment <> 'BUILDING' then cast(c_mktsegment = '{x}' as double) end as null_{x}" for x in _SEGMENTS)
+    + ", case c_mktsegment when 'BUILDING' then -1 when 'FURNITURE' then 1 when 'HOUSEHOLD' then 2 when 'MACHINERY' then 3 end as sparse_index from customer",
+)
+def encode_unlisted(spark, sf_dir):
+    """Levels learned without one segment, met later: as a column of its own, as
+    NULL, and as a sparse cell."""
+    rows = inputs.table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    levels = stats.fit_levels(rows.filter("c_mktsegment <> 'BUILDING'"), ["c_mktsegment"])
+    own, names = stats.encode_features(rows, levels, unlisted="own")
+    own = own.select("c_custkey", "c_mktsegment", *[F.col(n).alias(n.replace("c_mktsegment", "own")) for n in names])
+    both, names = stats.encode_features(own, levels, unlisted="null")
+    both = both.select(*own.columns, *[F.col(n).alias(n.replace("c_mktsegment", "null")) for n in names]).drop("c_mktsegment")
+    cells = stats.sparse_indicators(rows, ["c_custkey"], "c_mktsegment", levels, unlisted="own")
+    sparse = cells.select("c_custkey", F.col("level_index").cast("int").alias("sparse_index"))
+    return both.join(sparse, "c_custkey", "left")
+
+
 @query(
     "regression_metrics",
     """select count(*) as n, round(avg(power(l_extendedprice - l_quantity * 1400, 2)) / 1e6, 6) as mse_millions,
@@ -171,18 +198,30 @@ def _sig(expr: str, digits: int = 6) -> str:
     return f"round(({expr}) * power(10.0, {digits - 1} - floor(log10(abs({expr})))))"
 
 
+_PANELS = 4000
+
+
 @query(
     "ols_fit",
     f"""with {_OLS}, c as (
       select 'l_quantity' as feature, b1 as value, sqrt(sigma2 * s22 / (n * det)) as std_err from f
       union all select 'l_discount', b2, sqrt(sigma2 * s11 / (n * det)) from f
       union all select 'intercept', b0, sqrt(sigma2 * (1.0 / n + (m1 * m1 * s22 - 2 * m1 * m2 * s12 + m2 * m2 * s11) / (n * det))) from f)
-    select feature, {_sig('value')} as value, {_sig('std_err')} as std_err, {_sig('value / std_err', 5)} as t_value from c""",
+    , t as (select feature, value, std_err, value / std_err as t, (select n - 3.0 from f) as df from c),
+    grid as (select unnest(range(0, {_PANELS} + 1)) as i),
+    area as (select feature, least(abs(t), 40) / {_PANELS} / 3 * sum((case when i in (0, {_PANELS}) then 1 when i % 2 = 1 then 4 else 2 end)
+      * power(1 + power(least(abs(t), 40) / {_PANELS} * i, 2) / df, -(df + 1) / 2)) * exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(df * pi()) as inside
+      from t cross join grid group by feature, t, df)
+    select t.feature, {_sig('value')} as value, {_sig('std_err')} as std_err, {_sig('t', 5)} as t_value, abs(round(1 - 2 * inside, 6)) as p_value
+    from t join area on area.feature = t.feature""",
 )
 def ols_fit(spark, sf_dir):
-    """Least-squares coefficients to six significant digits (scaled to whole numbers)."""
+    """Least-squares coefficients to six significant digits (scaled to whole
+    numbers). The check integrates the t density by Simpson's rule."""
     result = fit(_lines(spark, sf_dir), _price_spec())
-    return result.coefficients.select("feature", _significant("value"), _significant("std_err"), _significant("t_value", 5))
+    return result.coefficients.select(
+        "feature", _significant("value"), _significant("std_err"), _significant("t_value", 5), F.abs(F.round("p_value", 6)).alias("p_value")
+    )
 
 
 @query(
@@ -216,23 +255,34 @@ def encode_many_levels(spark, sf_dir):
     "range_guard",
     f"""with {_MONTHLY}, r as (select min(obs_date) as a, max(obs_date) as b from o union all select min(obs_date), max(obs_date) from s
       union all select min(obs_date), max(obs_date) from p), v as (select max(a) as lo, min(b) as hi from r)
-    select '1993 to 1996' as choice, (date '1993-01-01' between lo and hi) and (date '1996-12-31' between lo and hi) as allowed from v
-    union all select '1980 to 1996', (date '1980-01-01' between lo and hi) and (date '1996-12-31' between lo and hi) from v
-    union all select '1994-02 to 1995-01', (date '1994-02-01' between lo and hi) and (date '1995-01-31' between lo and hi) from v
-    union all select '1994-02 to 2150-01', (date '1994-02-01' between lo and hi) and (date '2150-01-31' between lo and hi) from v""",
+    select '1993 to 1996' as choice, year(lo) <= 1993 and year(hi) >= 1996 as allowed from v
+    union all select '1980 to 1996', year(lo) <= 1980 and year(hi) >= 1996 from v
+    union all select '1994-02 to 1995-01', lo <= date '1994-02-01' and hi >= date '1995-01-01' from v
+    union all select '1994-02 to 2150-01', lo <= date '1994-02-01' and hi >= date '2150-01-01' from v
+    union all select 'all months', true from v union all select 'one month more', false from v
+    union all select 'one month before', false from v union all select 'all years', true from v""",
 )
 def range_guard(spark, sf_dir):
-    overlap = series_overlap(spark, sf_dir)
+    """Choices of months and years, the first and last that the series share and
+    the ones next to them included."""
+    overlap = settle(series_overlap(spark, sf_dir), "overlap")
+    shared = overlap.filter("series = 'overlap'").first()
+    first, last = ((shared[c].year, shared[c].month) for c in ("start_date", "end_date"))
+    before, after = ((y + (m + d) // 12, (m + d) % 12 + 1) for (y, m), d in ((first, -2), (last, 0)))
     choices = {
-        "1993 to 1996": stats.period_bounds("annual", 1993, 1996),
-        "1980 to 1996": stats.period_bounds("annual", 1980, 1996),
-        "1994-02 to 1995-01": stats.period_bounds("monthly", (1994, 2), (1995, 1)),
-        "1994-02 to 2150-01": stats.period_bounds("monthly", (1994, 2), (2150, 1)),
+        "1993 to 1996": ("annual", 1993, 1996),
+        "1980 to 1996": ("annual", 1980, 1996),
+        "1994-02 to 1995-01": ("monthly", (1994, 2), (1995, 1)),
+        "1994-02 to 2150-01": ("monthly", (1994, 2), (2150, 1)),
+        "all months": ("monthly", first, last),
+        "one month more": ("monthly", first, after),
+        "one month before": ("monthly", before, last),
+        "all years": ("annual", first[0], last[0]),
     }
     found = []
-    for name, (start, end) in choices.items():
+    for name, (frequency, lo, hi) in choices.items():
         try:
-            stats.check_range(overlap, start, end)
+            stats.check_range(overlap, *stats.period_bounds(frequency, lo, hi), frequency)
             found.append((name, True))
         except ValueError:
             found.append((name, False))
