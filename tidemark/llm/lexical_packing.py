@@ -2,8 +2,10 @@
 
 A document is its token ids and an end id. Whole windows of a long document are
 sequences of their own; what is left, shorter than a window, is an item. Each
-item goes to the shard of its weightiest token, and a token that very many items
-have in common is spread over as many shards as its items fill. A shard builds
+item goes to the shard of one of its tokens, the one that weighs most for how
+often its document has it and how late it stands in the vocabulary, where entries
+are the rarer the later. A token that very many items have in common is spread
+over as many shards as its items fill. A shard builds
 an inverted index with BM25 weights (document counts and mean length are those
 of the whole table). A seed asks the index with its own tokens; the unused items
 that answer best follow it until the window is full. The last of them is cut
@@ -29,18 +31,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.packing import _plus
 from tidemark.llm.word_tokenizer import WordTokenizer
-from tidemark.llm.words import mix, pieces
+from tidemark.llm.words import pieces
 from tidemark.session import settle
 
 SEQUENCE = 2048
 END_ID = 1
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 19
 K1, B = 1.2, 0.75  # the usual constants of BM25
 MOST_TASKS = 16_384
 NEAREST = 32  # neighbours sorted at first; the others follow if these do not fill a window
-_U = np.uint64
 
 _tokenizers: dict[str, WordTokenizer] = {}
 
@@ -63,11 +63,11 @@ def id_bytes(size: int) -> str:
 
 
 def tokenize(df: DataFrame, key: str, text: str, vocabulary: str, sequence: int = SEQUENCE, with_ids: bool = False) -> DataFrame:
-    """Rows (kind, key, row, start, length, ids_crc32, doc_tokens, ids): 0 a
-    whole window, 1 an item with its ids, 2 (one a task) the number of the
-    task's documents that hold each token."""
+    """Rows (kind, key, row, start, length, ids_crc32, doc_tokens, route, ids): 0 a
+    whole window, 1 an item with its token for a shard and its ids, 2 (one a
+    task) the number of the task's documents that hold each token."""
     kind = df.schema[key].dataType.simpleString()
-    schema = f"kind int, key {kind}, row long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
+    schema = f"kind int, key {kind}, row long, start long, length long, ids_crc32 long, doc_tokens long, route long, ids binary"
     names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,15 +75,19 @@ def tokenize(df: DataFrame, key: str, text: str, vocabulary: str, sequence: int
         stored = id_bytes(words.size)
         row = TaskContext.get().partitionId() << 40
         holds = np.zeros(words.size, np.int64)
+        late = np.log1p(np.arange(words.size))
         keys = None
         for batch in batches:
             keys = batch.column(0)
             for lo, hi, data, offsets in pieces(batch.column(1)):
                 raw = data.tobytes()
-                at, kinds, start, length, crc, whole, kept = [], [], [], [], [], [], []
+                at, kinds, start, length, crc, whole, routes, kept = [], [], [], [], [], [], [], []
                 for i in range(hi - lo):
                     ids = words.encode(raw[offsets[i] : offsets[i + 1]])
-                    holds[np.unique(ids)] += 1
+                    token, count = np.unique(ids, return_counts=True)
+                    holds[token] += 1
+                    # a document's item goes by all of its tokens
+                    route = int(token[np.argmax(late[token] * count / (count + K1))]) if len(token) else words.size
                     ids = np.append(ids, END_ID)
                     for a in range(0, len(ids), sequence):
                         part = ids[a : a + sequence]
@@ -94,14 +98,15 @@ def tokenize(df: DataFrame, key: str, text: str, vocabulary: str, sequence: int
                         length.append(len(part))
                         crc.append(zlib.crc32(part.astype("<u4").tobytes()))
                         whole.append(len(ids))
+                        routes.append(None if full else route)
                         kept.append(None if full and not with_ids else part.astype(stored).tobytes())
                 columns = [pa.array(kinds, pa.int32()), keys.take(pa.array(at, pa.int64())), pa.array(np.arange(row, row + len(at)))]
-                columns += [pa.array(c, pa.int64()) for c in (start, length, crc, whole)]
+                columns += [pa.array(c, pa.int64()) for c in (start, length, crc, whole, routes)]
                 row += len(at)
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(kept, pa.binary())], names=names)
         if keys is not None:
             none = pa.nulls(1, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.nulls(1, keys.type), *[none] * 5, pa.array([holds.tobytes()], pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.nulls(1, keys.type), *[none] * 6, pa.array([holds.tobytes()], pa.binary())], names=names)
 
     return df.select(F.col(key), F.col(text)).mapInArrow(run, schema)
 
@@ -236,6 +241,7 @@ def pack_documents(
     vocabulary = vocabulary or public_vocabulary()
     size = WordTokenizer(vocabulary).size
     stored = id_bytes(size)
+    spark = df.sparkSession
     tokens = settle(tokenize(df, key, text, vocabulary, sequence, with_ids), "tokens")
     items = tokens.filter("kind = 1").drop("kind")
     holds = token_documents(tokens, size)
@@ -243,33 +249,15 @@ def pack_documents(
     documents, mean = tokens.filter("kind < 2").agg(starts, lengths).first()
     idf, mean = np.log1p((documents - holds + 0.5) / (holds + 0.5)), mean or 1.0
 
-    def weightiest(ids: pa.Array) -> np.ndarray:
-        best = []
-        for raw in ids.to_pylist():
-            token, count = np.unique(np.frombuffer(raw, stored)[:-1], return_counts=True)
-            best.append(int(token[np.argmax(idf[token] * count / (count + K1))]) if len(token) else size)
-        return np.array(best, np.int64)
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(weightiest(batch.column(0))), batch.column(1)], names=["route", "length"])
-
     # One row for each id of the vocabulary. The routes stand on a line of all
     # tokens; a route's items lie evenly over its part of it.
-    routes = items.select("ids", "length").mapInArrow(route, "route long, length long").groupBy("route").agg(F.sum("length").alias("n"))
-    load = np.zeros(size + 1, np.int64)
-    for r in routes.collect():
-        load[r["route"]] = r["n"]
-    begin = np.cumsum(load) - load
-    shards = max(1, -(-int(load.sum()) // shard_tokens))
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            best = weightiest(batch.column(batch.schema.get_field_index("ids")))
-            row = batch.column(batch.schema.get_field_index("row")).to_numpy()
-            share = (mix(row.view(np.uint64)) >> _U(11)).astype(np.float64) / 2**53
-            shard = ((begin[best] + share * load[best]) // shard_tokens).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shard)], names=[*batch.schema.names, "shard"])
+    loads = sorted((r["route"], r["n"]) for r in items.groupBy("route").agg(F.sum("length").alias("n")).collect())
+    begin = np.cumsum([0, *[n for _, n in loads]]).tolist()
+    shards = max(1, -(-begin[-1] // shard_tokens))
+    line = spark.createDataFrame([(r, b, n) for (r, n), b in zip(loads, begin)], "route long, begin long, load long")
+    share = F.shiftrightunsigned(F.xxhash64("row"), 11).cast("double") / 2.0**53
+    shard = F.floor((F.col("begin") + share * F.col("load")) / shard_tokens).cast("long")
+    placed = items.join(F.broadcast(line), "route").select("key", "row", "start", "doc_tokens", "ids", shard.alias("shard"))
 
     own = f"key {df.schema[key].dataType.simpleString()}"
     result = f"{own}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids binary" * with_ids
@@ -299,7 +287,6 @@ def pack_documents(
         columns += [pa.array(c, pa.int64()) for c in (sequence_id, offset)] + [pa.array(kept, pa.binary())] * with_ids
         return pa.Table.from_arrays(columns, names=names)
 
-    placed = items.drop("ids_crc32").mapInArrow(place, _plus(items.drop("ids_crc32"), "shard long"))
     # a task takes its shards one after the other
     dealt = placed.repartition(min(shards, MOST_TASKS), "shard").groupBy("shard").applyInArrow(fill, result)
     alone = tokens.filter("kind = 0").select(
