@@ -1,19 +1,28 @@
 """Recurring lines by a log-template tree.
 
 A line's words lead through a tree of fixed depth: the number of words, then
-the leading words. In a leaf, lines that agree on one half of their positions
-(the even or the odd ones) share a template; the positions where they differ
-are its variable fields. Words with a digit are variable everywhere, also as
-leading words. So a line has two template keys, and short lines one, of all
-their words. Keys are counted as sums of per-document sets: a common line is
-one row per task before the shuffle, and no leaf is gathered anywhere.
+the leading words; words with a digit are variable everywhere. Only a leaf that
+lines of ``MIN_DOCS`` texts reach can hold a recurring template, so a first count
+of one number per line leaves a small part of all lines. Inside a leaf, lines
+share a template if they agree on all positions of one of these sets, and the
+other positions are its variable fields:
+
+* from ``LONG`` words on, the positions behind the leading words are cut into
+  four blocks: any two blocks (so that fields within two blocks may vary, a name
+  of several words too), the even ones or the odd ones (scattered fields);
+* from ``SHORT`` words on, all positions but one; below that, all.
+
+So at least half of the words of two such lines are the same at the same places.
+A line has a key per set. Keys are counted as sums of per-document sets: a
+common line is one row per task before the shuffle, and no leaf is gathered.
 
 A template recurs if it stands in at least ``MIN_DOCS`` documents, where equal
-texts count once, and so do near copies (linked at ``NEAR`` percent of their
-shingles, as in ``minhash``): what copies share is their text, for near-duplicate
-removal to choose from. Only texts with a template in ``MIN_DOCS`` different
-texts can change a count, so only those are grouped. Lines of recurring
-templates are dropped in every document, however much of it they make.
+texts count once, and so do near copies: what copies share is their text, for
+near-duplicate removal to choose from. Near copies are told by a small sketch of
+the text (``BINS`` minima of one permutation of its word shingles): texts that
+share a band are compared with the first of their bucket, and those that agree
+on ``ALIKE`` of the sketch are linked. Lines of recurring templates are dropped in
+every document, however much of it they make.
 
 Defined results: NULL texts stay NULL and empty ones empty; lines without a
 word are never dropped; repeated rows are treated alike; a text of recurring
@@ -23,109 +32,206 @@ than the text (and the counts added) stay as they are, NULL keys included.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.minhash import near_duplicates
-from tidemark.llm.words import pieces
+from tidemark.llm.components import connected
+from tidemark.llm.words import BY_CASE, Words, long_array, mix, pieces
 from tidemark.session import settle
 
 MIN_DOCS = 3
-NEAR = 80  # percent of shingles that link near copies
 LEADING = 2  # depth of the tree below the word count
-SHORT = 8  # lines with fewer words must agree on all of them
-VARIABLE = "<*>"
-_DIGIT = re.compile(r"\d")
-
-
-def line_words(line: str) -> list[str]:
-    words = line.split()
-    return [VARIABLE if _DIGIT.search(w) else w for w in words] if _DIGIT.search(line) else words
-
-
-def line_keys(line: str) -> tuple[int, ...]:
-    """Template keys of a line; none without a word."""
-    words = line_words(line)
-    n = len(words)
-    if not n:
-        return ()
-    leaf = f"{n}\x00{' '.join(words[:LEADING])}\x00"
-    if n < SHORT:
-        return (xxhash.xxh3_64_intdigest(leaf + " ".join(words)),)
-    return (
-        xxhash.xxh3_64_intdigest(leaf + " ".join(words[0::2])),
-        xxhash.xxh3_64_intdigest(leaf + " ".join(words[1::2]), 1),
-    )
+SHORT, LONG = 4, 8
+BLOCKS = 4
+BINS, BANDS, BAND_BINS = 64, 8, 4
+SHINGLE = 5
+ALIKE = 0.7
+#: Texts of a task remembered to pass over their copies.
+REMEMBERED = 100_000
+_U = np.uint64
+_GOLD = _U(0x9E3779B97F4A7C15)
+_VARIABLE = _U(0x5851F42D4C957F2D)
+_PAIRS = list(combinations(range(BLOCKS), 2))
+_MOST = len(_PAIRS) + 2  # keys of a long line
+
+
+class LineKeys:
+    """Keys of the lines of a run of texts, in bulk: per line with a word its
+    ``text`` and ``line`` number there, ``leaf`` and keys (those of line i are
+    ``keys[bounds[i]:bounds[i + 1]]``)."""
+
+    def __init__(self, words: Words, data: np.ndarray, offsets: np.ndarray):
+        digits = np.concatenate([[0], np.cumsum((data >= 0x30) & (data <= 0x39))])
+        h = np.where(digits[words.end] > digits[words.start], _VARIABLE, words.hash)
+        ends = np.concatenate([[0], np.cumsum(data == 0x0A)])  # line ends before each byte
+        per_text = np.diff(words.first)
+        text = np.repeat(np.arange(len(per_text)), per_text)
+        line = ends[words.start] - ends[offsets[text]]
+        opens = np.ones(len(h), bool)
+        opens[1:] = (text[1:] != text[:-1]) | (line[1:] != line[:-1])
+        first = np.flatnonzero(opens)
+        n = np.diff(np.append(first, len(h)))
+        self.text, self.line = text[first], line[first]
+        place = np.arange(len(h)) - np.repeat(first, n)
+        term = mix(h + mix(place.astype(np.uint64) * _GOLD))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(term)])
+        even = np.concatenate([np.zeros(1, np.uint64), np.cumsum(np.where(place % 2 == 0, term, _U(0)))])
+        rest = first + np.minimum(LEADING, n)
+        last = first + n
+        self.leaf = mix(total[rest] - total[first] + mix(n.astype(np.uint64)))
+        count = np.where(n < SHORT, 1, np.where(n < LONG, n - LEADING, _MOST))
+        self.bounds = np.concatenate([[0], np.cumsum(count)])
+        self.keys = np.zeros(self.bounds[-1], np.uint64)
+
+        def put(lines: np.ndarray, number: int, sums: np.ndarray) -> None:
+            self.keys[self.bounds[lines] + number] = mix(self.leaf[lines] + mix(sums + _U(number + 1)))
+
+        exact = np.flatnonzero(n < SHORT)
+        put(exact, 0, total[last[exact]] - total[rest[exact]])
+        for left_out in range(LEADING, LONG - 1):
+            some = np.flatnonzero((n >= SHORT) & (n < LONG) & (n > left_out))
+            put(some, left_out - LEADING, total[last[some]] - total[rest[some]] - term[first[some] + left_out])
+        many = np.flatnonzero(n >= LONG)
+        cut = [rest[many] + (n[many] - LEADING) * b // BLOCKS for b in range(BLOCKS + 1)]
+        blocks = [total[b] - total[a] for a, b in zip(cut, cut[1:])]
+        for number, (a, b) in enumerate(_PAIRS):
+            put(many, number, blocks[a] + blocks[b])
+        evens = even[last[many]] - even[rest[many]]
+        put(many, len(_PAIRS), evens)
+        put(many, len(_PAIRS) + 1, total[last[many]] - total[rest[many]] - evens)
+
+
+def sketches(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(sketch, has): per text the minima of its shingles by bin; an empty bin
+    takes over the next one's. Texts without a shingle have none."""
+    shingles, bounds = words.runs(SHINGLE)
+    texts = len(bounds) - 1
+    owner = np.repeat(np.arange(texts), np.diff(bounds))
+    out = np.full(texts * BINS, np.iinfo(np.uint64).max, np.uint64)
+    np.minimum.at(out, owner * BINS + (shingles >> _U(58)).astype(np.int64), shingles)
+    out = out.reshape(texts, BINS)
+    empty = out == np.iinfo(np.uint64).max
+    has = ~empty.all(axis=1)
+    filled, step = out.copy(), 0
+    while empty[has].any():
+        step += 1
+        take = empty & ~np.roll(out == np.iinfo(np.uint64).max, -step, axis=1)
+        filled[take] = mix(np.roll(out, -step, axis=1)[take] + _U(step))
+        empty &= ~take
+    return filled, has
 
 
-def template_of(line: str, other: str) -> str:
-    """The template two lines of a leaf share."""
-    return " ".join(a if a == b else VARIABLE for a, b in zip(line_words(line), line_words(other)))
+def _tid(text: Column) -> Column:
+    return F.unhex(F.md5(text))
 
 
 def _keyed(df: DataFrame, text: str) -> DataFrame:
-    """(tid, keys, lines): for every row the keys of all lines and the line each
-    key is of. ``tid`` is a hash of the text: equal texts are treated alike."""
+    """Per text: its id, leaf, number and keys of each line, bands and sketch.
+    Copies of a text within a task are passed over."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
-            for lo, hi, _, _ in pieces(batch.column(1)):
-                keys, lines, bounds = [], [], [0]
-                for body in batch.column(1).slice(lo, hi - lo).to_pylist():
-                    for i, line in enumerate((body or "").split("\n")):
-                        for key in line_keys(line):
-                            keys.append(key)
-                            lines.append(i)
-                    bounds.append(len(keys))
-                at = pa.array(np.array(bounds, np.int32))
+            ids = batch.column(0).to_pylist()
+            new = []
+            for i, tid in enumerate(ids):
+                if tid not in seen:
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()
+                    seen.add(tid)
+                    new.append(i)
+            if len(new) < len(ids):
+                batch = batch.take(pa.array(new, pa.int64()))
+            for lo, hi, data, offsets in pieces(batch.column(1)):
+                words = Words(data, offsets, BY_CASE)
+                lines = LineKeys(words, data, offsets)
+                own = np.searchsorted(lines.text, np.arange(hi - lo + 1)).astype(np.int32)
+                keys = long_array(lines.keys, lines.bounds)
+                sketch, has = sketches(words)
+                bands = np.zeros((hi - lo, BANDS), np.uint64)
+                for b in range(BANDS):
+                    for j in range(BAND_BINS):
+                        bands[:, b] = mix(bands[:, b] + sketch[:, b * BAND_BINS + j] + _U(b + 1))
+                low = (sketch & _U(0xFFFF)).astype("<u2")
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(lo, hi - lo),
-                        pa.ListArray.from_arrays(at, pa.array(np.array(keys, np.uint64).view(np.int64))),
-                        pa.ListArray.from_arrays(at, pa.array(np.array(lines, np.int32))),
+                        pa.ListArray.from_arrays(pa.array(own), pa.array(lines.leaf.view(np.int64))),
+                        pa.ListArray.from_arrays(pa.array(own), pa.array(lines.line.astype(np.int32))),
+                        pa.ListArray.from_arrays(pa.array(own), keys),
+                        long_array(bands[has].ravel(), np.concatenate([[0], np.cumsum(np.where(has, BANDS, 0))])),
+                        pa.array([s.tobytes() if h else None for s, h in zip(low, has)], pa.binary()),
                     ],
-                    names=["tid", "keys", "lines"],
+                    names=["tid", "leaves", "lines", "keys", "bands", "sketch"],
                 )
 
-    return df.select(_tid(F.col(text)).alias("tid"), F.col(text)).mapInArrow(run, "tid long, keys array<long>, lines array<int>")
+    rows = df.select(_tid(F.col(text)).alias("tid"), F.col(text)).filter("tid is not null")
+    return rows.mapInArrow(run, "tid binary, leaves array<long>, lines array<int>, keys array<array<long>>, bands array<long>, sketch binary")
 
 
-def _tid(text: Column) -> Column:
-    return F.xxhash64(text)
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, BINS) for i in (2, 3))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array((a == b).mean(axis=1) >= ALIKE))
+
+
+def copy_classes(texts: DataFrame) -> DataFrame:
+    """(node, root) of near copies among stored ``texts`` (g, bands, sketch)."""
+    banded = texts.select("g", F.explode("bands").alias("band"))
+    firsts = banded.groupBy("band").agg(F.min("g").alias("b"), F.max("g").alias("_last")).filter("b < _last").select("band", "b")
+    pairs = banded.join(firsts, "band").filter("g <> b").select(F.col("g").alias("a"), "b").distinct()
+    one, other = (texts.select(F.col("g").alias(n), F.col("sketch").alias(f"s{n}")) for n in ("a", "b"))
+    met = pairs.join(one, "a").join(other, "b").select("a", "b", "sa", "sb")
+    return connected(met.mapInArrow(_alike, "a long, b long"))
 
 
 def recurring_lines(df: DataFrame, text: str, min_docs: int = MIN_DOCS) -> DataFrame:
     """(tid, drop): numbers of the lines with a recurring template, by text."""
-    # a text that many rows share is one
-    keyed = settle(_keyed(df, text).dropDuplicates(["tid"]), "line_keys")
-    once = keyed.select(F.explode(F.array_distinct("keys")).alias("key"))
-    often = once.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs).select("key")
-    pairs = keyed.select("tid", F.explode(F.arrays_zip("keys", "lines")).alias("x")).select("tid", F.col("x.keys").alias("key"), F.col("x.lines").alias("line"))
-    hits = settle(pairs.join(often, "key"), "line_hits")
-    texts = df.select(_tid(F.col(text)).alias("tid"), F.col(text).alias("text")).join(hits.select("tid").distinct(), "tid", "left_semi")
-    groups = near_duplicates(settle(texts.dropDuplicates(["tid"]), "line_texts"), "tid", "text", NEAR).select("tid", "component")
-    stands = hits.select("tid", "key").distinct().join(groups, "tid").select("key", "component").distinct()
+    keyed = settle(_keyed(df, text), "line_keys")
+    often = keyed.select(F.explode(F.array_distinct("leaves")).alias("leaf")).groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
+    often = often.filter(F.col("n") >= min_docs).select("leaf")
+    lines = keyed.select("tid", F.explode(F.arrays_zip("leaves", "lines", "keys")).alias("x"))
+    lines = lines.select("tid", F.col("x.leaves").alias("leaf"), F.col("x.lines").alias("line"), F.col("x.keys").alias("keys"))
+    inside = lines.join(often, "leaf").select("tid", "line", F.explode("keys").alias("key"))
+    # copies of a text in several tasks are one from here on
+    inside = settle(inside.distinct(), "leaf_lines")
+    shared = inside.select("tid", "key").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    hits = settle(inside.join(shared.filter(F.col("n") >= min_docs).select("key"), "key"), "line_hits")
+    # a class only counts documents, so a 64-bit name does for it
+    name = F.xxhash64("tid").alias("g")
+    texts = keyed.filter("sketch is not null").join(hits.select("tid").distinct(), "tid", "left_semi")
+    texts = settle(texts.select(name, "bands", "sketch").dropDuplicates(["g"]), "line_texts")
+    classes = copy_classes(texts).select(F.col("node").alias("g"), "root")
+    stands = hits.select("key", name).distinct().join(classes, "g", "left").select("key", F.coalesce("root", "g").alias("class")).distinct()
     known = stands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs).select("key")
     return hits.join(known, "key").groupBy("tid").agg(F.sort_array(F.collect_set("line")).alias("drop"))
 
 
+def _free(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    have = {c.lower() for c in df.columns}
+    while name in have:
+        name += "_"
+    return name
+
+
 def drop_templates(df: DataFrame, text: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
     """``df`` without recurring lines, plus n_lines and n_dropped (which replace
-    columns of that name; names that begin with two underscores are reserved)."""
-    found = recurring_lines(df, text, min_docs).select(F.col("tid").alias("__tid"), F.col("drop").alias("__drop"))
-    joined = df.withColumn("__tid", _tid(F.col(text))).join(found, "__tid", "left")
+    columns of that name)."""
+    tid, drop = _free(df, "text_id"), _free(df, "drop_lines")
+    found = recurring_lines(df, text, min_docs).select(F.col("tid").alias(tid), F.col("drop").alias(drop))
+    joined = df.withColumn(tid, _tid(F.col(text))).join(found, tid, "left")
     lines = F.split(F.col(text), "\n")
-    kept = F.filter(lines, lambda x, i: ~F.array_contains("__drop", i))
-    found = F.col("__drop").isNotNull()
+    kept = F.filter(lines, lambda x, i: ~F.array_contains(drop, i))
+    cut = F.col(drop).isNotNull()
     added = {
         "n_lines": F.coalesce(F.size(lines), F.lit(0)),
-        "n_dropped": F.when(found, F.size("__drop")).otherwise(0),
-        text: F.when(found, F.array_join(kept, "\n")).otherwise(F.col(text)),
+        "n_dropped": F.when(cut, F.size(drop)).otherwise(0),
+        text: F.when(cut, F.array_join(kept, "\n")).otherwise(F.col(text)),
     }
-    return joined.withColumns(added).drop("__tid", "__drop")
+    return joined.withColumns(added).drop(tid, drop)
