@@ -111,6 +111,26 @@ def test_leaks_over_several_blocks_and_empty_tables(spark, monkeypatch):
     assert decontaminate.clean_documents(frame(spark, data), benchmark.limit(0)).count() == len(data)
 
 
+def test_chance_words_are_no_entries_and_long_clean_texts_stay(spark):
+    data, labels, truth = insults(400, seed=4)
+    rng = random.Random(12)
+    long = [(1000 + i, prose(rng, 30_000), "en", "a", 1) for i in range(6)]
+    toxic_long = [(1100 + i, " ".join(w for _ in range(40) for w in [prose(rng, 25), "blorg", "snarfly", "vexoid"]), "en", "a", 1) for i in range(2)]
+    df = frame(spark, data + long + toxic_long)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    sample = df.join(toxicity.training_labels(table, "doc_id", "toxic"), F.col("doc_id") == F.col("_key"))
+    entries = {e for e, _ in toxicity.find_lexicon(sample, "text", "_label")}
+    known = set()
+    for lo, hi, raw, offsets in pieces(pa.array([f"{b}{e}" for b in ("blorg", "snarf", "gruntle", "vexoid") for e in ("", "ly", "ish")])):
+        for entry in toxicity._entries(Words(raw, offsets, BY_ALNUM)):
+            known |= set(entry.view(np.int64).tolist())
+    assert entries and entries <= known
+    model = toxicity.fit(df, table)
+    hit = {r["doc_id"] for r in toxicity.score_texts(df, "doc_id", "text", model).collect() if r["score"] >= toxicity.THRESHOLD}
+    assert not hit & {d for d, *_ in long} and {d for d, *_ in toxic_long} <= hit
+    assert len(hit - truth - {1100, 1101}) <= 2 and len(hit & truth) >= 0.95 * len(truth)
+
+
 def insults(n, seed=1):
     rng = random.Random(seed)
     bad = ["blorg", "snarf", "gruntle", "vexoid"]

@@ -10,6 +10,13 @@ class; correlated voters are discounted. Its posteriors are the labels on which
 a linear classifier is trained; true labels then set the scale of its score and
 the weight of a text's length.
 
+An entry is one if its labelled texts are toxic far more often than chance
+allows: the probability of so many toxic ones among them (a Chernoff bound on
+the binomial tail) times the number of entries tested is at most ``CHANCE``. So
+few labels give few entries, and more labels also rarer ones. Voters and features
+that count hits go by their number in ``RATE`` words of a longer text, so that a
+very long text does not collect votes; more hits never lower a score.
+
 Vote patterns are counted over all documents. With ``N_VOTERS`` voters there
 are at most ``2 ** N_VOTERS`` patterns, so the model is fitted on those counts.
 The lexicon and the classifier see a sample of at most ``max_labelled``
@@ -31,6 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Matrices
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +46,8 @@ from tidemark.llm.words import BY_ALNUM, Words, long_array, pieces
 from tidemark.session import settle
 
 MAX_LABELLED = 12_000
-MAX_ENTRIES = 300
+#: Expected number of chance entries, and the share of an entry's texts that are toxic.
+CHANCE, MOSTLY = 0.05, 0.8
 PREFIXES = (4, 5, 6)  # bytes of a word's beginning
 GROUPS_PER_KIND = 2
 #: Kind 0 are words, then come the beginnings, then those of two different words.
@@ -86,10 +95,11 @@ def _different(text: np.ndarray, entry: np.ndarray, word: np.ndarray) -> tuple[n
     return t[at], e[at], np.add.reduceat(other.astype(np.int64), at) if len(at) else at
 
 
-def find_lexicon(rows: DataFrame, text: str, label: str, max_entries: int = MAX_ENTRIES) -> list[tuple[int, int]]:
-    """(entry, kind) of the entries most tied to label 1, the strongest first.
+def find_lexicon(rows: DataFrame, text: str, label: str, chance: float = CHANCE) -> list[tuple[int, int]]:
+    """(entry, kind) of the entries tied to label 1, the strongest first.
 
-    ``rows`` is the bounded sample. An entry counts once per text.
+    ``rows`` is the bounded sample, which bounds the entries too: each stands in
+    several of its texts. An entry counts once per text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,11 +123,14 @@ def find_lexicon(rows: DataFrame, text: str, label: str, max_entries: int = MAX_
     total, toxic = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(label), F.lit(0))).first()
     if not toxic or toxic == total:
         return []
-    share, clean = F.col("n") / total, F.col("n") - F.col("toxic")
-    gap = F.col("toxic") / toxic - clean / (total - toxic)
-    z = gap / F.sqrt(share * (1 - share) * (1 / toxic + 1 / (total - toxic)) + 1e-12)
-    strong = counts.filter((F.col("toxic") >= max(3, 0.02 * toxic)) & (F.col("toxic") >= 0.8 * F.col("n"))).withColumn("z", z)
-    best = strong.orderBy(F.desc("z"), "kind", "entry").limit(max_entries).collect()
+    counts = settle(counts, "entries")
+    base = toxic / total
+    own = F.col("toxic") / F.col("n")
+    rest = F.when(own < 1, (1 - own) * F.log((1 - own) / (1 - base))).otherwise(0.0)
+    mostly = counts.filter(own >= max(MOSTLY, base))
+    evidence = mostly.withColumn("evidence", F.col("n") * (own * F.log(own / base) + rest))
+    strong = evidence.filter(F.col("evidence") >= float(np.log(max(counts.count(), 1) / chance)))
+    best = strong.orderBy(F.desc("evidence"), "kind", "entry").collect()
     return [(r["entry"], r["kind"]) for r in best]
 
 
@@ -176,9 +189,9 @@ class Lexicon:
 
         shouting = share((data >= 65) & (data <= 90))
         exclaims = share(data == 33)
-        features = np.column_stack([np.log1p(hits), np.log1p(different), 100 * density, 10 * shouting, 10 * exclaims, np.log1p(sizes)])
-        often = hits * RATE >= np.maximum(sizes, RATE)[:, None]
-        votes = np.column_stack([often, different >= 2, different >= 4, density >= 0.01, shouting > 0.3, exclaims > 0.02])
+        long = np.maximum(sizes / RATE, 1)
+        features = np.column_stack([np.log1p(hits / long[:, None]), np.log1p(different / long), 100 * density, 10 * shouting, 10 * exclaims, np.log1p(sizes)])
+        votes = np.column_stack([hits >= long[:, None], different >= 2 * long, different >= 4 * long, density >= 0.01, shouting > 0.3, exclaims > 0.02])
         return features, votes @ (1 << np.arange(N_VOTERS))
 
 
@@ -262,7 +275,11 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
         array_to_vector("features").alias("features"),
         F.explode(F.array(F.struct(F.lit(1.0).alias("y"), F.col("p").alias("w")), F.struct(F.lit(0.0).alias("y"), (1 - F.col("p")).alias("w")))).alias("x"),
     ).select("features", "x.y", "x.w")
-    linear = LogisticRegression(featuresCol="features", labelCol="y", weightCol="w", regParam=1e-4, maxIter=100).fit(both)
+    # hits, different entries and density only speak for label 1
+    least = [0.0] * (N_GROUPS + 2) + [-1e6] * (N_FEATURES - N_GROUPS - 2)
+    linear = LogisticRegression(
+        featuresCol="features", labelCol="y", weightCol="w", regParam=1e-4, maxIter=100, lowerBoundsOnCoefficients=Matrices.dense(1, N_FEATURES, least)
+    ).fit(both)
     weights, bias = np.array(linear.coefficients.toArray()), linear.intercept
     raw = sum((F.get("features", i) * float(w) for i, w in enumerate(weights)), F.lit(float(bias)))
     length = F.get("features", N_FEATURES - 1)
