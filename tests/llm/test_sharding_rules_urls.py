@@ -34,8 +34,18 @@ def test_bytes_are_even_and_copies_are_numbered(spark):
     got = sharding.shard_rows(df, "doc_id", "text", 5).groupBy("shard").agg(F.sum("size").alias("s"), F.count("*").alias("n"), F.max("slot").alias("m"), F.countDistinct("slot").alias("d")).collect()
     assert all(r["n"] == r["m"] + 1 == r["d"] for r in got)
     loads = [r["s"] for r in got]
-    # identical records share a slot, which is one load of 3000 * 12 bytes
-    assert max(loads) - min(loads) < 3000 * 12
+    assert max(loads) - min(loads) <= 308  # one record
+
+
+def test_many_copies_of_a_record_spread_over_all_shards(spark):
+    df = spark.range(500).select(F.col("id").alias("doc_id"), F.repeat(F.lit("y"), (F.col("id") % 60).cast("int")).alias("text"))
+    df = df.unionByName(spark.range(2000).select(F.lit(9).cast("long").alias("doc_id"), F.repeat(F.lit("x"), 1000).alias("text")))
+    for n_slots in (4096, 64):
+        rows = sharding.shard_rows(df, "doc_id", "text", 24, n_slots).groupBy("shard").agg(F.sum("size").alias("s"), F.count("*").alias("n"), F.max("slot").alias("m"), F.countDistinct("slot").alias("d")).collect()
+        assert len(rows) == 24 and sum(r["n"] for r in rows) == 2500
+        assert all(r["n"] == r["m"] + 1 == r["d"] for r in rows)
+        if n_slots == 4096:
+            assert max(r["s"] for r in rows) - min(r["s"] for r in rows) <= 1008
 
 
 def test_map_versions_move_slots_only_to_the_new_shard(spark, tmp_path):
@@ -138,3 +148,12 @@ def test_automaton_matches_globs(seed):
         pattern = re.compile("".join({"**": ".*", "*": "[^/]*", "?": "[^/]"}.get(t, re.escape(t)) for t in re.findall(r"\*\*|.", g)), re.S)
         for i, u in enumerate(urls):
             assert hit[i, j] == bool(pattern.fullmatch(u.decode())), (g, u)
+
+
+def test_url_keys_end_the_host_where_it_ends():
+    from tidemark.llm.warc import url_key
+
+    assert url_key("http://a.Example.com/x?y") == "com,example,a)/x?y"
+    assert url_key("http://a.example.com?q=/x") == "com,example,a)?q=/x"
+    assert url_key("http://a.example.com#z") == "com,example,a)#z"
+    assert (url_key("a/b"), url_key(""), url_key("http://")) == (")a/b", ")", ")")

@@ -118,7 +118,9 @@ def shard_rows(df: DataFrame, key: str, text: str, shards: int, n_slots: int = N
     Columns: key, size (text bytes plus 8), text_crc32, virtual_slot, shard,
     slot (0-based place in the shard, without gaps) and map_version. Only these
     narrow columns are shuffled. Identical records are folded with a count
-    before that, so a group of copies of any size is one row. Places come from
+    before that; their copies are then dealt over the slots behind their own, one
+    each (or evenly, if there are more of them than slots), so that many copies
+    of a record spread over all shards like other records. Places come from
     the rows of the slots before (``n_slots`` rows, hence the broadcast) and a
     window inside one slot; raise ``n_slots`` with the row count.
     """
@@ -130,7 +132,11 @@ def shard_rows(df: DataFrame, key: str, text: str, shards: int, n_slots: int = N
     )
     names = [key, "size", "text_crc32"]
     folded = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
-    slotted = settle(folded.withColumn("virtual_slot", virtual_slot([F.col(c) for c in names], n_slots)), "slotted")
+    each, more = F.call_function("div", F.col("_n"), F.lit(n_slots)), F.col("_n") % n_slots
+    behind = F.explode(F.sequence(F.lit(0), (F.least(F.col("_n"), F.lit(n_slots)) - 1).cast("int")))
+    own = F.pmod(virtual_slot([F.col(c) for c in names], n_slots) + F.col("_i"), F.lit(n_slots)).cast("int")
+    dealt = folded.withColumn("_i", behind).select(*names, own.alias("virtual_slot"), (each + (F.col("_i") < more).cast("long")).alias("_n"))
+    slotted = settle(dealt, "slotted")
     weights = settle(slot_weights(slotted, "size", F.col("_n"), n_slots), "weights")
     path = scratch_dir(spark, "slot_map")
     write_map(build_map(weights, shards), path)
