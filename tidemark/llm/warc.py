@@ -130,10 +130,14 @@ def parse_archive(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
 
 
 def url_key(url: str) -> str:
-    """Host labels in reverse order, then the rest: sorts a site together."""
-    scheme, _, rest = url.partition("://")
-    host, slash, path = rest.partition("/")
-    return ",".join(reversed(host.lower().split("."))) + ")" + slash + path
+    """Host labels in reverse order, then the rest: sorts a site together. The
+    host goes from ``://`` to the first ``/``, ``?`` or ``#``; without ``://`` it
+    is empty."""
+    _, scheme, rest = url.partition("://")
+    if not scheme:
+        return ")" + url
+    end = re.search("[/?#]|$", rest).start()
+    return ",".join(reversed(rest[:end].lower().split("."))) + ")" + rest[end:]
 
 
 def _page(record_id: str) -> int | None:
