@@ -311,6 +311,35 @@ def lasso_fit(spark, sf_dir):
     return out
 
 
+_ALPHAS = (0.5, 100.0)
+
+
+@query(
+    "lasso_two_features",
+    f"""with k as (select avg(l_quantity) as mq, avg(l_discount) as md, covar_pop(l_quantity, l_discount) / var_pop(l_quantity) as k from lineitem),
+    x as (select l_extendedprice as y, l_quantity as x1, l_discount - md - k * (l_quantity - mq) as x2 from lineitem, k),
+    m as (select var_pop(x1) as v1, var_pop(x2) as v2, covar_pop(x1, y) as c1, covar_pop(x2, y) as c2 from x),
+    b as (select alpha, sign(c1) * greatest(abs(c1) - alpha, 0) / v1 as b1, sign(c2) * greatest(abs(c2) - alpha, 0) / v2 as b2
+      from m cross join (values {', '.join(f'({a})' for a in _ALPHAS)}) a(alpha))
+    select alpha::double as alpha, 'l_quantity' as feature, round(b1, 3) as value from b
+    union all select alpha::double, 'discount_beyond', round(b2, 0) + 0.0 from b""",
+)
+def lasso_two_features(spark, sf_dir):
+    """Features that do not correlate are shrunk each on its own: here the
+    quantity, and what of the discount the quantity does not explain."""
+    lines = _lines(spark, sf_dir)
+    slope = F.covar_pop("l_quantity", "l_discount") / F.var_pop("l_quantity")
+    mean_q, mean_d, k = lines.agg(F.avg("l_quantity"), F.avg("l_discount"), slope).first()
+    data = lines.withColumn("discount_beyond", F.col("l_discount") - mean_d - k * (F.col("l_quantity") - mean_q))
+    out = None
+    for alpha in _ALPHAS:
+        spec = ModelSpec("lasso", "l_extendedprice", (("l_quantity", "continuous"), ("discount_beyond", "continuous")), alpha=alpha)
+        digits = F.when(F.col("feature") == "l_quantity", F.round("value", 3)).otherwise(F.round("value", 0) + 0.0)
+        part = fit(data, spec).coefficients.filter("feature <> 'intercept'").select(F.lit(alpha).alias("alpha"), "feature", digits.alias("value"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _dear(spark, sf_dir):
     """Lines with a 0/1 mark for a high price per unit, the bar rising with the line number."""
     price = F.col("l_extendedprice") / F.col("l_quantity")
@@ -369,3 +398,33 @@ def rf_regress(spark, sf_dir):
     spec = ModelSpec("rf_regression", "l_extendedprice", _BY_LINE, n_estimators=1, resample=False)
     fitted = fit(_lines(spark, sf_dir), spec).predictions
     return fitted.groupBy(F.round("y_hat", 2).alias("y_hat")).agg(F.count(F.lit(1)).alias("n"))
+
+
+_FOREST = (("l_linenumber", "continuous"), ("l_quantity", "continuous"), ("l_returnflag", "categorical"))
+
+
+@query(
+    "rf_many_trees",
+    """with n as (select count(*)::double as n from lineitem), m as (select unnest(['rf_classification', 'rf_regression']) as model)
+    select model, 'rows' as measure, n as value from m, n union all select model, 'trees', 20.0 from m
+    union all select model, 'importance', 1.0 from m union all select model, 'negative_importances', 0.0 from m
+    union all select model, 'beats_a_constant', 1.0 from m""",
+)
+def rf_many_trees(spark, sf_dir):
+    """Resampled forests have no closed form; these must hold of any: a
+    prediction for every row, importances that are shares, and a smaller error
+    than the best constant's."""
+    out = None
+    for model, y in (("rf_classification", "dear"), ("rf_regression", "l_extendedprice")):
+        result = fit(_dear(spark, sf_dir), ModelSpec(model, y, _FOREST, n_estimators=20, max_depth=8))
+        error = F.avg(F.pow(F.col("y") - F.col("y_hat"), 2))
+        constant = F.least(F.avg("y"), 1 - F.avg("y")) if model == "rf_classification" else F.var_pop("y")
+        seen = result.predictions.agg(F.count(F.lit(1)).cast("double").alias("rows"), (error < constant).cast("double").alias("beats_a_constant"))
+        shares = result.coefficients.agg(
+            F.round(F.sum("value"), 6).alias("importance"), F.count(F.when(F.col("value") < 0, 1)).cast("double").alias("negative_importances")
+        )
+        trees = result.summary.filter("stat = 'trees'").select(F.lit("trees").alias("measure"), "value")
+        for part in (seen.unpivot([], seen.columns, "measure", "value"), shares.unpivot([], shares.columns, "measure", "value"), trees):
+            row = part.select(F.lit(model).alias("model"), "measure", "value")
+            out = row if out is None else out.unionByName(row)
+    return out
