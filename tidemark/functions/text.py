@@ -38,8 +38,9 @@ def strip(text: Column) -> Column:
 
 
 def drop_brackets(text: Column, bracket: str = "[]") -> Column:
-    """Remove notes, shortest match first, also across line ends."""
-    return F.regexp_replace(text, BRACKETS[bracket], "")
+    """Remove notes, shortest match first, also across line ends. Text without
+    an opening bracket is told by a byte search."""
+    return F.when(text.contains(bracket[0]), F.regexp_replace(text, BRACKETS[bracket], "")).otherwise(text)
 
 
 def split_lines(text: Column) -> Column:
