@@ -48,7 +48,8 @@ def split_lines(text: Column) -> Column:
     marked = F.translate(
         F.replace(text, F.lit("\r\n"), F.lit("\n")), LINE_END_CHARS, "\n" * len(LINE_END_CHARS)
     )
-    whole = F.when(marked.endswith("\n"), F.left(marked, F.length(marked) - 1)).otherwise(marked)
+    # a lambda names the mapped text, which is then computed once
+    whole = F.transform(F.array(marked), lambda m: F.when(m.endswith("\n"), F.left(m, F.length(m) - 1)).otherwise(m))[0]
     return F.split(whole, "\n")
 
 
