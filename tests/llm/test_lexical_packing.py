@@ -8,7 +8,11 @@ import numpy as np
 from texts import awkward, frame, prose
 
 from tidemark.llm import lexical_packing
+from tidemark.llm.queries import QUERIES
 from tidemark.llm.word_tokenizer import WordTokenizer
+from tools.check_queries import duck
+
+SF_DIR = "/root/testdata/sf0.001"
 
 
 def topical(rng, n, topics=6):
@@ -113,5 +117,12 @@ def test_ids_can_be_kept(spark):
         assert sum((p for _, p in sorted(whole[key].items())), []) == ids
 
 
+def test_query_on_all_documents(spark):
+    got = QUERIES["op13_lexical_packing"](spark, SF_DIR).collect()
+    data = duck(SF_DIR).sql("select doc_id, text from documents").fetchall()
+    padding, places = check_pieces(got, data, 2048)
+    assert padding == 0 and len(places) > 10
+
+
 def test_packing_of_an_empty_table(spark):
     assert lexical_packing.pack_documents(frame(spark, [])).count() == 0
