@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tidemark.contracts import OBJECTIVE_LAYOUTS, CsvSpec, layout_from_ranges
 from tidemark.functions import dates
 from tidemark.operators import models, reports, stats
-from tidemark.session import scratch_dir, settle
+from tidemark.session import release, scratch_dir, settle, stored_copies
 from tidemark.sinks import ledger, writers
 from tidemark.sources import dimensions, listing, readers
 from tidemark.streaming import jobs
@@ -35,6 +35,16 @@ def test_scratch_lies_under_the_checkpoint_setting(spark):
     assert settle(spark.range(3)).count() == 3
 
 
+def test_stored_copies_can_go(spark):
+    before = stored_copies()
+    kept = [settle(spark.range(n), "kept") for n in (1, 2, 3)]
+    release(spark, since=before, keep=1)
+    assert stored_copies() == before + 1 and kept[2].count() == 3
+    assert not Path(kept[0].inputFiles()[0].removeprefix("file://")).exists()
+    release(spark, since=before)
+    assert stored_copies() == before
+
+
 def test_csv_options(spark, tmp_path):
     put(tmp_path, "t.tsv", "id\tday\tname\n# note\n 1 \t2024-01-02\t\"a\tb\"\n2\t\tx\n")
     spec = CsvSpec(sep="\t", header=True, null_value="", date_format="yyyy-MM-dd", comment="#", trim=True)

@@ -61,14 +61,21 @@ def scratch_dir(spark: SparkSession, label: str = "work") -> str:
     return path
 
 
-def release(spark: SparkSession) -> None:
-    """Delete every stored copy this process has made; call it when all
-    results are written."""
+def stored_copies() -> int:
+    """How many stored copies this process holds."""
+    return len(_MADE)
+
+
+def release(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Delete the stored copies this process has made, except the first
+    ``since`` and the last ``keep``; call it when what reads them is written."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _MADE:
-        path = hadoop(_MADE.pop())
+    doomed = slice(since, len(_MADE) - keep)
+    for name in _MADE[doomed]:
+        path = hadoop(name)
         path.getFileSystem(conf).delete(path, True)
+    del _MADE[doomed]
 
 
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:
