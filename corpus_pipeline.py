@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, minhash, packing, templates, toxicity
-from tidemark.session import settle
+from tidemark.session import release, settle, stored_copies
 
 #: The stages run Python on whole texts, so no SQL gives these rows.
 ORACLE_SQL = None
@@ -55,8 +55,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``, each on what the one before stored."""
+    """Apply the stages to ``documents``, each on what the one before stored. The
+    tables that a stage has stored on its way go when its result is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = stored_copies()
     for name, stage in STAGES:
         docs = settle(stage(spark, docs, sf_dir), name)
+        release(spark, since=before, keep=1)
     return docs
