@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.columns import free_name
 from tidemark.llm.components import merge_roots
 from tidemark.llm.words import Words, long_array, mix, pieces, runs
 from tidemark.session import settle
@@ -271,13 +272,13 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """``df`` with one row of each component, all columns as they are; of rows
-    that repeat a key and text one stays. Rows without a word or key all stay.
-    Names that begin with two underscores are reserved."""
+    that repeat a key and text one stays. Rows without a word or key all stay."""
     found = near_duplicates(df, key, text, percent).filter((F.col("n_shingles") > 0) & F.col(key).isNotNull())
     first = found.groupBy("component").agg(F.min(F.struct(F.col(key).alias("k"), F.col("text_hash").alias("h"))).alias("x"))
-    chosen = first.select(F.col("x.k").alias("__k"), F.col("x.h").alias("__h"))
-    hashed = df.withColumn("__text_hash", F.xxhash64(text))
-    same = (F.col(key) == F.col("__k")) & (F.col("__text_hash") == F.col("__h"))
-    kept = hashed.join(chosen, same, "left_semi").dropDuplicates([key, "__text_hash"]).drop("__text_hash")
+    own, k, h = (free_name(df, n) for n in ("own_hash", "chosen_key", "chosen_hash"))
+    chosen = first.select(F.col("x.k").alias(k), F.col("x.h").alias(h))
+    hashed = df.withColumn(own, F.xxhash64(text))
+    same = (F.col(key) == F.col(k)) & (F.col(own) == F.col(h))
+    kept = hashed.join(chosen, same, "left_semi").dropDuplicates([key, own]).drop(own)
     worded = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     return kept.unionByName(df.filter(F.col(key).isNull() | ~worded))
