@@ -229,7 +229,9 @@ def repeated_passages(df: DataFrame, key: str = "doc_id", text: str = "text") ->
     # the smallest key of a text and the number of its rows, from narrow rows
     texts = settle(docs.groupBy("tid").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("copies")), "texts")
     halves = hashes.select("tid", F.explode("halves").alias("half"))
-    known = halves.groupBy("half").agg(F.min("tid").alias("t0"), F.max("tid").alias("t1")).filter("t0 <> t1").select("half")
+    # stored, so that the join has a plain shuffle on both sides and a half of very
+    # many texts is split
+    known = settle(halves.groupBy("half").agg(F.min("tid").alias("t0"), F.max("tid").alias("t1")).filter("t0 <> t1").select("half"), "halves")
     wanted = halves.join(known, "half").groupBy("tid").agg(F.collect_set("half").alias("halves"))
     wanted = wanted.join(texts.select("tid", "rep"), "tid")
     chosen = docs.join(wanted, "tid").filter(F.col("key").eqNullSafe(F.col("rep"))).select("tid", "text", "halves")
