@@ -327,3 +327,19 @@ def test_pipeline_stages_keep_clean_documents(spark, tmp_path):
     lost = {d for d, t, *_ in data if d < 300 and d not in truth} - set(left) - {source}
     assert len(lost) <= 2
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, sf).collect()} == set(left)
+
+
+def test_a_record_is_read_by_its_offset(spark, tmp_path):
+    rng = random.Random(5)
+    pages_ = [(i, f"http://s{i % 3}.example.org?p={i}", prose(rng, 30) if i % 4 else "same") for i in range(40)]
+    df = spark.createDataFrame(pages_, "page_id long, url string, html string")
+    index = {r["page_id"]: r for r in warc.archive_pages(df, str(tmp_path / "w"), compression="none").collect()}
+    for i, url, html in pages_:
+        with open(index[i]["archive"].removeprefix("file:"), "rb") as f:
+            f.seek(index[i]["at"])
+            head, block = warc.record_at(f.read())
+        assert (head["warc-target-uri"], head["warc-type"]) == (url, index[i]["record_type"])
+        if head["warc-type"] == "response":
+            assert block.partition(b"\r\n\r\n")[2].decode() == html
+    packed = warc.archive_pages(df).drop("archive").collect()
+    assert sorted(map(tuple, packed)) == sorted(tuple(r[c] for c in packed[0].__fields__) for r in index.values())

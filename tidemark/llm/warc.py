@@ -102,14 +102,21 @@ def record_text(captured: Column) -> Column:
     return F.concat(head, http, F.when(revisit, "").otherwise(F.col("payload")))
 
 
-def write_archives(pages: DataFrame, path: str, captured: Column | None = None, per_file: int = RECORDS_PER_FILE, **columns: str) -> None:
+def write_archives(
+    pages: DataFrame, path: str, captured: Column | None = None, per_file: int = RECORDS_PER_FILE, compression: str = "gzip", **columns: str
+) -> None:
     """Write one record per page. Without a time column the time of a record is
-    its page id in seconds since the year 2020, so that archives are repeatable."""
+    its page id in seconds since the year 2020, so that archives are repeatable.
+
+    A compressed archive is one stream, which is read from its start; with
+    ``compression="none"`` the offsets of the index lead straight to a record.
+    ``per_file`` bounds the records of an archive, which is read as one value:
+    lower it for pages of many megabytes."""
     planned = plan_records(pages, **columns)
     if captured is None:
         captured = F.timestamp_seconds(F.lit(1577836800) + F.coalesce("page_id", F.lit(0)))
     text = planned.select(record_text(captured).alias("value"))
-    text.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
+    text.write.option("lineSep", END).option("compression", compression).option("maxRecordsPerFile", per_file).text(path)
 
 
 _FIELD = re.compile(rb"^([^:\r\n]+):[ \t]*([^\r\n]*)\r?$", re.M)
@@ -148,13 +155,14 @@ def _page(record_id: str) -> int | None:
 def index_runs(spark: SparkSession, path: str) -> DataFrame:
     """One sorted run of captures per archive; payloads are checked against
     their digests on the way. Archives are small, so each is one value."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 rows = []
-                for at, head, block in parse_archive(gzip.decompress(content.as_py())):
+                data = content.as_py()
+                for at, head, block in parse_archive(gzip.decompress(data) if name.endswith(".gz") else data):
                     http, _, body = block.partition(b"\r\n\r\n")
                     size = int(dict((k.lower(), v) for k, v in _FIELD.findall(http))[b"content-length"])
                     digest = head["warc-payload-digest"].removeprefix("sha1:")
@@ -246,12 +254,19 @@ def merge_runs(runs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     return ranged.mapInArrow(run, INDEX)
 
 
-def archive_pages(pages: DataFrame, path: str | None = None, **columns: str) -> DataFrame:
+def record_at(data: bytes) -> tuple[dict[str, str], bytes]:
+    """(headers, block) of the record that ``data``, read from an uncompressed
+    archive at an offset of the index, begins with."""
+    _, head, block = next(parse_archive(data))
+    return head, block
+
+
+def archive_pages(pages: DataFrame, path: str | None = None, compression: str = "gzip", **columns: str) -> DataFrame:
     """Write the archives, read them back and return the merged index; it is
     stored under ``path`` as files in global order."""
     spark = pages.sparkSession
     path = path or scratch_dir(spark, "warc")
-    write_archives(pages, f"{path}/archives", **columns)
+    write_archives(pages, f"{path}/archives", compression=compression, **columns)
     runs_path, index_path = f"{path}/runs", f"{path}/index"
     index_runs(spark, f"{path}/archives").write.parquet(runs_path)
     merge_runs(spark.read.schema(INDEX).parquet(runs_path)).write.parquet(index_path)
