@@ -203,7 +203,7 @@ def plain_templates(data, least):
     classes of near copies (80 % of the five-word shingles)."""
     texts = sorted({t for _, t, *_ in data if t is not None})
     split = lambda t: re.findall(r"[^\x20\x09-\x0D]+", t)
-    grams = [{tuple(split(t)[i : i + 5]) for i in range(len(split(t)) - 4)} for t in texts]
+    grams = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(split, texts)]
     root = list(range(len(texts)))
 
     def find(i):
