@@ -278,7 +278,7 @@ NAMES = ["Maria Keller", "Tom Oak", "Lin Wu", "Abel Ruiz"]
         "Page {n} of {n}",
         "Posted by {first} in news",
         "Call us {n} times or write to {first} at the desk",
-        "user {first} logged in from {n} and went on to the {first} page of it",
+        "a user {first} logged in from {n} and went on to the {first} page of it",
     ],
 )
 def test_templates_with_variable_fields(spark, notice):
