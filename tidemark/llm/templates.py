@@ -40,6 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.columns import free_name
 from tidemark.llm.components import connected
 from tidemark.llm.words import BY_CASE, Words, long_array, mix, pieces
 from tidemark.session import settle
@@ -194,14 +195,17 @@ def recurring_lines(df: DataFrame, text: str, min_docs: int = MIN_DOCS) -> DataF
     """(tid, drop): numbers of the lines with a recurring template, by text."""
     keyed = settle(_keyed(df, text), "line_keys")
     often = keyed.select(F.explode(F.array_distinct("leaves")).alias("leaf")).groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
-    often = often.filter(F.col("n") >= min_docs).select("leaf")
+    # such keys are stored, so that their joins have a plain shuffle on both sides
+    # and a key of very many lines is split
+    often = settle(often.filter(F.col("n") >= min_docs).select("leaf"), "leaves")
     lines = keyed.select("tid", F.explode(F.arrays_zip("leaves", "lines", "keys")).alias("x"))
     lines = lines.select("tid", F.col("x.leaves").alias("leaf"), F.col("x.lines").alias("line"), F.col("x.keys").alias("keys"))
     inside = lines.join(often, "leaf").select("tid", "line", F.explode("keys").alias("key"))
     # copies of a text in several tasks are one from here on
     inside = settle(inside.distinct(), "leaf_lines")
     shared = inside.select("tid", "key").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    hits = settle(inside.join(shared.filter(F.col("n") >= min_docs).select("key"), "key"), "line_hits")
+    shared = settle(shared.filter(F.col("n") >= min_docs).select("key"), "shared_keys")
+    hits = settle(inside.join(shared, "key"), "line_hits")
     # a class only counts documents, so a 64-bit name does for it
     name = F.xxhash64("tid").alias("g")
     texts = keyed.filter("sketch is not null").join(hits.select("tid").distinct(), "tid", "left_semi")
@@ -209,21 +213,14 @@ def recurring_lines(df: DataFrame, text: str, min_docs: int = MIN_DOCS) -> DataF
     classes = copy_classes(texts).select(F.col("node").alias("g"), "root")
     stands = hits.select("key", name).distinct().join(classes, "g", "left").select("key", F.coalesce("root", "g").alias("class")).distinct()
     known = stands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs).select("key")
+    known = settle(known, "recurring_keys")
     return hits.join(known, "key").groupBy("tid").agg(F.sort_array(F.collect_set("line")).alias("drop"))
 
 
-def _free(df: DataFrame, name: str) -> str:
-    """A column name that ``df`` does not have."""
-    have = {c.lower() for c in df.columns}
-    while name in have:
-        name += "_"
-    return name
-
-
 def drop_templates(df: DataFrame, text: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
     """``df`` without recurring lines, plus n_lines and n_dropped (which replace
     columns of that name)."""
-    tid, drop = _free(df, "text_id"), _free(df, "drop_lines")
+    tid, drop = free_name(df, "text_id"), free_name(df, "drop_lines")
     found = recurring_lines(df, text, min_docs).select(F.col("tid").alias(tid), F.col("drop").alias(drop))
     joined = df.withColumn(tid, _tid(F.col(text))).join(found, tid, "left")
     lines = F.split(F.col(text), "\n")
