@@ -67,6 +67,15 @@ def test_only_passing_files_are_written(spark, tmp_path):
     assert rows(spark.read.text(str(tmp_path / "out"))) == [("a~5", "g"), ("b~007~x", "g")]
 
 
+def test_a_small_file_is_written_by_one_task_and_a_large_one_by_several(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(quality, "FILE_ROWS", 100)
+    df = spark.range(0, 1500, 1, 6).selectExpr("if(id % 3 = 0, 'big', concat('f', id % 10)) as file", "concat('k~', id) as r")
+    quality.write_passing_files(df, quality.pad_checksum(df, "file", "r", 6, "~"), "file", str(tmp_path / "out"))
+    parts = {d.name: len(list(d.glob("part-*"))) for d in (tmp_path / "out").glob("file=*")}
+    assert parts.pop("file=big") > 1 and parts == {f"file=f{i}": 1 for i in range(10)}
+    assert rows(spark.read.text(str(tmp_path / "out"))) == rows(df.select("r", "file"))
+
+
 def test_whole_numbers_of_any_length(spark):
     df = spark.createDataFrame([("0" * 30 + "42",), ("9" * 30,), ("+7",), ("1 2",)], "n string")
     assert [r.n for r in cast_columns(df, {"n": "bigint"}).collect()] == [42, None, 7, None]

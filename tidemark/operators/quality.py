@@ -11,8 +11,11 @@ from tidemark.contracts import TableContract
 from tidemark.functions.text import split_fields, strip, whole_number, zero_pad
 from tidemark.operators.numbering import number_rows
 from tidemark.operators.shape import WHOLE_TYPES
+from tidemark.session import settle
 
 LIMB = 9
+#: Records that one written file should hold.
+FILE_ROWS = 1_000_000
 
 
 def dq_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -231,6 +234,18 @@ def passing_files(checksum: DataFrame, by: str) -> DataFrame:
 
 def write_passing_files(records: DataFrame, checksum: DataFrame, by: str, path: str, fmt: str = "text", **options: str) -> None:
     """Write the records of files all of whose column sums match, and no others,
-    one folder per file. ``checksum`` has a few rows per file."""
-    good = records.join(passing_files(checksum, by), by, "left_semi")
-    good.write.mode("overwrite").options(**options).partitionBy(by).format(fmt).save(path)
+    one folder per file. ``checksum`` has a few rows per file.
+
+    Making a file costs far more than a small file's records, so all records of
+    a file go to one task, which makes one file of them; only those of more than
+    ``FILE_ROWS`` records are dealt over several. The tasks move their folders
+    into place themselves, not the driver one by one at the end.
+    """
+    sizes = records.groupBy(by).agg(F.count(F.lit(1)).alias("_rows"))
+    good = settle(passing_files(checksum, by).join(sizes, by), "passing")
+    total = good.agg(F.sum("_rows")).first()[0] or 0
+    tasks = max(records.sparkSession.sparkContext.defaultParallelism, -(-total // FILE_ROWS))
+    split = F.pmod(F.xxhash64(*records.columns), F.ceil(F.col("_rows") / FILE_ROWS))
+    dealt = records.join(good, by).repartition(tasks, by, split).select(*records.columns)
+    moved = {"mapreduce.fileoutputcommitter.algorithm.version": "2", **options}
+    dealt.write.mode("overwrite").options(**moved).partitionBy(by).format(fmt).save(path)
