@@ -401,6 +401,35 @@ def test_forests_learn_in_sample(sample, model, y):
         assert stats.regression_metrics(result.predictions).first().r2 > 0.7
 
 
+@pytest.mark.parametrize("model,y", [("rf_classification", "k"), ("rf_regression", "y")])
+def test_forests_on_rows_that_share_points_grow_on_points(spark, monkeypatch, model, y):
+    cells = spark.range(4000).selectExpr("id % 2 as odd", "cast(sqrt(id) as int) % 15 as c")  # of unequal size, so no splits tie
+    df = cells.selectExpr("cast(c % 5 as double) as a", "cast(c % 3 as string) as g", "c * c % 11 * 10.0 + c + odd as y", "cast(c * c % 7 % 3 + odd as double) as k")
+    spec = models.ModelSpec(model, y, (("a", "continuous"), ("g", "categorical")), n_estimators=1, resample=False)
+    many = models.ModelSpec(model, y, spec.x, n_estimators=6, max_depth=8)
+    plain = models.fit(df, spec)
+    monkeypatch.setattr(models, "FOLD_ROWS", 4000)
+    seen = []
+    keep = models._folded_forest
+    monkeypatch.setattr(models, "_folded_forest", lambda *a: seen.append(1) or keep(*a))
+    folded, forest = models.fit(df, spec), models.fit(df, many)
+    assert len(seen) == 2
+
+    def counts(result):
+        cells = [F.round(c, 9).alias(c) for c in result.predictions.columns]
+        return rows(result.predictions.groupBy(*cells).count())
+
+    assert counts(folded) == counts(plain)
+    shares = [[r.value for r in x.coefficients.orderBy("feature").collect()] for x in (folded, plain)]
+    assert shares[0] == pytest.approx(shares[1])
+    assert forest.predictions.count() == 4000 and forest.predictions.columns == plain.predictions.columns
+    error, constant = forest.predictions.agg(F.avg(F.pow(F.col("y") - F.col("y_hat"), 2)), F.var_pop("y")).first()
+    assert error < constant or model == "rf_classification"
+    n = models._poisson(F.col("u"))
+    drawn = spark.range(100_000).withColumn("u", F.rand(1)).agg(F.avg(n), F.var_pop(n)).first()
+    assert all(abs(x - 1) < 0.03 for x in drawn)
+
+
 def test_forest_on_text_classes(sample):
     named = sample.withColumn("word", F.when(F.col("hit") == 1, "yes").otherwise("no"))
     result = models.fit(named, models.ModelSpec("rf_classification", "word", (("a", "continuous"), ("b", "continuous")), n_estimators=5))

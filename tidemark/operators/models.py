@@ -7,13 +7,18 @@ one per feature, reach the driver.
 from __future__ import annotations
 
 import datetime as dt
+import math
 from dataclasses import dataclass, field
+from itertools import accumulate
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.stats import filter_range
@@ -21,6 +26,9 @@ from tidemark.session import settle
 
 MODELS = ("linear", "logistic", "probit", "lasso", "rf_classification", "rf_regression")
 SEED = 42
+#: Forests on so many rows, but at most so many points, grow on points with weights.
+FOLD_ROWS, FOLD_POINTS = 1_000_000, 100_000
+GROW_AT_ONCE = 8
 
 
 @dataclass(frozen=True)
@@ -251,10 +259,81 @@ def _lasso(data: DataFrame, features: list[str], alpha: float, max_iter: int) ->
 def _forest(data: DataFrame, features: list[str], spec: ModelSpec) -> Fit:
     kind = RandomForestClassifier if spec.model == "rf_classification" else RandomForestRegressor
     trees = spec.n_estimators
-    model = kind(numTrees=trees, maxDepth=spec.max_depth, maxBins=spec.max_bins, bootstrap=spec.resample, seed=SEED).fit(data)
-    rows = [(f, float(v)) for f, v in zip(features, model.featureImportances.toArray())]
+    if _repeats(data, spec):
+        importances, predictions = _folded_forest(data, spec, kind)
+    else:
+        model = kind(numTrees=trees, maxDepth=spec.max_depth, maxBins=spec.max_bins, bootstrap=spec.resample, seed=SEED).fit(data)
+        importances, predictions = model.featureImportances.toArray(), _score(model, data)
+    rows = [(f, float(v)) for f, v in zip(features, importances)]
     summary = _table(data, [_stat("trees", trees), _stat("features", len(features))], "stat string, value double")
-    return Fit(_table(data, rows, "feature string, value double"), summary, _score(model, data), features)
+    return Fit(_table(data, rows, "feature string, value double"), summary, predictions, features)
+
+
+def _repeats(data: DataFrame, spec: ModelSpec) -> bool:
+    """Whether many rows share few points, as estimated to some percent."""
+    point = ["label", "features"] if spec.model == "rf_classification" else ["features"]
+    rows, points = data.agg(F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64(*point))).first()
+    return rows >= FOLD_ROWS and points <= min(FOLD_POINTS, rows // 10)
+
+
+def _poisson(u: Column) -> Column:
+    """How often a row is drawn for a tree: a Poisson number of mean 1, from a
+    uniform one."""
+    ends = list(accumulate(math.exp(-1) / math.factorial(k) for k in range(18)))
+    drawn = F.when(u < ends[0], 0)
+    for k, end in enumerate(ends[1:], start=1):
+        drawn = drawn.when(u < end, k)
+    return drawn.otherwise(len(ends))
+
+
+def _folded_forest(data: DataFrame, spec: ModelSpec, kind: type) -> tuple[np.ndarray, DataFrame]:
+    """A forest on rows that share few points: (importances, predictions).
+
+    A tree only sees how many rows of a point were drawn and, in regression, the
+    mean of their labels: no split parts a point, so the rest of their variance is
+    the same for every split. One pass draws each row for each tree and sums up
+    the points; every tree then grows on points with weights, and each is scored
+    once a point.
+    """
+    by_class, trees = spec.model == "rf_classification", spec.n_estimators
+    numbers = range(trees if spec.resample else 1)
+    chances = data.withColumns({f"_u{t}": F.rand(SEED + 1_000_003 * (t + 1)) for t in numbers}) if spec.resample else data
+    counts = {t: _poisson(F.col(f"_u{t}")) if spec.resample else F.lit(1) for t in numbers}
+    sums = [F.sum(n).cast("double").alias(f"_w{t}") for t, n in counts.items()]
+    if not by_class:
+        sums += [F.sum(n * F.col("label")).alias(f"_y{t}") for t, n in counts.items()]
+    points = settle(chances.groupBy("features", *["label"] * by_class).agg(*sums), "points").coalesce(1)
+    classes = int(points.agg(F.max("label")).first()[0]) + 1 if by_class else 0
+    nominal = {"ml_attr": {"type": "nominal", "num_vals": classes}}
+    subset = "all" if trees == 1 else "sqrt" if by_class else "onethird"
+
+    def grow(t: int):
+        drawn = t if spec.resample else 0
+        label = F.col("label").alias("label", metadata=nominal) if by_class else (F.col(f"_y{drawn}") / F.col(f"_w{drawn}")).alias("label")
+        seen = points.filter(F.col(f"_w{drawn}") > 0).select("features", label, F.col(f"_w{drawn}").alias("_w"))
+        tree = kind(numTrees=1, maxDepth=spec.max_depth, maxBins=spec.max_bins, bootstrap=False, featureSubsetStrategy=subset, weightCol="_w", seed=SEED + t)
+        return tree.fit(seen)
+
+    with ThreadPool(min(trees, GROW_AT_ONCE)) as pool:
+        grown = pool.map(inheritable_thread_target(points.sparkSession)(grow), range(trees))
+    importances = sum(m.featureImportances.toArray() for m in grown)
+    scored = points.select("features").distinct()
+    for t, m in enumerate(grown):
+        if by_class:
+            m.setRawPredictionCol("").setPredictionCol("").setProbabilityCol("_q")
+            scored = m.transform(scored).withColumn(f"_p{t}", vector_to_array("_q")).drop("_q")
+        else:
+            scored = m.setPredictionCol(f"_p{t}").transform(scored)
+    mean = [F.expr("+".join(f"_p{t}{at}" for t in range(trees))) / trees for at in ([f"[{k}]" for k in range(classes)] or [""])]
+    if by_class:
+        votes = scored.select("features", F.array(*mean).alias("_votes"))
+        best = (F.array_position("_votes", F.array_max("_votes")) - 1).cast("double")
+        scored = votes.select("features", best.alias("y_hat"), *[F.col("_votes")[1].alias("probability")] * (classes > 1))
+    else:
+        scored = scored.select("features", mean[0].alias("y_hat"))
+    scored = settle(scored, "scored")  # at most ``FOLD_POINTS`` rows
+    predictions = data.join(F.broadcast(scored), "features").select(F.col("label").alias("y"), *scored.columns[1:])
+    return importances / (importances.sum() or 1.0), predictions
 
 
 def _score(model, data: DataFrame) -> DataFrame:
