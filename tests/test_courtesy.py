@@ -90,6 +90,24 @@ def test_history_credits_first_then_last_dealer(spark):
     ]
 
 
+def test_history_computes_its_events_once_and_has_no_copies(spark):
+    data = [("v1", D(2021, 7, i), None if i % 3 else 10, D(2021, 7, i + j), None if i % 2 else "A", 10, "N") for i in range(1, 9) for j in (1, 3)]
+    out = courtesy.ctp_historical(oos(spark, data), deliveries(spark), D(2021, 12, 31))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("Aggregate") == 2  # the first event of a vehicle, used twice
+    assert out.count() == out.distinct().count() == 8
+
+
+def test_combined_knows_the_dealers_of_the_day_before(spark):
+    events = oos(spark, [("v1", D(2021, 7, 2), 10, D(2021, 7, 5), "A", 10, "N"), ("v1", D(2021, 7, 1), 20, D(2021, 7, 4), "A", 20, "N")])
+    day = D(2021, 7, 5)
+    both = courtesy.ctp_combined(events, deliveries(spark).filter("biz_assoc_id < 9"), day)
+    assert sorted((r.File_Dt, r.Biz_Assoc_Id) for r in both.collect()) == [(D(2021, 7, 4), 7), (D(2021, 7, 5), 8)]
+    late = deliveries(spark).withColumn("orig_proc_dt", F.when(F.col("biz_assoc_id") == 8, D(2021, 7, 5)).otherwise(F.col("orig_proc_dt")))
+    both = courtesy.ctp_combined(events, late, day)
+    assert sorted((r.File_Dt, r.Biz_Assoc_Id) for r in both.collect()) == [(D(2021, 7, 4), 7), (D(2021, 7, 5), 7)]
+
+
 def test_not_in_modes(spark):
     probe = spark.createDataFrame([(1,), (2,), (None,)], "k int")
     listed = spark.createDataFrame([(1,), (None,)], "k int")

@@ -19,6 +19,7 @@ from tidemark.functions.dates import as_date
 from tidemark.operators.dedupe import dedupe, first_seen_on
 from tidemark.operators.numbering import number_rows
 from tidemark.operators.shape import audit_columns, label_codes
+from tidemark.session import settle
 
 # Selling-source codes and labels, KPI types, program start.
 BRANDS = {11: "Buick", 12: "Cadillac", 13: "Chevrolet", 48: "GMC"}
@@ -52,7 +53,10 @@ def dealer_sequence(deliveries: DataFrame, **kwargs) -> DataFrame:
     """First and last dealer of each vehicle, one row per vehicle:
     (veh_id_nbr, first_dealer struct, last_dealer struct). Ties on the date
     go to the dealer number and the other columns."""
-    seen = program_deliveries(deliveries, **kwargs)
+    return _sequence(program_deliveries(deliveries, **kwargs))
+
+
+def _sequence(seen: DataFrame) -> DataFrame:
     return seen.groupBy("veh_id_nbr").agg(
         F.min(F.struct(*DEALER)).alias("first_dealer"), F.max(F.struct(*DEALER)).alias("last_dealer")
     )
@@ -86,12 +90,17 @@ def ctp_historical(
     its last dealer, except those that repeat the first event's dealer or out
     date on the same file date. Rows without those values are left out.
     """
-    dealers = dealer_sequence(deliveries, first_year=first_year).withColumnRenamed("veh_id_nbr", "vin")
+    return _historical(oos, program_deliveries(deliveries, first_year=first_year), as_of)
+
+
+def _historical(oos: DataFrame, seen: DataFrame, as_of: dt.date) -> DataFrame:
+    dealers = _sequence(seen).withColumnRenamed("veh_id_nbr", "vin")
     newest = dedupe(oos, NATURAL_KEY, "todaydate", keep="last")
     due = newest.filter(F.col("todaydate") <= as_date(as_of - dt.timedelta(days=1)))
     # One row per vehicle on the right: a vehicle with very many events is split
-    # by adaptive execution, also where an aggregate on the vehicle follows.
-    events = due.join(dealers, "vin")
+    # by adaptive execution, also where an aggregate on the vehicle follows. The
+    # joined events are stored, as they are read for the first dealer and the last.
+    events = settle(due.join(dealers, "vin"), "credited")
     incoming = _credited(events, "first_dealer")
     ranked = [c for c in incoming.columns if c not in ("veh_id_nbr", "file_dt")]
     first = (
@@ -117,7 +126,9 @@ def ctp_historical(
         lambda a, b: a & b, [F.col(c).isNotNull() for c in ("veh_id_nbr", "biz_assoc_id", "file_dt", "out_svc_dt")]
     )
     later = outgoing.filter(comparable & ~repeats).select(*incoming.columns)
-    return first.unionByName(later).distinct()
+    # An event keeps its natural key, of which there is one row, and the first
+    # event does not come again among the later: no two rows are equal.
+    return first.unionByName(later)
 
 
 def ctp_incremental(
@@ -125,11 +136,14 @@ def ctp_incremental(
 ) -> DataFrame:
     """Events first reported on ``as_of``, credited to the last dealer known
     the day before."""
-    dealers = dealer_sequence(
-        deliveries, first_year=first_year, until=as_of - dt.timedelta(days=1)
-    ).withColumnRenamed("veh_id_nbr", "vin")
+    until = as_of - dt.timedelta(days=1)
+    return _incremental(oos, program_deliveries(deliveries, first_year=first_year, until=until), as_of)
+
+
+def _incremental(oos: DataFrame, seen: DataFrame, as_of: dt.date) -> DataFrame:
+    dealers = _sequence(seen).withColumnRenamed("veh_id_nbr", "vin")
     fresh = first_seen_on(oos, NATURAL_KEY, "todaydate", as_date(as_of))
-    return _credited(fresh.join(dealers, "vin"), "last_dealer").distinct()
+    return _credited(fresh.join(dealers, "vin"), "last_dealer")
 
 
 def ctp_combined(
@@ -142,9 +156,11 @@ def ctp_combined(
 ) -> DataFrame:
     """History and the day's increment as the courtesy target table."""
     run_ts = run_ts or dt.datetime.combine(as_of, dt.time())
-    rows = ctp_historical(oos, deliveries, as_of, first_year).unionByName(
-        ctp_incremental(oos, deliveries, as_of, first_year)
-    )
+    # A dealer's first processing is the same row whatever comes later, so what
+    # was known the day before is a part of the stored processings.
+    seen = settle(program_deliveries(deliveries, first_year=first_year), "processings")
+    known = seen.filter(F.col("orig_proc_dt") <= as_date(as_of - dt.timedelta(days=1)))
+    rows = _historical(oos, seen, as_of).unionByName(_incremental(oos, known, as_of))
     named = rows.select(*[F.col(c).alias(c.title()) for c in rows.columns])
     return COURTESY_TARGET.apply(
         audit_columns(named, ["Veh_Id_Nbr", "File_Dt", "Out_Svc_Dt"], SOURCE, job_id, run_ts)
