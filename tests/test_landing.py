@@ -184,6 +184,16 @@ def test_verify_sees_duplicate_drift(spark):
     assert writers.differences(df, df.distinct()).count() == 1
 
 
+def test_copies_are_verified_against_a_source_that_moves_once(spark, tmp_path):
+    df = spark.range(10).selectExpr("id % 4 as id", "cast(null as string) as v")
+    paths = {n: str(tmp_path / n) for n in ("same", "fewer", "more", "none")}
+    for n, copy in zip(paths, (df, df.filter("id <> 1"), df.union(df.limit(1)), df.limit(0))):
+        copy.write.parquet(paths[n])
+    found = writers.verify_copies(df, paths)
+    assert rows(found) == sorted([("fewer", 10, 7, 3, 0, False), ("more", 10, 11, 0, 1, False), ("none", 10, 0, 10, 0, False), ("same", 10, 10, 0, 0, True)])
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
+
+
 def test_tables_and_partitioned_csv(spark):
     name = "t_tidemark_test"
     spark.sql(f"drop table if exists {name}")

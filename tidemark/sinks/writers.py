@@ -145,21 +145,42 @@ def stage_then_load(
 
 def verify_written(df: DataFrame, path: str) -> DataFrame:
     """Compare ``df`` with what is stored at ``path``, counting duplicates:
-    one row (source_rows, stored_rows, missing_rows, extra_rows, passed).
-
-    Rows of both sides are counted per value in one aggregate."""
-    stored = df.sparkSession.read.schema(df.schema).parquet(path)
-    sides = df.withColumns({"_s": F.lit(1), "_t": F.lit(0)}).unionByName(
-        stored.withColumns({"_s": F.lit(0), "_t": F.lit(1)})
-    )
-    counted = sides.groupBy(*df.columns).agg(F.sum("_s").alias("_s"), F.sum("_t").alias("_t"))
-    zero = F.lit(0)
-    return counted.agg(
-        F.coalesce(F.sum("_s"), zero).alias("source_rows"),
-        F.coalesce(F.sum("_t"), zero).alias("stored_rows"),
-        F.coalesce(F.sum(F.greatest(F.col("_s") - F.col("_t"), zero)), zero).alias("missing_rows"),
-        F.coalesce(F.sum(F.greatest(F.col("_t") - F.col("_s"), zero)), zero).alias("extra_rows"),
-    ).withColumn("passed", (F.col("missing_rows") == 0) & (F.col("extra_rows") == 0))
+    one row (source_rows, stored_rows, missing_rows, extra_rows, passed)."""
+    return verify_copies(df, {path: path}).drop("copy")
+
+
+def verify_copies(df: DataFrame, paths: dict[str, str]) -> DataFrame:
+    """``verify_written`` for several copies of ``df``, named in column ``copy``.
+
+    Rows of all sides are counted per value in one aggregate, so the source moves
+    once however many copies there are."""
+    sides = ["_s", *[f"_t{i}" for i in range(len(paths))]]
+
+    def marked(rows: DataFrame, side: str) -> DataFrame:
+        return rows.withColumns({s: F.lit(int(s == side)) for s in sides})
+
+    stored = [df.sparkSession.read.schema(df.schema).parquet(p) for p in paths.values()]
+    every = reduce(DataFrame.unionByName, [marked(rows, s) for rows, s in zip([df, *stored], sides)])
+    counted = every.groupBy(*df.columns).agg(*[F.sum(s).alias(s) for s in sides])
+
+    def total(x: Column) -> Column:
+        return F.coalesce(F.sum(x), F.lit(0))
+
+    def surplus(a: str, b: str) -> Column:
+        return total(F.greatest(F.col(a) - F.col(b), F.lit(0)))
+
+    found = [
+        F.struct(
+            F.lit(name).alias("copy"),
+            total(F.col("_s")).alias("source_rows"),
+            total(F.col(t)).alias("stored_rows"),
+            surplus("_s", t).alias("missing_rows"),
+            surplus(t, "_s").alias("extra_rows"),
+        )
+        for name, t in zip(paths, sides[1:])
+    ]
+    rows = counted.agg(F.array(*found).alias("_rows")).select(F.inline("_rows"))
+    return rows.withColumn("passed", (F.col("missing_rows") == 0) & (F.col("extra_rows") == 0))
 
 
 def differences(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from tidemark.sinks.writers import (
     append_if_absent,
     existing,
     stage_then_load,
-    verify_written,
+    verify_copies,
 )
 from tidemark.sources.dimensions import dimension_from_nested, store_dimension
 from tidemark.sources.listing import latest_by_name_date, list_files, match_pattern, store_listing, stored_listing, valid_files
@@ -329,11 +329,7 @@ def verify_roundtrip(spark, sf_dir):
     same, changed = scratch_dir(spark, "verify"), scratch_dir(spark, "verify")
     lines.write.parquet(same)
     lines.filter("l_linenumber <> 7").unionByName(lines.filter("l_returnflag = 'R'")).write.parquet(changed)
-    return (
-        verify_written(lines, same)
-        .withColumn("copy", F.lit("same"))
-        .unionByName(verify_written(lines, changed).withColumn("copy", F.lit("changed")))
-    )
+    return verify_copies(lines, {"same": same, "changed": changed})
 
 
 @query(
