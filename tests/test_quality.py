@@ -81,6 +81,17 @@ def test_whole_numbers_of_any_length(spark):
     assert [r.n for r in cast_columns(df, {"n": "bigint"}).collect()] == [42, None, 7, None]
 
 
+def test_comparison_of_repeated_rows_keeps_its_rows_narrow(spark):
+    def side(values):
+        return spark.createDataFrame([(k, v) for k, vs in values.items() for v in vs], "k int, v string")
+
+    left = side({1: ["a", "b", "b"], 2: ["a", "b", "b"], 3: ["x"] * 50 + [None], 4: ["q"]})
+    right = side({1: ["b", "a", "b"], 2: ["a", "a", "b"], 3: [None] + ["x"] * 50, 4: ["r"]})
+    diff = compare_datasets(left, right, ["k"])
+    assert rows(diff) == [(2, None, "3", "3", "duplicate_key"), (4, "v", "q", "r", "value")]
+    assert "decimal" not in diff._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_comparison_of_repeated_keys_and_columns(spark):
     a = spark.createDataFrame([(1, "x"), (1, "y"), (2, "x"), (2, "x"), (None, "n"), (3, None)], "k int, v string")
     same = compare_datasets(a, a.orderBy(F.desc("v")), ["k"])

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+HASH_PART = 22
+
 
 def compare_datasets(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Differences: (keys..., column, left, right, kind).
@@ -30,9 +34,12 @@ def compare_datasets(left: DataFrame, right: DataFrame, keys: list[str]) -> Data
 
     # NULLs count: an absent value has a hash of its own
     row = F.xxhash64(F.lit(len(values)), *[F.coalesce(F.concat(F.lit("="), v), F.lit("")) for v in values])
+    # Rows are kept narrow, as a task sorts them by key: instead of a sum of hashes
+    # per side, the difference, in parts of ``HASH_PART`` bits whose sums fit a long.
+    parts = [F.shiftrightunsigned(row, i * HASH_PART).bitwiseAND(2**HASH_PART - 1) for i in range(-(-64 // HASH_PART))]
     merged = both.groupBy(*keys).agg(
         *[F.count(of(s, F.lit(1))).alias(f"_n_{s}") for s in "lr"],
-        *[F.coalesce(F.sum(of(s, row.cast("decimal(20,0)"))), F.lit(0)).alias(f"_h_{s}") for s in "lr"],
+        *[F.sum(F.when(F.col("_side") == "l", x).otherwise(-x)).alias(f"_h{i}") for i, x in enumerate(parts)],
         *[F.min(of(s, F.col(v))).alias(f"_{s}{v}") for s in "lr" for v in values],
     )
     n_l, n_r = F.col("_n_l"), F.col("_n_r")
@@ -42,7 +49,7 @@ def compare_datasets(left: DataFrame, right: DataFrame, keys: list[str]) -> Data
         return F.struct(column.alias("column"), lv.alias("left"), rv.alias("right"), F.lit(kind).alias("kind"))
 
     repeated = (n_l > 1) | (n_r > 1)
-    equal = (n_l == n_r) & (F.col("_h_l") == F.col("_h_r"))
+    equal = reduce(lambda a, b: a & b, [F.col(f"_h{i}") == 0 for i in range(len(parts))], n_l == n_r)
     whole = (
         F.when(repeated & ~equal, cell(none, n_l.cast("string"), n_r.cast("string"), "duplicate_key"))
         .when(n_r == 0, cell(none, none, none, "missing_right"))
