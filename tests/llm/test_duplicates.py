@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from texts import awkward, edited, frame, prose, words
 
 from tidemark.llm import components, minhash, suffixes, templates
+from tidemark.session import settle
 from tidemark.llm.words import BY_ALNUM, BY_SPACE, Words, pieces, runs
 
 
@@ -304,6 +305,31 @@ def test_lines_of_random_templates_against_brute_force(spark):
     assert sorted(got) == want and 100 < sum(n for *_, n in want) < 550
 
 
+@pytest.mark.parametrize("slots", [1, templates.SLOTS])
+def test_lines_of_rare_leaves_stay_where_they_are(spark, monkeypatch, slots):
+    members = spark.range(2000).select(F.xxhash64("id").alias("leaf"))
+    lines = spark.range(20_000).select("id", F.xxhash64("id").alias("leaf"))
+    left = [r["id"] for r in templates.may_hold(lines, "leaf", members).collect()]
+    assert len(left) == len(set(left)) < 2200 and set(range(2000)) <= set(left)
+
+    monkeypatch.setattr(templates, "SLOTS", slots)  # of one long all bits are set: nothing is left out
+    stored = {}
+    monkeypatch.setattr(templates, "settle", lambda df, label: stored.setdefault(label, settle(df, label)))
+    rng = random.Random(5)
+    line = lambda n: prose(rng, n).replace("\n", " ")
+    notices = ["All rights reserved.", "Read more here on our pages", "All rights reserved."]
+    data = [(i, "\n".join([line(12), *notices, line(9)]), "en", "a", 1) for i in range(40)]
+    df = frame(spark, data + data[:20]).repartition(3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = [(r["doc_id"], r["text"], r["n_dropped"]) for r in templates.drop_templates(df, "text").collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(got) == sorted(plain_templates(data + data[:20], 3)) and all(n == 3 for *_, n in got)
+    # one row a text moves on, with its lines in frequent leaves
+    assert sorted(len(r["lines"]) for r in stored["leaf_lines"].collect()) == [3] * 40
+
+
 def test_clashing_columns_stay(spark):
     df = frame(spark, [(1, "one line", "en", "a", 1)]).withColumns({"text_id": F.lit("x"), "drop_lines": F.lit("y"), "__tid": F.lit("z")})
     out = templates.drop_templates(df)

@@ -54,6 +54,8 @@ SHINGLE = 5
 ALIKE = 0.7
 #: Texts of a task remembered to pass over their copies.
 REMEMBERED = 100_000
+#: Longs of the filter by which lines of rare leaves are left out before they move.
+SLOTS = 1 << 18
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
 _VARIABLE = _U(0x5851F42D4C957F2D)
@@ -191,6 +193,16 @@ def copy_classes(texts: DataFrame) -> DataFrame:
     return connected(met.mapInArrow(_alike, "a long, b long"))
 
 
+def may_hold(rows: DataFrame, key: str, members: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``key`` (a hash) is none of
+    ``members``; no other is lost. The members are bits of ``SLOTS`` longs, which
+    are sent to the rows, so that few of them move when they meet the members."""
+    slot, bit = f"shiftrightunsigned({key}, 6) & {SLOTS - 1}", f"cast({key} & 63 as int)"
+    bits = members.groupBy(F.expr(slot).alias("_slot")).agg(F.bit_or(F.expr(f"shiftleft(1L, {bit})")).alias("_bits"))
+    met = rows.withColumn("_slot", F.expr(slot)).join(F.broadcast(bits), "_slot")
+    return met.filter(F.getbit("_bits", F.expr(bit)) == 1).drop("_slot", "_bits")
+
+
 def recurring_lines(df: DataFrame, text: str, min_docs: int = MIN_DOCS) -> DataFrame:
     """(tid, drop): numbers of the lines with a recurring template, by text."""
     keyed = settle(_keyed(df, text), "line_keys")
@@ -200,21 +212,27 @@ def recurring_lines(df: DataFrame, text: str, min_docs: int = MIN_DOCS) -> DataF
     often = settle(often.filter(F.col("n") >= min_docs).select("leaf"), "leaves")
     lines = keyed.select("tid", F.explode(F.arrays_zip("leaves", "lines", "keys")).alias("x"))
     lines = lines.select("tid", F.col("x.leaves").alias("leaf"), F.col("x.lines").alias("line"), F.col("x.keys").alias("keys"))
-    inside = lines.join(often, "leaf").select("tid", "line", F.explode("keys").alias("key"))
-    # copies of a text in several tasks are one from here on
-    inside = settle(inside.distinct(), "leaf_lines")
-    shared = inside.select("tid", "key").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    shared = settle(shared.filter(F.col("n") >= min_docs).select("key"), "shared_keys")
-    hits = settle(inside.join(shared, "key"), "line_hits")
-    # a class only counts documents, so a 64-bit name does for it
+    inside = may_hold(lines, "leaf", often).join(often, "leaf")
+    # copies of a text in several tasks are one from here on; it goes by a short number
+    inside = inside.groupBy("tid").agg(F.collect_set(F.struct("line", "keys")).alias("lines"))
+    inside = settle(inside.select(F.monotonically_increasing_id().alias("n"), "tid", "lines"), "leaf_lines")
+    shared = inside.select(F.explode(F.array_distinct(F.flatten("lines.keys"))).alias("key"))
+    shared = shared.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= min_docs)
+    shared = settle(shared.select("key"), "shared_keys")
+    each = inside.select("n", F.explode("lines").alias("x")).select("n", F.col("x.line").alias("line"), F.explode("x.keys").alias("key"))
+    hits = settle(each.join(shared, "key"), "line_hits")
+    wanted = inside.select("n", "tid").join(hits.select("n").distinct(), "n", "left_semi")
+    texts = keyed.filter("sketch is not null").select("tid", "bands", "sketch").join(wanted, "tid")
+    # the first of a bucket is told by a hash of the text, so that every run has the same
     name = F.xxhash64("tid").alias("g")
-    texts = keyed.filter("sketch is not null").join(hits.select("tid").distinct(), "tid", "left_semi")
-    texts = settle(texts.select(name, "bands", "sketch").dropDuplicates(["g"]), "line_texts")
-    classes = copy_classes(texts).select(F.col("node").alias("g"), "root")
-    stands = hits.select("key", name).distinct().join(classes, "g", "left").select("key", F.coalesce("root", "g").alias("class")).distinct()
-    known = stands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs).select("key")
+    texts = settle(texts.dropDuplicates(["tid", "n"]).select("n", name, "bands", "sketch"), "line_texts")
+    classes = texts.select("n", "g").join(copy_classes(texts).withColumnRenamed("node", "g"), "g").select("n", "root")
+    alone = F.when(F.col("root").isNull(), F.col("n")).alias("alone")
+    stands = hits.join(classes, "n", "left").select("key", "root", alone).distinct()
+    known = stands.groupBy("key").agg(F.count(F.lit(1)).alias("docs")).filter(F.col("docs") >= min_docs).select("key")
     known = settle(known, "recurring_keys")
-    return hits.join(known, "key").groupBy("tid").agg(F.sort_array(F.collect_set("line")).alias("drop"))
+    found = hits.join(known, "key").groupBy("n").agg(F.sort_array(F.collect_set("line")).alias("drop"))
+    return inside.select("n", "tid").join(found, "n").select("tid", "drop")
 
 
 def drop_templates(df: DataFrame, text: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
