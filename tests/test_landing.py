@@ -77,6 +77,19 @@ def test_layouts_read_what_was_rendered(spark, tmp_path, kind):
     assert rows(readers.read_fixed_width(spark, str(tmp_path), layout)) == [tuple(want)]
 
 
+def test_equal_lines_are_sliced_once(spark, tmp_path):
+    layout = OBJECTIVE_LAYOUTS["NAT"]
+    put(tmp_path, "a.txt", "HDR  XXX01/02/2024\n" + "..01AAA022920240000007\n" * 3 + "..01AAA02292024xxxxxxx\n")
+    put(tmp_path, "b.txt", "..01AAA022920240000007\n" * 2 + ".. 1AAA022920240000007\n\n")
+    got = readers.read_fixed_width(spark, str(tmp_path), layout, count="lines")
+    seven, other = (1, "AAA", D(2024, 2, 29), 7), (1, "AAA", D(2024, 2, 29), None)
+    want = [(*seven, 5), (*seven, 1), (*other, 1), (None, "", None, None, 1)]
+    key = lambda t: tuple((x is not None, str(x)) for x in t)
+    assert rows(got) == sorted(want, key=key)
+    whole = readers.read_fixed_width(spark, str(tmp_path), layout)
+    assert rows(whole) == sorted((r[:-1] for r in want for _ in range(r[-1])), key=key)
+
+
 def test_range_layout(spark, tmp_path):
     put(tmp_path, "f.txt", "abcdef12\n")
     assert rows(readers.load(spark, "fixed-width", str(tmp_path), layout=layout_from_ranges("1-6,7-8"))) == [("abcdef", "12")]

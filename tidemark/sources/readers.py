@@ -84,13 +84,16 @@ def slice_record(layout: Layout, value: str = "value") -> list[Column]:
 
 
 def read_fixed_width(
-    spark: SparkSession, path: str | list[str], layout: Layout, header_prefix: str | None = "HDR"
+    spark: SparkSession, path: str | list[str], layout: Layout, header_prefix: str | None = "HDR", count: str | None = None
 ) -> DataFrame:
-    """Fixed-width text, header lines left out, in one projection."""
+    """Fixed-width text, header lines left out, in one projection. With a
+    column name for the ``count``, equal lines are one row and are sliced once."""
     lines = spark.read.text(path)
     if header_prefix:
         lines = lines.filter(~F.col("value").startswith(header_prefix))
-    return lines.select(*slice_record(layout))
+    if count is None:
+        return lines.select(*slice_record(layout))
+    return lines.groupBy("value").agg(F.count(F.lit(1)).alias(count)).select(*slice_record(layout), count)
 
 
 def header_dates(lines: DataFrame, prefix: str = "HDR") -> DataFrame:
